@@ -8,6 +8,7 @@ from boxloom.constants import HEAVY_EQUIPMENT, IOU_LEVELS, TAXONOMY, Z95
 from boxloom.functions import geometry as g
 from boxloom.functions.scalars import class_name, wilson_lower
 from boxloom.operators.boxes import band_column
+from boxloom.session import literal
 from boxloom.operators.scale import exact_quantile, join_small, part_running_sum, range_parts
 
 KEYS = ["image_id", "class_id"]
@@ -174,7 +175,7 @@ def default_recall_rules(spark) -> DataFrame:
         (cid, 0.90 if name in HEAVY_EQUIPMENT or name == "Sign" else 0.95)
         for cid, name, active in TAXONOMY if active
     ]
-    return spark.createDataFrame(rows, "class_id int, min_recall double")
+    return literal(spark, rows, "class_id int, min_recall double")
 
 
 def development_gate(counts: DataFrame, rules: DataFrame, fold: str = "fold_id", min_n: int = 50, overall: float = 0.95) -> DataFrame:

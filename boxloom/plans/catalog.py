@@ -1,6 +1,6 @@
 """All registered queries."""
 
-from boxloom.plans import q_boxes  # noqa: F401
+from boxloom.plans import q_boxes, q_manifest  # noqa: F401
 from boxloom.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

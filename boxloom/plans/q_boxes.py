@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from boxloom.functions import geometry as g, scalars as s
+from boxloom.constants import CAMERAS
 from boxloom.operators import boxes as ob, checks, manifest, review
 from boxloom.plans.oracle_parts import AREA, BAND, INTER, size_sql
 from boxloom.plans.registry import Inputs, query
+from boxloom.session import literal
 from boxloom.sources import readers
 
 R = "round({0}, 6) AS {0}"
@@ -100,7 +102,7 @@ THRESHOLD_SQL = "(VALUES " + ", ".join(f"({c}, CAST({lo} AS DOUBLE), CAST({hi} A
 
 @query(f"SELECT d.det_id, d.score >= h.high AS strong FROM det d JOIN {THRESHOLD_SQL} ON d.class_id = h.class_id WHERE d.score >= h.low")
 def filter_scores(t: Inputs):
-    limits = t.spark.createDataFrame(THRESHOLDS, "class_id int, low double, high double")
+    limits = literal(t.spark, THRESHOLDS, "class_id int, low double, high double")
     return ob.filter_scores(t.det, limits, ["class_id"]).select("det_id", "strong")
 
 
@@ -109,9 +111,8 @@ def filter_scores(t: Inputs):
 def policy_lookup(t: Inputs):
     from boxloom.operators.scale import join_small
 
-    limits = t.spark.createDataFrame(THRESHOLDS, "class_id int, low double, high double")
-    policy = limits.join(readers.cameras(t.spark).select("camera_id", "camera_order"), F.lit(True))
-    policy = policy.select("camera_id", "class_id", (F.col("low") + F.lit(0.01) * F.col("camera_order")).alias("low"))
+    rows = [(camera, cid, low + 0.01 * order) for cid, low, _ in THRESHOLDS for order, camera, *_ in CAMERAS]
+    policy = literal(t.spark, rows, "camera_id string, class_id int, low double")
     return join_small(t.det, policy, ["camera_id", "class_id"]).select("det_id", "camera_id", "low")
 
 
@@ -122,7 +123,7 @@ def ignore_polygons(t: Inputs):
         d = 20.0 * order
         shape = [(0.0, 1080.0), (0.0, 700.0 + d), (600.0, 700.0 + d), (600.0, 850.0 + d), (1920.0, 850.0 + d), (1920.0, 1080.0)]
         rows.append((name, [shape]))
-    return t.spark.createDataFrame(rows, "camera_id string, ignore_polygons array<array<struct<x:double,y:double>>>")
+    return literal(t.spark, rows, "camera_id string, ignore_polygons array<array<struct<x:double,y:double>>>")
 
 
 IGNORE_SQL = f"""
@@ -284,7 +285,7 @@ def check_enums(t: Inputs):
 
 @query("SELECT det_id, CASE class_id WHEN 5 THEN 10 ELSE class_id END AS class_id FROM det")
 def migrate_taxonomy(t: Inputs):
-    mapping = t.spark.createDataFrame([(i, 10 if i == 5 else i) for i in range(6)], "class_id int, new_class_id int")
+    mapping = literal(t.spark, [(i, 10 if i == 5 else i) for i in range(6)], "class_id int, new_class_id int")
     return ob.migrate_taxonomy(t.det, mapping).select("det_id", "class_id")
 
 
@@ -308,12 +309,6 @@ def image_identity(t: Inputs):
     return t.images.select("image_id", s.image_identity("dataset_id", "capture_us", "camera_id").alias("stable_id"))
 
 
-@query("SELECT dataset_id, sha256(string_agg(sha256(CAST(image_id AS VARCHAR)), ',' ORDER BY sha256(CAST(image_id AS VARCHAR)))) AS set_hash FROM (SELECT * FROM images WHERE image_id % 6 = 0 AND is_keyframe) z GROUP BY dataset_id", name="file_set_hash")
-def file_set_hash(t: Inputs):
-    rows = t.images.filter("image_id % 6 = 0 AND is_keyframe").withColumn("h", s.sha256(F.col("image_id").cast("string")))
-    return rows.groupBy("dataset_id").agg(F.sha2(F.array_join(F.array_sort(F.collect_list("h")), ","), 256).alias("set_hash"))
-
-
 @query(f"""SELECT det_id, {AREA.format(p='')} AS area, (x1 + x2) / 2 AS cx, (y1 + y2) / 2 AS cy, round((x2 - x1) / (y2 - y1), 6) AS aspect FROM o_det""")
 def box_measures(t: Inputs):
     box = g.corners()

@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import tempfile
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 
 def get_session(app: str = "boxloom", master: str | None = None, **conf: str) -> SparkSession:
@@ -42,3 +45,21 @@ def checkpointed(df: DataFrame) -> DataFrame:
     """Freeze `df` on reliable storage: cuts lineage and survives executor loss."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def literal(spark: SparkSession, rows: list[tuple], schema: str | StructType) -> DataFrame:
+    """A small table written in code: kept in the plan, so its size is known to the optimizer."""
+    kind = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    columns = list(zip(*rows)) if rows else [() for _ in kind.fields]
+    arrow = to_arrow_schema(kind)
+    arrays = [pa.array([_plain(v) for v in values], type=field.type) for values, field in zip(columns, arrow)]
+    return spark.createDataFrame(pa.Table.from_arrays(arrays, schema=arrow), kind)
+
+
+def _plain(value):
+    """Points given as (x, y) become the structs the schema names."""
+    if isinstance(value, list):
+        return [_plain(v) for v in value]
+    if isinstance(value, tuple) and len(value) == 2:
+        return {"x": value[0], "y": value[1]}
+    return value

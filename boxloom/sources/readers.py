@@ -9,6 +9,7 @@ from boxloom.constants import CAMERAS, TAXONOMY
 from boxloom.functions import geometry as g
 from boxloom.functions.scalars import image_identity, path_camera, path_stem, stem_timestamp
 from boxloom.operators.boxes import from_xywh
+from boxloom.session import literal
 
 SEGMENTS = 1_024
 
@@ -144,12 +145,12 @@ def read_review_log(spark: SparkSession, path: str) -> DataFrame:
 # --- policy tables --------------------------------------------------------------------
 
 def taxonomy(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(TAXONOMY, "class_id int, name string, active boolean")
+    return literal(spark, TAXONOMY, "class_id int, name string, active boolean")
 
 
 def cameras(spark: SparkSession) -> DataFrame:
     rows = [(order, name, w, h, rot) for order, name, w, h, rot in CAMERAS]
-    return spark.createDataFrame(rows, "camera_order int, camera_id string, width int, height int, rotation int")
+    return literal(spark, rows, "camera_order int, camera_id string, width int, height int, rotation int")
 
 
 POLICY_SCHEMAS = {
@@ -172,14 +173,14 @@ def load_policy(spark: SparkSession, path: str) -> dict[str, DataFrame]:
     known = {name: (cid, active) for cid, name, active in TAXONOMY}
     out = {}
     for table, ddl in POLICY_SCHEMAS.items():
-        schema = spark.createDataFrame([], ddl).schema
+        schema = T.StructType.fromDDL(ddl)
         rows = []
         for item in content.get(table, []):
             if isinstance(item, str):
                 cid, active = known.get(item, (None, False))
                 item = {"class_id": cid, "name": item, "active": active}
             rows.append(tuple(_fit(item.get(f.name), f.dataType) for f in schema.fields))
-        out[table] = spark.createDataFrame(rows, schema)
+        out[table] = literal(spark, rows, schema)
     return out
 
 
