@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from boxloom.functions.scalars import clamp_probability, temperature_scaled
 from boxloom.operators.scale import join_small
+from boxloom.session import checkpointed, literal
 
 
 def _loss(temperature: Column) -> Column:
@@ -25,15 +26,18 @@ def fit_temperature(scored: DataFrame, key: str = "class_id", low: float = 0.05,
     """
     ratio = (high / low) ** (1.0 / (points - 1))
     factors = [low * ratio**i for i in range(points)]
-    best = scored.select(key).distinct().withColumn("_centre", F.lit(1.0))
-    for round_no in range(refine + 1):
-        rows = join_small(scored.select(key, "score", "tp"), best.select(key, "_centre"), [key])
-        sums = [F.sum(_loss(F.col("_centre") * f)).alias(f"_l{i}") for i, f in enumerate(factors)]
-        sums = rows.groupBy(key, "_centre").agg(F.count(F.lit(1)).alias("n"), *sums)
+    # the loss depends on (class, score, hit) only: equal rows are counted once and read in every round
+    counted = checkpointed(scored.groupBy(key, "score", "tp").agg(F.count(F.lit(1)).alias("_n")))
+    best = checkpointed(counted.select(key).distinct().withColumn("_centre", F.lit(1.0)))
+    for _ in range(refine + 1):
+        rows = join_small(counted, best.select(key, "_centre"), [key])
+        sums = [F.sum(F.col("_n") * _loss(F.col("_centre") * f)).alias(f"_l{i}") for i, f in enumerate(factors)]
+        sums = rows.groupBy(key, "_centre").agg(F.sum("_n").alias("n"), *sums)
         choice = F.array_min(F.array(*[
             F.struct(F.col(f"_l{i}").alias("nll"), (F.col("_centre") * f).alias("t")) for i, f in enumerate(factors)
         ]))
         best = sums.select(key, "n", choice.alias("_c")).select(key, "n", F.col("_c.t").alias("_centre"), F.col("_c.nll").alias("nll"))
+        best = checkpointed(best)
         # next grid: the two steps around the best point, again in equal log steps
         step = ratio ** (2.0 / (points - 1))
         factors = [(1.0 / ratio) * step**i for i in range(points)]
@@ -56,6 +60,7 @@ def fit_isotonic(scored: DataFrame, classes: list[int], min_n: int = 1_000) -> D
     points = scored.groupBy("class_id", "score").agg(
         F.avg(F.col("tp").cast("double")).alias("label"), F.count(F.lit(1)).cast("double").alias("weight"),
     )
+    points = checkpointed(points)
     counts = {r["class_id"]: r["n"] for r in points.filter(F.col("class_id").isin(classes)).groupBy("class_id").agg(F.sum("weight").alias("n")).collect()}
     rows = []
     assembled = VectorAssembler(inputCols=["score"], outputCol="features").transform(points)
@@ -64,7 +69,7 @@ def fit_isotonic(scored: DataFrame, classes: list[int], min_n: int = 1_000) -> D
             continue
         model = IsotonicRegression(labelCol="label", weightCol="weight").fit(assembled.filter(F.col("class_id") == cid))
         rows.append((cid, [float(x) for x in model.boundaries], [float(y) for y in model.predictions]))
-    return spark.createDataFrame(rows, "class_id int, xs array<double>, ys array<double>")
+    return literal(spark, rows, "class_id int, xs array<double>, ys array<double>")
 
 
 def apply_isotonic(df: DataFrame, fitted: DataFrame) -> DataFrame:

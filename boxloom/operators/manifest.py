@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from boxloom.constants import SEQUENCE_GAP_US
 from boxloom.operators.scale import carry, exact_quantile, join_small, running_sum
+from boxloom.session import checkpointed
 
 HOUR_US = 3_600_000_000
 FRAME_BUCKET = 10_000
@@ -211,7 +212,8 @@ def expand_folds(images: DataFrame, folds: DataFrame, group: str = "frame_id") -
     Rows grow with the number of folds by definition, so this works on frame groups only.
     """
     groups = images.select("dataset_id", group, "sequence_id", "fold_id").distinct()
-    sides = join_small(groups, folds.select("dataset_id", F.col("fold_id").alias("fold")).distinct(), ["dataset_id"])
+    named = checkpointed(folds.select("dataset_id", F.col("fold_id").alias("fold")).distinct())
+    sides = join_small(groups, named, ["dataset_id"])
     side = F.when(F.col("fold_id") == F.col("fold"), "validation").otherwise("train")
     return sides.select("dataset_id", group, "sequence_id", "fold", side.alias("side"))
 

@@ -11,6 +11,7 @@ from boxloom.plans.q_boxes import rounded
 from boxloom.plans.q_detection import compared, outcomes
 from boxloom.plans.oracle_parts import AREA, ORACLE_VIEWS
 from boxloom.plans.registry import Inputs, query
+from boxloom.session import checkpointed
 
 ORACLE_VIEWS["o_diff"] = """
     SELECT coalesce(a.image_id, b.image_id) AS image_id, coalesce(a.result_id, b.result_id) AS result_id,
@@ -132,13 +133,13 @@ def temperature_grid(t: Inputs):
 
 @query()
 def fit_temperature(t: Inputs):
-    rows = scored(t)
+    rows = checkpointed(scored(t))
     return cal.apply_temperature(rows, cal.fit_temperature(rows)).select("det_id", "class_id", "score", "calibrated")
 
 
 @query()
 def fit_isotonic(t: Inputs):
-    rows = scored(t)
+    rows = checkpointed(scored(t))
     return cal.apply_isotonic(rows, cal.fit_isotonic(rows, list(range(6)), min_n=50)).select("det_id", "class_id", "score", "calibrated")
 
 
