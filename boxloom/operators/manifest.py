@@ -42,9 +42,7 @@ def match_context(images: DataFrame, keys: tuple[str, ...] = ("dataset_id", "cam
     The context frame keeps its own image; only the keyframe's id and the delta are added.
     """
     here = F.when(F.col("is_keyframe"), F.struct("image_id", "capture_us"))
-    rows = images
-    for name, forward in (("_past", True), ("_next", False)):
-        rows = carry(rows, list(keys), "capture_us", {name: here}, width=width, forward=forward)
+    rows = carry(images, list(keys), "capture_us", {"_past": here}, later={"_next": here}, width=width)
     context = rows.filter(~F.col("is_keyframe"))
     past = F.col("capture_us") - F.col("_past.capture_us")
     ahead = F.col("_next.capture_us") - F.col("capture_us")
@@ -63,8 +61,8 @@ def assign_sequences(images: DataFrame, gap_us: int = SEQUENCE_GAP_US, width: in
 
     Works on distinct capture times, cut into time buckets, so one long dataset is spread out.
     """
-    times = images.select("dataset_id", "capture_us").distinct()
-    times = carry(times, ["dataset_id"], "capture_us", {"_prev": F.col("capture_us")}, width=width)
+    times = checkpointed(images.select("dataset_id", "capture_us").distinct())
+    times = checkpointed(carry(times, ["dataset_id"], "capture_us", {"_prev": F.col("capture_us")}, width=width))
     starts = F.coalesce((F.col("capture_us") - F.col("_prev") > gap_us).cast("long"), F.lit(0).cast("long"))
     times = running_sum(times, ["dataset_id"], "capture_us", {"sequence_no": starts}, width=width)
     times = times.select("dataset_id", "capture_us", "sequence_no")
@@ -108,7 +106,7 @@ def raw_index(images: DataFrame, keys: tuple[str, ...] = ("dataset_id", "camera_
 
 def cadence(images: DataFrame, keys: tuple[str, ...] = ("dataset_id", "camera_id"), width: int = HOUR_US) -> DataFrame:
     """Index and time deltas between keyframes of a camera: counts, extremes and medians."""
-    indexed = raw_index(images, keys, width).filter("is_keyframe")
+    indexed = checkpointed(raw_index(images, keys, width).filter("is_keyframe"))
     steps = carry(
         indexed, list(keys), "capture_us",
         {"_prev_index": F.col("raw_sequence_index"), "_prev_us": F.col("capture_us")},
@@ -144,7 +142,7 @@ def continuity_segments(
     else:
         rows = rows.withColumn("_cut", F.lit(None).cast("boolean"))
     held = F.struct("sequence_id", "capture_us", "frame_id")
-    rows = carry(rows, list(keys), "capture_us", {"_prev": held}, width=width, ties=("image_id",))
+    rows = checkpointed(carry(rows, list(keys), "capture_us", {"_prev": held}, width=width, ties=("image_id",)))
     reason = (
         F.when(F.col("_prev").isNull(), "start")
         .when(F.col("_prev.sequence_id") != F.col("sequence_id"), "sequence")
@@ -345,7 +343,7 @@ def ordering_report(images: DataFrame) -> DataFrame:
         F.count_distinct("camera_order").alias("orders"),
         F.count_distinct("camera_id").alias("cameras"),
     )
-    steps = carry(groups, ["dataset_id"], "frame_id", {"_prev_us": F.col("last_us")}, width=FRAME_BUCKET)
+    steps = carry(checkpointed(groups), ["dataset_id"], "frame_id", {"_prev_us": F.col("last_us")}, width=FRAME_BUCKET)
     steps = steps.withColumn("step_us", F.col("first_us") - F.col("_prev_us"))
     report = steps.groupBy("dataset_id").agg(
         F.count(F.lit(1)).alias("frames"),

@@ -40,9 +40,8 @@ def split_hot(df: DataFrame, keys: list[str], limit: int) -> tuple[DataFrame, Da
     return split_by_keys(df, keys, hot_keys(df, keys, limit))
 
 
-def _bucketed(df: DataFrame, keys: list[str], order: str, width: int) -> DataFrame:
-    # an explicit repartition: both readers below reuse this one exchange
-    return df.withColumn("_bucket", F.floor(F.col(order) / F.lit(width))).repartition(*keys, "_bucket")
+def _bucket(order: str, width: int) -> Column:
+    return F.floor(F.col(order) / F.lit(width))
 
 
 def carry(
@@ -53,32 +52,39 @@ def carry(
     *,
     width: int,
     ties: tuple[str, ...] = (),
-    forward: bool = True,
+    later: dict[str, Column] | None = None,
     include_self: bool = False,
 ) -> DataFrame:
-    """Add, per output name, the nearest earlier (or later) non-null value within the key.
+    """Add, per name, the nearest earlier (`values`) or later (`later`) non-null value of the key.
 
-    Like `lag`/`last(ignorenulls)`, but the window is (key, bucket of `order`) and only one
-    row per bucket takes part in the second window, which links neighbouring buckets.
+    Like `lag`/`last(ignorenulls)`, but the window is (key, bucket of `order`), and only one row
+    per bucket takes part in the second window, which links neighbouring buckets. That row comes
+    from an aggregation combined before its shuffle, so `df` itself is shuffled once. Both sides
+    read `df`: freeze it first when it is costly.
     """
-    held = {name: f"_v_{name}" for name in values}
-    rows = _bucketed(df.withColumns({held[n]: v for n, v in values.items()}), keys, order, width)
+    sides = {n: (v, True) for n, v in values.items()} | {n: (v, False) for n, v in (later or {}).items()}
+    rows = df.withColumns({f"_v_{n}": v for n, (v, _) in sides.items()}).withColumn("_bucket", _bucket(order, width))
     by = [order, *ties]
-    ordering = [F.col(x).asc() if forward else F.col(x).desc() for x in by]
-    inner = W.partitionBy(*keys, "_bucket").orderBy(*ordering).rowsBetween(W.unboundedPreceding, 0 if include_self else -1)
-    edge = F.max_by if forward else F.min_by
+    at = F.struct(*by)
     ends = rows.groupBy(*keys, "_bucket").agg(*[
-        edge(F.col(h), F.when(F.col(h).isNotNull(), F.struct(*by))).alias(f"_end{h}") for h in held.values()
+        (F.max_by if past else F.min_by)(F.col(f"_v_{n}"), F.when(F.col(f"_v_{n}").isNotNull(), at)).alias(f"_end_{n}")
+        for n, (_, past) in sides.items()
     ])
-    link = W.partitionBy(*keys).orderBy(F.col("_bucket").asc() if forward else F.col("_bucket").desc())
-    link = link.rowsBetween(W.unboundedPreceding, -1)
-    ends = ends.select(*keys, "_bucket", *[
-        F.last(f"_end{h}", ignorenulls=True).over(link).alias(f"_far{h}") for h in held.values()
-    ])
-    near = rows.withColumns({f"_near{h}": F.last(h, ignorenulls=True).over(inner) for h in held.values()})
+
+    def window(part: list[str], columns: list[str], past: bool, last: int):
+        ordered = [F.col(x).asc() if past else F.col(x).desc() for x in columns]
+        return W.partitionBy(*part).orderBy(*ordered).rowsBetween(W.unboundedPreceding, last)
+
+    far = [F.last(f"_end_{n}", ignorenulls=True).over(window(keys, ["_bucket"], past, -1)).alias(f"_far_{n}") for n, (_, past) in sides.items()]
+    ends = ends.select(*keys, "_bucket", *far)
+    inner = 0 if include_self else -1
+    near = rows.withColumns({
+        f"_near_{n}": F.last(f"_v_{n}", ignorenulls=True).over(window([*keys, "_bucket"], by, past, inner))
+        for n, (_, past) in sides.items()
+    })
+    kept = [x for x in df.columns if x not in sides]
     joined = near.join(ends, [*keys, "_bucket"])
-    kept = [x for x in df.columns if x not in values]
-    return joined.select(*kept, *[F.coalesce(f"_near{h}", f"_far{h}").alias(n) for n, h in held.items()])
+    return joined.select(*kept, *[F.coalesce(f"_near_{n}", f"_far_{n}").alias(n) for n in sides])
 
 
 def running_sum(
@@ -92,7 +98,7 @@ def running_sum(
 ) -> DataFrame:
     """Add inclusive running sums per key in `order`, cut into buckets as in `carry`."""
     held = {name: f"_v_{name}" for name in sums}
-    rows = _bucketed(df.withColumns({held[n]: v for n, v in sums.items()}), keys, order, width)
+    rows = df.withColumns({held[n]: v for n, v in sums.items()}).withColumn("_bucket", _bucket(order, width))
     return _link_sums(rows, keys, "_bucket", [F.col(x) for x in (order, *ties)], held, df.columns)
 
 

@@ -126,15 +126,17 @@ def track(
 
     `reverse` runs the frames backwards. `block_frames` bounds what one task holds at once.
     """
+    if block_frames <= cfg.max_gap:
+        raise ValueError("block_frames must exceed max_gap")
     keys = [*lane, "class_id"]
     sign = -1 if reverse else 1
-    rows = _with_strength(df, cfg).select(*keys, "camera_id", "frame_id", "det_id", "score", "strong", *CORNERS) \
-        if "camera_id" not in keys else _with_strength(df, cfg).select(*keys, "frame_id", "det_id", "score", "strong", *CORNERS)
-    rows = rows.withColumn("_f", F.lit(sign) * F.col("frame_id"))
+    columns = dict.fromkeys([*keys, "camera_id", "frame_id", "det_id", "score", "strong", *CORNERS])
+    rows = _with_strength(df, cfg).select(*columns).withColumn("_f", F.lit(sign) * F.col("frame_id"))
+    rows = checkpointed(rows)
     frames = rows.select(*keys, "_f").distinct()
-    frames = carry(frames, keys, "_f", {"_prev": F.col("_f")}, width=FRAME_BUCKET)
+    frames = checkpointed(carry(frames, keys, "_f", {"_prev": F.col("_f")}, width=FRAME_BUCKET))
     fresh = F.coalesce((F.col("_f") - F.col("_prev") > cfg.max_gap).cast("long"), F.lit(1).cast("long"))
-    frames = running_sum(frames, keys, "_f", {"_run": fresh}, width=FRAME_BUCKET)
+    frames = checkpointed(running_sum(frames, keys, "_f", {"_run": fresh}, width=FRAME_BUCKET))
     runs = frames.groupBy(*keys, "_run").agg(F.min("_f").alias("_run_first"), F.max("_f").alias("_run_last"))
     starts = frames.select(*keys, "_f", "_run").join(runs, [*keys, "_run"])
     starts = starts.withColumn("_block", F.floor((F.col("_f") - F.col("_run_first")) / block_frames).cast("int"))
@@ -319,7 +321,7 @@ def propose_gaps(tracks: DataFrame, max_gap: int = 3, keys: tuple[str, ...] = ("
     `held` columns come from the earlier hit. The class must be the same at both ends.
     """
     body = F.struct("frame_id", "class_id", *CORNERS)
-    rows = carry(tracks, list(keys), "frame_id", {"_next": body}, width=FRAME_BUCKET, forward=False)
+    rows = carry(tracks, list(keys), "frame_id", {}, later={"_next": body}, width=FRAME_BUCKET)
     missing = F.col("_next.frame_id") - F.col("frame_id") - 1
     rows = rows.filter((missing >= 1) & (missing <= max_gap) & (F.col("_next.class_id") == F.col("class_id")))
     rows = rows.withColumn("_at", F.explode(F.sequence(F.col("frame_id") + 1, F.col("_next.frame_id") - 1)))
@@ -383,8 +385,7 @@ def temporal_guards(refined: DataFrame, *, max_gap: int = 3, min_hits: int = 2,
         F.when(F.col("_hits") < min_hits, "few_hits"),
     ))).alias("violation"))
     real = F.when(F.col("source") == "detector", F.col("frame_id"))
-    rows = carry(whole, list(keys), "frame_id", {"_before": real}, width=FRAME_BUCKET)
-    rows = carry(rows, list(keys), "frame_id", {"_later": real}, width=FRAME_BUCKET, forward=False)
+    rows = carry(whole, list(keys), "frame_id", {"_before": real}, later={"_later": real}, width=FRAME_BUCKET)
     detector = F.col("source") == "detector"
     near: Column = (F.col("frame_id") - F.col("_before") <= support) & (F.col("_later") - F.col("frame_id") <= support)
     per_row = rows.select(*keys, "frame_id", F.explode(F.array_compact(F.array(

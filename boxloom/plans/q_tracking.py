@@ -19,6 +19,7 @@ OVERLAP = "a.x1 < b.x2 AND b.x1 < a.x2 AND a.y1 < b.y2 AND b.y1 < a.y2"
 def lanes(t: Inputs):
     """Boxes with sequence and continuity segment from the image table."""
     images = m.continuity_segments(m.assign_sequences(t.images))
+    images = checkpointed(images)
     return t.track_boxes.drop("camera_id", "capture_us").join(images.select("image_id", "camera_id", "sequence_id", "segment_id"), "image_id")
 
 
