@@ -321,8 +321,7 @@ def approx_audit(images: DataFrame, log: DataFrame, rsd: float = 0.02, accuracy:
         F.approx_count_distinct("image_id", rsd).alias("approx_images"),
         F.approx_count_distinct(F.struct("dataset_id", "frame_id"), rsd).alias("approx_frames"),
     )
-    right = log.agg(F.percentile_approx("seconds", 0.5, accuracy).alias("approx_median_seconds"))
-    return left.join(right, F.lit(True))  # one row by one row
+    return left.withColumn("approx_median_seconds", log.agg(F.percentile_approx("seconds", 0.5, accuracy)).scalar())
 
 
 def duplicates(images: DataFrame, keys: dict[str, list[str]]) -> DataFrame:
@@ -426,5 +425,4 @@ def balance(annotations: DataFrame, images: DataFrame) -> DataFrame:
     counts = counts.join(images.select("image_id", "camera_id").distinct(), "image_id")
     cells = counts.groupBy("class_id", "camera_id").agg(F.sum("n").alias("n"))
     rows = cells.cube("class_id", "camera_id").agg(F.sum("n").alias("boxes"))
-    total = rows.agg(F.max("boxes").alias("_total"))
-    return rows.join(total, F.lit(True)).withColumn("share", F.col("boxes") / F.col("_total")).drop("_total")
+    return rows.withColumn("share", F.col("boxes") / cells.agg(F.sum("n")).scalar())

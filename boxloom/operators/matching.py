@@ -63,7 +63,8 @@ def _greedy_fold(pairs: DataFrame, keys: list[str], left_id: str, right_id: str)
         clash = F.exists(taken, lambda t: (t["l"] == pair["l"]) | (t["r"] == pair["r"]))
         return F.when(clash, taken).otherwise(F.concat(taken, F.array(pair)))
 
-    taken = grouped.select(*keys, F.explode(F.aggregate("queue", none, step)).alias("p"))
+    chosen = F.when(F.size("queue") == 1, F.col("queue")).otherwise(F.aggregate("queue", none, step))
+    taken = grouped.select(*keys, F.explode(chosen).alias("p"))
     return taken.select(*keys, F.col("p.l").alias(left_id), F.col("p.r").alias(right_id), (-F.col("p.rank")).alias("iou"))
 
 
@@ -210,10 +211,17 @@ def match_coco(
 
         return F.aggregate("queue", no_hit, step)
 
-    # entry i of `hits` is the list over levels of what prediction i took
-    grouped = grouped.withColumn("_by_level", F.array(*[fold(level) for level in levels]))
+    # where no truth is wanted twice, every prediction simply takes its best candidate
+    wanted = F.flatten(F.filter(F.transform("queue", lambda d: F.transform(d["cand"], lambda k: k["t"])), lambda x: x.isNotNull()))
+    contested = F.size(wanted) != F.size(F.array_distinct(wanted))
+    # entry i of a level's list is what prediction i took
+    by_level = F.when(contested, F.array(*[fold(level) for level in levels]))
+    grouped = grouped.withColumn("_by_level", by_level)
     each = grouped.select(*keys, F.posexplode("queue").alias("_i", "d"), "_by_level")
-    hits = F.transform("_by_level", lambda level: F.get(level, F.col("_i")))
+    at = F.array(*[F.lit(level) for level in levels])
+    first = F.get(F.col("d.cand"), F.lit(0))
+    alone = F.transform(at, lambda level: F.when(-first["rank"] >= level, first["t"]))
+    hits = F.when(F.col("_by_level").isNull(), alone).otherwise(F.transform("_by_level", lambda level: F.get(level, F.col("_i"))))
     out = each.select(*keys, F.col("d.det_id").alias("det_id"), (-F.col("d.rank")).alias("score"), hits.alias("hits"))
     return out.withColumn("tp", F.transform("hits", lambda h: h.isNotNull()))
 

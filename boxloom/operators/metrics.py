@@ -8,7 +8,7 @@ from boxloom.constants import HEAVY_EQUIPMENT, IOU_LEVELS, TAXONOMY, Z95
 from boxloom.functions import geometry as g
 from boxloom.functions.scalars import class_name, wilson_lower
 from boxloom.operators.boxes import band_column
-from boxloom.session import literal
+from boxloom.session import checkpointed, literal
 from boxloom.operators.scale import exact_quantile, join_small, part_running_sum, range_parts
 
 KEYS = ["image_id", "class_id"]
@@ -87,27 +87,31 @@ def ignored_counts(marked: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
-def scored_levels(matches: DataFrame, levels: list[float] = IOU_LEVELS) -> DataFrame:
-    """One row per prediction and IoU level from the flags of `match_coco`."""
-    at = F.array(*[F.lit(x) for x in levels])
-    rows = matches.select("image_id", "class_id", "det_id", "score", F.posexplode("tp").alias("_i", "tp"))
-    return rows.withColumn("level", F.get(at, F.col("_i"))).drop("_i")
+def cumulative_tp_fp(matches: DataFrame, key: str = "class_id", levels: list[float] = IOU_LEVELS, hits_only: bool = False) -> DataFrame:
+    """Running TP and FP by falling score (ties by det_id) per key and IoU level.
 
-
-def cumulative_tp_fp(scored: DataFrame, keys: list[str]) -> DataFrame:
-    """Running TP and FP by falling score (ties by det_id) per key.
-
-    A class holds most rows, so the order is cut by range and the parts are linked by their
-    totals; no key is sorted in one task.
+    `matches` is the result of `match_coco`. The order does not depend on the level, so one row per
+    prediction is sorted and all levels are summed side by side; rows become levels afterwards. A
+    class may hold most rows: the order is cut by range and the parts are linked by their totals.
+    `hits_only` keeps the rows of true positives, the only ones where precision can peak.
     """
     order = [F.col("score").desc(), F.col("det_id").asc()]
-    hit = F.col("tp").cast("int").cast("long")
-    return part_running_sum(range_parts(scored, keys, order), keys, order, {"cum_tp": hit, "cum_fp": 1 - hit})
+    parts = range_parts(matches.select(key, "det_id", "score", "tp"), [key], order)
+    hit = {f"_tp{i}": F.get("tp", F.lit(i)).cast("int").cast("long") for i in range(len(levels))}
+    rows = part_running_sum(parts, [key], order, {"_n": F.lit(1).cast("long"), **hit})
+    each = F.array(*[
+        F.struct(F.lit(level).alias("level"), F.get("tp", F.lit(i)).alias("tp"), F.col(f"_tp{i}").alias("cum_tp"))
+        for i, level in enumerate(levels)
+    ])
+    if hits_only:
+        each = F.filter(each, lambda x: x["tp"])
+    rows = rows.select(key, "det_id", "score", "_n", F.explode(each).alias("l"))
+    return rows.select(key, "l.level", "det_id", "score", "l.tp", "l.cum_tp", (F.col("_n") - F.col("l.cum_tp")).alias("cum_fp"))
 
 
-def pr_curve(scored: DataFrame, truth_counts: DataFrame, keys: list[str], count_keys: list[str]) -> DataFrame:
-    """Precision and recall after every prediction; `truth_counts`: count_keys, n_truth."""
-    rows = cumulative_tp_fp(scored, keys).join(truth_counts, count_keys)
+def pr_curve(matches: DataFrame, truth_counts: DataFrame, key: str = "class_id", hits_only: bool = False) -> DataFrame:
+    """Precision and recall after every prediction; `truth_counts`: key, n_truth."""
+    rows = cumulative_tp_fp(matches, key, hits_only=hits_only).join(truth_counts, key)
     tp, fp = F.col("cum_tp").cast("double"), F.col("cum_fp")
     return rows.withColumns({
         "precision": F.try_divide(tp, F.col("cum_tp") + fp),
@@ -131,13 +135,14 @@ def precision_envelope(curve: DataFrame, keys: list[str]) -> DataFrame:
     return rows.select(*keys, "cum_tp", "recall", "precision", F.greatest("_near", F.coalesce("_beyond", "_near")).alias("envelope"))
 
 
-def average_precision(scored: DataFrame, truth_counts: DataFrame, keys: list[str], count_keys: list[str]) -> DataFrame:
-    """101-point AP per key. A key without truth is absent, a key without predictions is 0.
+def average_precision(matches: DataFrame, truth_counts: DataFrame, key: str = "class_id") -> DataFrame:
+    """101-point AP per key and level. A key without truth, or without any hit, is absent.
 
     Each point lifts all recall steps up to floor(100 * recall); the best precision per step
     is a plain aggregation and the rest works on at most 101 numbers per key.
     """
-    curve = pr_curve(scored, truth_counts, keys, count_keys)
+    keys = [key, "level"]
+    curve = pr_curve(matches, truth_counts, key, hits_only=True)
     best = curve.withColumn("_step", F.expr("least(100 * cum_tp div n_truth, 100)"))
     best = best.groupBy(*keys, "_step").agg(F.max("precision").alias("_p"))
     steps = best.groupBy(*keys).agg(F.collect_list(F.struct("_step", "_p")).alias("_steps"))
@@ -150,15 +155,16 @@ def average_precision(scored: DataFrame, truth_counts: DataFrame, keys: list[str
     return steps.select(*keys, (total / 101.0).alias("ap"))
 
 
-def coco_summary(scored: DataFrame, truth_counts: DataFrame) -> DataFrame:
+def coco_summary(matches: DataFrame, truth_counts: DataFrame) -> DataFrame:
     """AP50 and AP50:95 per class; a class without truth is null, one without predictions 0."""
-    ap = average_precision(scored, truth_counts, ["class_id", "level"], ["class_id"])
+    matches = checkpointed(matches)
+    ap = average_precision(matches, truth_counts)
     n_levels = len(IOU_LEVELS)
     per_class = ap.groupBy("class_id").agg(
         F.max(F.when(F.abs(F.col("level") - 0.5) < 1e-9, F.col("ap"))).alias("_ap50"),
         (F.sum("ap") / n_levels).alias("_ap"),
     )
-    ids = scored.select("class_id").union(truth_counts.select("class_id")).distinct()
+    ids = matches.select("class_id").union(truth_counts.select("class_id")).distinct()
     rows = ids.join(truth_counts, "class_id", "left").join(per_class, "class_id", "left")
     has = F.coalesce(F.col("n_truth"), F.lit(0)) > 0
     return rows.select(

@@ -140,7 +140,7 @@ def exact_quantile(df: DataFrame, keys: list[str], value: str, q: float, name: s
     counts = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
     cum = part_running_sum(range_parts(counts, keys, [F.col(value).asc()]), keys, [F.col(value).asc()], {"_cum": F.col("_n")})
     total = cum.groupBy(*keys).agg(F.max("_cum").alias("_total"))
-    rows = cum.join(total, keys) if keys else cum.join(total, F.lit(True))  # without keys: one total row
+    rows = cum.join(total, keys) if keys else cum.withColumn("_total", total.scalar())
     at = (F.col("_total") - 1) * F.lit(q)
     low, high = F.floor(at), F.ceil(at)
     picked = rows.groupBy(*keys).agg(
@@ -156,8 +156,7 @@ def exact_percent_rank(df: DataFrame, value: str, name: str) -> DataFrame:
     counts = df.filter(F.col(value).isNotNull()).groupBy(value).agg(F.count(F.lit(1)).alias("_n"))
     order = [F.col(value).asc()]
     cum = part_running_sum(range_parts(counts, [], order), [], order, {"_cum": F.col("_n")})
-    total = cum.agg(F.max("_cum").alias("_total"))
-    ranks = cum.join(total, F.lit(True))  # one total row
+    ranks = cum.withColumn("_total", cum.agg(F.max("_cum")).scalar())
     share = F.coalesce(F.try_divide((F.col("_cum") - F.col("_n")).cast("double"), F.col("_total") - 1), F.lit(0.0))
     ranks = ranks.select(value, share.alias(name))
     return df.join(ranks, value, "left")

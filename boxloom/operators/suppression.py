@@ -21,19 +21,22 @@ def nms(df: DataFrame, iou: float = 0.5, *, group_limit: int = GROUP_LIMIT) -> D
     Exact copies fall to their best copy first, by a plain aggregation, so a pile of copies
     never forms pairs. Groups still above `group_limit` are settled in distributed rounds.
     """
-    best = F.max_by(F.struct("det_id", "score"), F.struct(F.col("score"), -F.col("det_id")))
-    distinct = df.groupBy(*KEYS, *g.CORNERS).agg(best.alias("_b"))
-    distinct = distinct.select(*KEYS, *g.CORNERS, F.col("_b.det_id").alias("det_id"), F.col("_b.score").alias("score"))
+    rest = [c for c in df.columns if c not in (*KEYS, *g.CORNERS)]
+    best = F.max_by(F.struct(*rest), F.struct(F.col("score"), -F.col("det_id")))
+    distinct = df.groupBy(*KEYS, *g.CORNERS).agg(best.alias("_b")).select(*KEYS, *g.CORNERS, "_b.*")
     big = hot_keys(df, KEYS, group_limit)
     small, hot = split_by_keys(distinct, KEYS, big)
     kept = _fold(small, iou)
     if hot is not None:
-        kept = kept.unionByName(_rounds(hot, iou))
-    return df.join(kept.select(*KEYS, "det_id"), [*KEYS, "det_id"], "left_semi")
+        hot = checkpointed(hot)
+        kept = kept.unionByName(hot.join(_rounds(hot, iou), [*KEYS, "det_id"], "left_semi"))
+    return kept.select(*df.columns)
 
 
 def _fold(df: DataFrame, iou: float) -> DataFrame:
-    entry = F.struct((-F.col("score")).alias("rank"), "det_id", *g.CORNERS)
+    # whole rows travel in the sorted array, so the kept ones need no join afterwards
+    rest = [c for c in df.columns if c not in (*KEYS, *g.CORNERS, "det_id")]
+    entry = F.struct((-F.col("score")).alias("rank"), "det_id", *g.CORNERS, F.struct(*rest).alias("rest"))
     grouped = df.groupBy(*KEYS).agg(F.sort_array(F.collect_list(entry)).alias("queue"))
     none = F.slice(F.col("queue"), 1, 0)
 
@@ -42,8 +45,9 @@ def _fold(df: DataFrame, iou: float) -> DataFrame:
         hidden = F.exists(kept, lambda k: g.iou([k[n] for n in g.CORNERS], corners) >= iou)
         return F.when(hidden, kept).otherwise(F.concat(kept, F.array(box)))
 
-    rows = grouped.select(*KEYS, F.explode(F.aggregate("queue", none, step)).alias("b"))
-    return rows.select(*KEYS, F.col("b.det_id").alias("det_id"))
+    kept = F.when(F.size("queue") == 1, F.col("queue")).otherwise(F.aggregate("queue", none, step))
+    rows = grouped.select(*KEYS, F.explode(kept).alias("b"))
+    return rows.select(*KEYS, "b.det_id", *[F.col(f"b.{n}") for n in g.CORNERS], "b.rest.*")
 
 
 def _rounds(df: DataFrame, iou: float) -> DataFrame:
@@ -76,7 +80,8 @@ def fuse_boxes(df: DataFrame, iou: float = 0.5, *, group_limit: int = GROUP_LIMI
     Corners are the score-weighted mean of the cluster, the score its plain mean; `det_id` is
     the kept box, `members` the cluster size.
     """
-    kept = nms(df, iou, group_limit=group_limit).select(*KEYS, "det_id", "score", *g.CORNERS)
+    df = checkpointed(df.select(*KEYS, "det_id", "score", *g.CORNERS))
+    kept = checkpointed(nms(df, iou, group_limit=group_limit))
     rest = df.join(kept.select(*KEYS, "det_id"), [*KEYS, "det_id"], "left_anti")
     near = overlap_join(
         rest, kept, KEYS, iou, left_id="det_id", right_id="det_id",

@@ -157,7 +157,8 @@ def _gates(cfg: TrackConfig, boxes: pd.DataFrame) -> tuple[float, float]:
 
 
 def _frames_in_order(boxes: pd.DataFrame) -> pd.DataFrame:
-    return boxes.assign(frame_id=boxes["_f"]).sort_values(["frame_id", "det_id"])
+    order = np.lexsort((boxes["det_id"].to_numpy(), boxes["_f"].to_numpy()))
+    return boxes.assign(frame_id=boxes["_f"]).iloc[order]
 
 
 def _one_block(rows: DataFrame, unit: list[str], cfg: TrackConfig) -> DataFrame:
@@ -254,11 +255,11 @@ def track_errors(tracked: DataFrame, truth: DataFrame, iou: float = 0.5) -> Data
     named = hits.join(tracked.select("image_id", "det_id", "track_id", "association", F.col("class_id").alias("class_id")), ["image_id", "det_id"])
     along = truth.select("image_id", "annotation_id", "object_id", "frame_id")
     along = along.join(named, ["image_id", "annotation_id"], "left")
-    changes = identity_changes(along.select("object_id", "frame_id", "track_id", "class_id")).agg(
+    changes = identity_changes(along.select("object_id", "frame_id", "track_id", "class_id")).agg(F.struct(
         F.count_if("id_switch").alias("id_switches"),
         F.count_if("fragmented").alias("fragmentations"),
         F.count_if("class_change").alias("class_changes"),
-    )
+    ))
     judged = tracked.select("image_id", "det_id", "association").join(hits.select("image_id", "det_id", "iou"), ["image_id", "det_id"], "left")
     weak, gap = F.col("association") == "weak", F.col("association") == "gap"
     right = F.col("iou").isNotNull()
@@ -268,7 +269,7 @@ def track_errors(tracked: DataFrame, truth: DataFrame, iou: float = 0.5) -> Data
         F.count_if(gap).alias("propagated"),
         F.count_if(gap & ~right).alias("false_propagation"),
     )
-    return counts.join(changes, F.lit(True))  # one row by one row
+    return counts.withColumn("_c", changes.scalar()).select("*", "_c.*").drop("_c")
 
 
 # --- refinement -----------------------------------------------------------------------
@@ -400,8 +401,10 @@ def compare_propagation(a: DataFrame, b: DataFrame, truth: DataFrame, names: tup
     parts = []
     for name, df in zip(names, (a, b)):
         hits = match_boxes(df, truth, iou, "greedy", ("image_id",))
-        n = df.agg(F.count(F.lit(1)).alias("boxes")).join(truth.agg(F.count(F.lit(1)).alias("truths")), F.lit(True))
-        n = n.join(hits.agg(F.count(F.lit(1)).alias("tp"), F.avg("iou").alias("mean_iou")), F.lit(True))
-        rows = n.join(track_errors(df, truth, iou), F.lit(True))  # all single rows
-        parts.append(rows.select(F.lit(name).alias("method"), "*"))
+        n = df.agg(F.count(F.lit(1)).alias("boxes")).withColumns({
+            "truths": truth.agg(F.count(F.lit(1))).scalar(),
+            "_h": hits.agg(F.struct(F.count(F.lit(1)).alias("tp"), F.avg("iou").alias("mean_iou"))).scalar(),
+            "_e": track_errors(df, truth, iou).select(F.struct("*")).scalar(),
+        })
+        parts.append(n.select(F.lit(name).alias("method"), "boxes", "truths", "_h.*", "_e.*"))
     return parts[0].unionByName(parts[1])

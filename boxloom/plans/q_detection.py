@@ -8,12 +8,14 @@ from boxloom.plans.oracle_parts import ORACLE_VIEWS, greedy, iou_sql
 from boxloom.plans.q_boxes import rounded
 from boxloom.plans.q_manifest import folded
 from boxloom.plans.registry import Inputs, query
+from boxloom.session import checkpointed
 
 OVERLAP = "a.x1 < b.x2 AND b.x1 < a.x2 AND a.y1 < b.y2 AND b.y1 < a.y2"
 
 
 def clipped(t: Inputs):
-    return ob.clip_boxes(t.det), ob.clip_boxes(t.truth)
+    """Clipped predictions and truth, frozen: matching reads both more than once."""
+    return checkpointed(ob.clip_boxes(t.det)), checkpointed(ob.clip_boxes(t.truth))
 
 
 def matched(t: Inputs):
@@ -33,7 +35,7 @@ def iou_pairs(t: Inputs):
 @query(f"""SELECT a.det_id AS det_id_a, b.det_id AS det_id_b, round({iou_sql()}, 6) AS iou FROM o_det a JOIN o_det b
     ON a.image_id = b.image_id AND a.class_id = b.class_id AND a.det_id < b.det_id AND {OVERLAP} WHERE {iou_sql()} >= 0.3""")
 def self_pairs(t: Inputs):
-    return rounded(pairs.self_pairs(clipped(t)[0], 0.3), "iou").drop("image_id", "class_id")
+    return rounded(pairs.self_pairs(checkpointed(ob.clip_boxes(t.det)), 0.3), "iou").drop("image_id", "class_id")
 
 
 ORACLE_VIEWS["o_dis_pairs"] = f"""SELECT a.image_id, a.det_id AS a_id, b.det_id AS b_id, {iou_sql()} AS iou
@@ -46,7 +48,7 @@ ORACLE_VIEWS["o_disagree"] = """SELECT coalesce(a.image_id, b.image_id) AS image
 
 
 def compared(t: Inputs):
-    return matching.disagreements(ob.clip_boxes(t.det), ob.clip_boxes(t.det_b))
+    return matching.disagreements(checkpointed(ob.clip_boxes(t.det)), checkpointed(ob.clip_boxes(t.det_b)))
 
 
 @query("SELECT image_id, a_id, b_id, kind FROM o_disagree")
@@ -83,7 +85,7 @@ ORACLE_VIEWS.update(greedy("o_rev_pairs", "image_id", "a_id", "b_id", "o_rev", 5
     SELECT n, na, nb, na + nb - n AS decisions, (SELECT count(*) FROM o_rev WHERE ca = cb) AS agree, (SELECT count(*) FROM o_rev WHERE ca <> cb) AS "class"
     FROM (SELECT (SELECT count(*) FROM o_rev) AS n, (SELECT count(*) FROM o_truth) AS na, (SELECT count(*) FROM o_second) AS nb) y) z""")
 def double_review_agreement(t: Inputs):
-    a = clipped(t)[1].withColumnRenamed("annotation_id", "det_id").withColumn("score", F.lit(1.0))
+    a = checkpointed(ob.clip_boxes(t.truth)).withColumnRenamed("annotation_id", "det_id").withColumn("score", F.lit(1.0))
     b = a.filter("det_id % 17 <> 0").withColumns({
         "class_id": F.expr("CASE WHEN det_id % 13 = 0 THEN (class_id + 1) % 6 ELSE class_id END"), "x1": F.expr("least(x1 + det_id % 9, 1919)"),
     })
@@ -111,7 +113,7 @@ def match_coco(t: Inputs):
 
 @query("SELECT det_id, image_id, class_id FROM o_nms")
 def nms(t: Inputs):
-    return suppression.nms(clipped(t)[0]).select("det_id", "image_id", "class_id")
+    return suppression.nms(ob.clip_boxes(t.det)).select("det_id", "image_id", "class_id")
 
 
 FUSE = """
@@ -127,13 +129,13 @@ FUSE = """
 
 @query(FUSE)
 def fuse_boxes(t: Inputs):
-    out = suppression.fuse_boxes(clipped(t)[0])
+    out = suppression.fuse_boxes(ob.clip_boxes(t.det))
     return rounded(out, "x1", "y1", "x2", "y2", "score").drop("image_id", "class_id")
 
 
 def tiled(t: Inputs):
     """Predictions as a tiled detector would give them: one box per tile reached, ids by tile."""
-    cut = ob.cut_to_tiles(clipped(t)[0])
+    cut = ob.cut_to_tiles(ob.clip_boxes(t.det))
     return cut.withColumn("det_id", F.col("det_id") * 100 + F.col("tile_x") / 512 * 10 + F.col("tile_y") / 440).withColumn("det_id", F.col("det_id").cast("bigint"))
 
 
@@ -152,7 +154,7 @@ def merge_tiles_fused(t: Inputs):
 @query("""SELECT camera_id, tiled_boxes, merged_boxes, round((tiled_boxes - merged_boxes) / CAST(tiled_boxes AS DOUBLE), 6) AS duplicate_rate FROM (
     SELECT camera_id, count(*) AS tiled_boxes, count(*) FILTER (WHERE det_id IN (SELECT det_id FROM o_nms)) AS merged_boxes FROM o_det GROUP BY camera_id) z""")
 def tile_duplicate_rate(t: Inputs):
-    before = clipped(t)[0]
+    before = checkpointed(ob.clip_boxes(t.det))
     return rounded(suppression.tile_duplicate_rate(before, suppression.nms(before), ["camera_id"]), "duplicate_rate")
 
 
@@ -191,7 +193,7 @@ def slice_metrics(t: Inputs):
 def variants(t: Inputs):
     """Outcomes of two runs side by side: as detected, and after suppression."""
     pred, truth, hits = matched(t)
-    kept = suppression.nms(pred)
+    kept = checkpointed(suppression.nms(pred))
     again = mt.detection_outcomes(kept, truth, matching.match_boxes(kept, truth, 0.5, "greedy"))
     first = mt.detection_outcomes(pred, truth, hits)
     return first.withColumn("run", F.lit("native")).unionByName(again.withColumn("run", F.lit("suppressed")))
@@ -264,29 +266,28 @@ def acceptance_gate(t: Inputs):
     FROM (SELECT class_id, count(*) FILTER (WHERE outcome = 'FN') AS fn, count(*) FILTER (WHERE outcome = 'FP') AS fp FROM o_outcomes GROUP BY class_id) z""")
 def per_thousand(t: Inputs):
     counts = mt.detection_counts(outcomes(t), ["class_id"])
-    total = t.images.agg(F.count(F.lit(1)).alias("images"))
-    out = mt.per_thousand(counts.join(total, F.lit(True)), F.col("images"))  # one total row
+    out = mt.per_thousand(counts, t.images.agg(F.count(F.lit(1))).scalar())
     return rounded(out, "missed_per_1000", "false_per_1000").select("class_id", "missed_per_1000", "false_per_1000")
 
 
 # --- COCO -----------------------------------------------------------------------------
 
 def scored(t: Inputs):
-    return mt.scored_levels(matching.match_coco(*clipped(t)))
+    return matching.match_coco(*clipped(t))
 
 
 def truth_counts(t: Inputs):
-    return clipped(t)[1].groupBy("class_id").agg(F.count(F.lit(1)).alias("n_truth"))
+    return ob.clip_boxes(t.truth).groupBy("class_id").agg(F.count(F.lit(1)).alias("n_truth"))
 
 
 @query("SELECT class_id, level, det_id, cum_tp, cum_fp FROM o_cum")
 def cumulative_tp_fp(t: Inputs):
-    return mt.cumulative_tp_fp(scored(t), ["class_id", "level"]).select("class_id", "level", "det_id", "cum_tp", "cum_fp")
+    return mt.cumulative_tp_fp(scored(t)).select("class_id", "level", "det_id", "cum_tp", "cum_fp")
 
 
 @query("SELECT class_id, level, det_id, round(precision, 6) AS precision, round(recall, 6) AS recall FROM o_curve")
 def pr_curve(t: Inputs):
-    out = mt.pr_curve(scored(t), truth_counts(t), ["class_id", "level"], ["class_id"])
+    out = mt.pr_curve(scored(t), truth_counts(t))
     return rounded(out, "precision", "recall").select("class_id", "level", "det_id", "precision", "recall")
 
 
@@ -294,7 +295,7 @@ def pr_curve(t: Inputs):
     FROM o_curve GROUP BY class_id, level, cum_tp""")
 def precision_envelope(t: Inputs):
     keys = ["class_id", "level"]
-    out = mt.precision_envelope(mt.pr_curve(scored(t), truth_counts(t), keys, ["class_id"]), keys)
+    out = mt.precision_envelope(mt.pr_curve(scored(t), truth_counts(t)), keys)
     return rounded(out, "envelope").select(*keys, "cum_tp", "envelope")
 
 

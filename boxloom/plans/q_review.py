@@ -181,7 +181,7 @@ def signals(t: Inputs):
         F.min("class_id").alias("class_id"),
     )
     margin = qu.class_margin(t.det, ["image_id"]).select("image_id", (1.0 - F.col("margin")).alias("low_margin"))
-    apart = compared(t)
+    apart = checkpointed(compared(t))
     doubt = apart.groupBy("image_id").agg(F.avg((F.col("kind") != "agree").cast("double")).alias("disagreement"))
     wrong = qu.mistake_score(apart)
     return boxes.join(margin, "image_id", "left").join(doubt, "image_id", "left").join(wrong, "image_id", "left")
