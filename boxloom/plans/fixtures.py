@@ -130,11 +130,13 @@ def closure(text: str, views: dict[str, str]) -> list[str]:
     return [n for n in views if n in names]
 
 
-def with_views(sql: str, views: dict[str, str] = VIEWS) -> str:
+def with_views(sql: str, views: dict[str, str] = VIEWS, once: str | None = None) -> str:
+    """`once`: prefix of the views that the checking engine should compute a single time."""
     names = closure(sql, views)
     if not names:
         return sql
-    head = ",\n".join(f"{n} AS ({views[n]})" for n in names)
+    kept = {n: " MATERIALIZED" if once and n.startswith(once) else "" for n in names}
+    head = ",\n".join(f"{n} AS{kept[n]} ({views[n]})" for n in names)
     return f"WITH {head}\n{sql}"
 
 

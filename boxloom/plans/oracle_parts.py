@@ -48,6 +48,31 @@ def greedy(pairs: str, keys: str, left: str, right: str, prefix: str, n: int = 4
     return rounds(pairs, keys, left, right, order, order, prefix, n)
 
 
+def suppression(source: str, prefix: str, n: int = 4) -> dict[str, str]:
+    """View `prefix`: boxes kept at IoU 0.5. A live box without a better live neighbour is kept, then its
+    neighbours leave; `prefix_open` holds what `n` rounds leave undecided (to be empty).
+    """
+    views = {f"{prefix}_better": f"""
+        SELECT a.det_id AS loser, b.det_id AS winner, {iou_sql()} AS iou
+        FROM {source} a JOIN {source} b ON a.image_id = b.image_id AND a.class_id = b.class_id AND a.det_id <> b.det_id
+         AND (b.score > a.score OR (b.score = a.score AND b.det_id < a.det_id))
+         AND a.x1 < b.x2 AND b.x1 < a.x2 AND a.y1 < b.y2 AND b.y1 < a.y2
+        WHERE {iou_sql()} >= 0.5"""}
+    live, edges = f"(SELECT det_id FROM {source})", f"{prefix}_better"
+    for i in range(n):
+        views[f"{prefix}_keep{i}"] = f"SELECT det_id FROM {live} v WHERE det_id NOT IN (SELECT loser FROM {edges})"
+        views[f"{prefix}_gone{i}"] = f"SELECT DISTINCT loser AS det_id FROM {edges} WHERE winner IN (SELECT det_id FROM {prefix}_keep{i})"
+        views[f"{prefix}_live{i}"] = f"""SELECT det_id FROM {live} v WHERE det_id NOT IN (SELECT det_id FROM {prefix}_keep{i})
+            AND det_id NOT IN (SELECT det_id FROM {prefix}_gone{i})"""
+        views[f"{prefix}_edge{i}"] = f"""SELECT * FROM {edges} WHERE loser NOT IN (SELECT det_id FROM {prefix}_gone{i})
+            AND winner NOT IN (SELECT det_id FROM {prefix}_gone{i})"""
+        live, edges = f"{prefix}_live{i}", f"{prefix}_edge{i}"
+    kept = " UNION ALL ".join(f"SELECT det_id FROM {prefix}_keep{i}" for i in range(n))
+    views[prefix] = f"SELECT * FROM {source} WHERE det_id IN ({kept})"
+    views[f"{prefix}_open"] = f"SELECT * FROM {live}"
+    return views
+
+
 def clip_sql(source: str, extra: str) -> str:
     return f"""
         SELECT * FROM (
@@ -104,18 +129,6 @@ ORACLE_VIEWS: dict[str, str] = {
             LEFT JOIN (SELECT class_id, level, cum_tp, n_truth, max(precision) AS precision FROM o_curve GROUP BY ALL) c
               ON c.class_id = k.class_id AND c.level = k.level AND s.j * c.n_truth <= 100 * c.cum_tp
             GROUP BY k.class_id, k.level, s.j) z GROUP BY class_id, level""",
-    # suppression: two rounds and what is then undecided (none in these tables)
-    "o_better": f"""
-        SELECT a.det_id AS loser, b.det_id AS winner, {iou_sql()} AS iou
-        FROM o_det a JOIN o_det b ON a.image_id = b.image_id AND a.class_id = b.class_id AND a.det_id <> b.det_id
-         AND (b.score > a.score OR (b.score = a.score AND b.det_id < a.det_id))
-         AND a.x1 < b.x2 AND b.x1 < a.x2 AND a.y1 < b.y2 AND b.y1 < a.y2
-        WHERE {iou_sql()} >= 0.5""",
-    "o_keep0": "SELECT det_id FROM o_det WHERE det_id NOT IN (SELECT loser FROM o_better)",
-    "o_gone0": "SELECT DISTINCT loser AS det_id FROM o_better WHERE winner IN (SELECT det_id FROM o_keep0)",
-    "o_edge1": "SELECT * FROM o_better WHERE loser NOT IN (SELECT det_id FROM o_gone0) AND winner NOT IN (SELECT det_id FROM o_gone0)",
-    "o_keep1": """SELECT det_id FROM o_det WHERE det_id NOT IN (SELECT det_id FROM o_keep0) AND det_id NOT IN (SELECT det_id FROM o_gone0)
-                  AND det_id NOT IN (SELECT loser FROM o_edge1)""",
-    "o_nms": "SELECT * FROM o_det WHERE det_id IN (SELECT det_id FROM o_keep0 UNION ALL SELECT det_id FROM o_keep1)",
+    **suppression("o_det", "o_nms"),
     "o_seq": "SELECT image_key AS image_id, printf('s%02d', seq_truth) AS sequence_id, CAST(seq_truth AS INTEGER) AS fold_id FROM fx_images",
 }

@@ -4,7 +4,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from boxloom.operators import boxes as ob, matching, metrics as mt, pairs, review, suppression
-from boxloom.plans.oracle_parts import ORACLE_VIEWS, greedy, iou_sql
+from boxloom.plans.oracle_parts import ORACLE_VIEWS, greedy, iou_sql, suppression as suppress_sql
 from boxloom.plans.q_boxes import rounded
 from boxloom.plans.q_manifest import folded
 from boxloom.plans.registry import Inputs, query
@@ -116,18 +116,20 @@ def nms(t: Inputs):
     return suppression.nms(ob.clip_boxes(t.det)).select("det_id", "image_id", "class_id")
 
 
-FUSE = """
-    SELECT keeper AS det_id, round(sum(x1 * score) / sum(score), 6) AS x1, round(sum(y1 * score) / sum(score), 6) AS y1,
-           round(sum(x2 * score) / sum(score), 6) AS x2, round(sum(y2 * score) / sum(score), 6) AS y2, round(avg(score), 6) AS score, count(*) AS members
-    FROM (SELECT det_id AS keeper, x1, y1, x2, y2, score FROM o_nms
+def fuse_sql(source: str, kept: str) -> str:
+    mean = ", ".join(f"round(sum({n} * score) / sum(score), 6) AS {n}" for n in ("x1", "y1", "x2", "y2"))
+    return f"""
+    SELECT keeper AS det_id, {mean}, round(avg(score), 6) AS score, count(*) AS members
+    FROM (SELECT det_id AS keeper, x1, y1, x2, y2, score FROM {kept}
           UNION ALL
           SELECT winner, x1, y1, x2, y2, score FROM (
               SELECT d.*, e.winner, row_number() OVER (PARTITION BY d.det_id ORDER BY e.iou DESC, e.winner) AS rn
-              FROM o_det d JOIN o_better e ON e.loser = d.det_id WHERE e.winner IN (SELECT det_id FROM o_nms) AND d.det_id NOT IN (SELECT det_id FROM o_nms)) c WHERE rn = 1) z
+              FROM {source} d JOIN {kept}_better e ON e.loser = d.det_id
+              WHERE e.winner IN (SELECT det_id FROM {kept}) AND d.det_id NOT IN (SELECT det_id FROM {kept})) c WHERE rn = 1) z
     GROUP BY keeper"""
 
 
-@query(FUSE)
+@query(fuse_sql("o_det", "o_nms"))
 def fuse_boxes(t: Inputs):
     out = suppression.fuse_boxes(ob.clip_boxes(t.det))
     return rounded(out, "x1", "y1", "x2", "y2", "score").drop("image_id", "class_id")
@@ -141,14 +143,22 @@ def tiled(t: Inputs):
 
 
 
-@query()
+ORACLE_VIEWS["o_tiled"] = """SELECT CAST(det_id * 100 + tile_x / 512 * 10 + tile_y / 440 AS BIGINT) AS det_id, image_id, class_id, score,
+        greatest(x1, tile_x) AS x1, greatest(y1, tile_y) AS y1, least(x2, tile_x + 640) AS x2, least(y2, tile_y + 640) AS y2
+    FROM o_det CROSS JOIN (SELECT unnest([0, 512, 1024, 1280]) AS tile_x) a CROSS JOIN (SELECT unnest([0, 440]) AS tile_y) b
+    WHERE x1 < tile_x + 640 AND x2 > tile_x AND y1 < tile_y + 640 AND y2 > tile_y"""
+ORACLE_VIEWS.update(suppress_sql("o_tiled", "o_merged", 5))
+
+
+@query("SELECT det_id, image_id, class_id, x1, y1, x2, y2 FROM o_merged")
 def merge_tiles(t: Inputs):
     return suppression.merge_tiles(tiled(t)).select("det_id", "image_id", "class_id", "x1", "y1", "x2", "y2")
 
 
-@query()
+@query(fuse_sql("o_tiled", "o_merged"))
 def merge_tiles_fused(t: Inputs):
-    return suppression.merge_tiles(tiled(t), method="fuse")
+    out = suppression.merge_tiles(tiled(t), method="fuse")
+    return rounded(out, "x1", "y1", "x2", "y2", "score").drop("image_id", "class_id")
 
 
 @query("""SELECT camera_id, tiled_boxes, merged_boxes, round((tiled_boxes - merged_boxes) / CAST(tiled_boxes AS DOUBLE), 6) AS duplicate_rate FROM (

@@ -35,7 +35,7 @@ def query(sql: str | None = None, name: str | None = None):
         if sql is not None:
             from boxloom.plans.oracle_parts import ORACLE_VIEWS
 
-            ORACLES[key] = with_views(sql, {**VIEWS, **ORACLE_VIEWS})
+            ORACLES[key] = with_views(sql, {**VIEWS, **ORACLE_VIEWS}, once="o_")
         return fn
 
     return add
