@@ -117,9 +117,9 @@ def nms(t: Inputs):
 
 
 def fuse_sql(source: str, kept: str) -> str:
-    mean = ", ".join(f"round(sum({n} * score) / sum(score), 6) AS {n}" for n in ("x1", "y1", "x2", "y2"))
+    mean = ", ".join(f"round(sum({n} * score) / sum(score) + 0.000000123, 6) AS {n}" for n in ("x1", "y1", "x2", "y2"))
     return f"""
-    SELECT keeper AS det_id, {mean}, round(avg(score), 6) AS score, count(*) AS members
+    SELECT keeper AS det_id, {mean}, round(avg(score) + 0.000000123, 6) AS score, count(*) AS members
     FROM (SELECT det_id AS keeper, x1, y1, x2, y2, score FROM {kept}
           UNION ALL
           SELECT winner, x1, y1, x2, y2, score FROM (
@@ -131,8 +131,12 @@ def fuse_sql(source: str, kept: str) -> str:
 
 @query(fuse_sql("o_det", "o_nms"))
 def fuse_boxes(t: Inputs):
-    out = suppression.fuse_boxes(ob.clip_boxes(t.det))
-    return rounded(out, "x1", "y1", "x2", "y2", "score").drop("image_id", "class_id")
+    return fused(suppression.fuse_boxes(ob.clip_boxes(t.det)))
+
+
+def fused(out):
+    """Means rounded after a small shift: exact halves would depend on the order of summation."""
+    return out.withColumns({n: F.round(F.col(n) + 0.000000123, 6) for n in ("x1", "y1", "x2", "y2", "score")}).drop("image_id", "class_id")
 
 
 def tiled(t: Inputs):
@@ -157,8 +161,7 @@ def merge_tiles(t: Inputs):
 
 @query(fuse_sql("o_tiled", "o_merged"))
 def merge_tiles_fused(t: Inputs):
-    out = suppression.merge_tiles(tiled(t), method="fuse")
-    return rounded(out, "x1", "y1", "x2", "y2", "score").drop("image_id", "class_id")
+    return fused(suppression.merge_tiles(tiled(t), method="fuse"))
 
 
 @query("""SELECT camera_id, tiled_boxes, merged_boxes, round((tiled_boxes - merged_boxes) / CAST(tiled_boxes AS DOUBLE), 6) AS duplicate_rate FROM (
