@@ -25,7 +25,7 @@ from boxloom.llm.registry import query
 
 WORD = re.compile(r"\w+")
 #: The sample for fitting: so many toxic and clean documents, of texts up to so many code points.
-FIT_TOXIC, FIT_CLEAN, FIT_CHARS = 1_000, 4_000, 20_000
+FIT_TOXIC, FIT_CLEAN, FIT_CHARS = 1_000, 3_000, 20_000
 ROUNDS = 25
 REMEMBERED = 1_000_000
 
