@@ -1,6 +1,6 @@
 """All registered queries of this subpackage."""
 
-from boxloom.llm import line_dedup, token_counts, toxicity  # noqa: F401
+from boxloom.llm import curriculum, licenses, line_dedup, secrets, token_counts, toxicity  # noqa: F401
 from boxloom.llm.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
