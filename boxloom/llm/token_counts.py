@@ -77,12 +77,13 @@ class Counter:
 
     def count(self, batch: list[str]) -> np.ndarray:
         split = [self.split(x) for x in batch]
-        new = set().union(*(p for p, _ in split)) - self.known.keys()
+        distinct = set().union(*(p for p, _ in split))
+        new = [p for p in distinct if p not in self.known]
         if len(self.known) + len(new) > REMEMBERED:
             self.known.clear()
-            new = set().union(*(p for p, _ in split))
+            new = list(distinct)
         if new:
-            self.learn(list(new))
+            self.learn(new)
         get = self.known.__getitem__
         return np.array([sum(map(get, p)) + extra for p, extra in split], np.int64)
 
