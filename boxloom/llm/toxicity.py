@@ -98,8 +98,9 @@ class Field:
         sizes = np.array([len(x) for x in tokens], np.int64)
         if len(known) > REMEMBERED:
             known.clear()
-        for t in set().union(*tokens) - known.keys():
-            known[t] = self.emission(t)
+        for t in set().union(*tokens):
+            if t not in known:
+                known[t] = self.emission(t)
         get = known.__getitem__
         flat = np.fromiter((get(t) for x in tokens for t in x), float, int(sizes.sum()))
         forward, backward = Layout(sizes).chains(flat, self.trans)
