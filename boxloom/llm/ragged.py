@@ -13,9 +13,7 @@ class PairTable:
     def __init__(self, left: np.ndarray, right: np.ndarray, rank: np.ndarray, product: np.ndarray) -> None:
         keys = (left.astype(np.int64) << 32) | right.astype(np.int64)
         order = np.argsort(keys)
-        self.keys, self.rank = keys[order], rank[order].astype(np.int64)
-        by_rank = np.argsort(rank)
-        self.ranks, self.product = rank[by_rank].astype(np.int64), product[by_rank].astype(np.int64)
+        self.keys, self.rank, self.product = keys[order], rank[order].astype(np.int64), product[order].astype(np.int64)
 
     def ranks_of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """NONE where the two do not merge."""
@@ -23,15 +21,17 @@ class PairTable:
         at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
         return np.where(self.keys[at] == keys, self.rank[at], NONE)
 
-    def made_by(self, rank: np.ndarray) -> np.ndarray:
-        return self.product[np.searchsorted(self.ranks, rank)]
+    def products_of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Of pairs that do merge."""
+        return self.product[np.searchsorted(self.keys, (left << 32) | right)]
 
 
-def merge(symbols: np.ndarray, starts: np.ndarray, pairs: PairTable, watch=None) -> np.ndarray:
+def merge(symbols: np.ndarray, starts: np.ndarray, pairs: PairTable, watch=None, one_at_a_time: bool = False) -> np.ndarray:
     """Merge each sequence to its end; returns the length of each.
 
     `symbols` holds the sequences one after another, `starts` where each begins (none is empty). In a round every
     sequence merges all places of its lowest-ranked pair, from left to right; finished sequences leave the arrays.
+    With `one_at_a_time` it merges only the leftmost place, for vocabularies in which a product may rank before a part.
     With `watch`, it is called as watch(sequence numbers, their symbols, their starts) when sequences finish.
     """
     n = len(starts)
@@ -67,7 +67,9 @@ def merge(symbols: np.ndarray, starts: np.ndarray, pairs: PairTable, watch=None)
         fresh[1:] = hits[1:] != hits[:-1] + 1
         run_start = np.maximum.accumulate(np.where(fresh, np.arange(len(hits)), 0))
         hits = hits[(np.arange(len(hits)) - run_start) % 2 == 0]
-        symbols[hits] = pairs.made_by(rank[hits])
+        if one_at_a_time:
+            hits = hits[np.unique(np.searchsorted(starts, hits, side="right"), return_index=True)[1]]
+        symbols[hits] = pairs.products_of(symbols[hits], symbols[hits + 1])
         keep = np.ones(len(symbols), bool)
         keep[hits + 1] = False
         rank[hits] = NONE
