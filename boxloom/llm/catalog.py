@@ -1,6 +1,6 @@
 """All registered queries of this subpackage."""
 
-from boxloom.llm import curriculum, embedding_dedup, licenses, line_dedup, near_dedup, secrets, token_counts, toxicity  # noqa: F401
+from boxloom.llm import curriculum, embedding_dedup, fingerprints, licenses, line_dedup, near_dedup, secrets, sentence_pieces, token_counts, toxicity  # noqa: F401
 from boxloom.llm.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
