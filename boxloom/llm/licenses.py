@@ -86,20 +86,20 @@ def scan(docs: DataFrame, base: dict[str, str] = BASE, templates: dict[str, str]
     # a text that does not even contain the letters of a rarest word has no postings and is not cut into words
     low = F.lower("text")
     maybe = F.coalesce(reduce(Column.__or__, [F.contains(low, F.lit(w)) for w in rarest]), F.lit(False))
-    out = out.withColumn("_words", F.when(maybe, words()).otherwise(F.array().cast("array<string>")))
+    out = out.withColumn("_scan_words", F.when(maybe, words()).otherwise(F.array().cast("array<string>")))
     # postings of the rarest word of every template: (position, word)
-    posted = F.transform("_words", lambda w, i: F.struct(i.alias("at"), w.alias("word")))
-    out = out.withColumn("_posts", F.filter(posted, lambda p: p["word"].isin(rarest)))
+    posted = F.transform("_scan_words", lambda w, i: F.struct(i.alias("at"), w.alias("word")))
+    out = out.withColumn("_scan_posts", F.filter(posted, lambda p: p["word"].isin(rarest)))
     no_places = F.array().cast("array<int>")
 
     def starts(label: str, text: str) -> Column:
         template, found = text.split(), looked_up[label]
         key = template[:KEY_WORDS] if label in templates else template
         (q, rare), rest = found[0], found[1:]
-        places = F.transform(F.filter("_posts", lambda p: p["word"] == rare), lambda p: p["at"] - q)
+        places = F.transform(F.filter("_scan_posts", lambda p: p["word"] == rare), lambda p: p["at"] - q)
 
         def stands(s: Column, k: int, word: str) -> Column:
-            return F.get(F.col("_words"), s + k) == word
+            return F.get(F.col("_scan_words"), s + k) == word
 
         def agrees(s: Column) -> Column:
             ok = s >= 0
@@ -109,11 +109,11 @@ def scan(docs: DataFrame, base: dict[str, str] = BASE, templates: dict[str, str]
                 ok = ok & stands(s, k, word)
             return F.coalesce(ok, F.lit(False))
 
-        return F.when(F.size("_posts") > 0, F.filter(places, agrees)).otherwise(no_places)
+        return F.when(F.size("_scan_posts") > 0, F.filter(places, agrees)).otherwise(no_places)
 
-    out = out.withColumns({f"_at_{k}": starts(label, text) for k, (label, text) in enumerate(every.items())})
-    n = {label: F.size(f"_at_{k}") for k, label in enumerate(every)}
-    at = [F.col(f"_at_{k}") for k, label in enumerate(every) if label in base]
+    out = out.withColumns({f"_scan_at_{k}": starts(label, text) for k, (label, text) in enumerate(every.items())})
+    n = {label: F.size(f"_scan_at_{k}") for k, label in enumerate(every)}
+    at = [F.col(f"_scan_at_{k}") for k, label in enumerate(every) if label in base]
 
     def share(label: str, text: str, k: int) -> Column:
         """Of the template's weights, the part whose words stand at the best start."""
@@ -121,9 +121,9 @@ def scan(docs: DataFrame, base: dict[str, str] = BASE, templates: dict[str, str]
         total = sum(weight[w] for w in template)
 
         def in_place(s: Column) -> Column:
-            return sum((F.when(F.get(F.col("_words"), s + i) == w, F.lit(weight[w])).otherwise(0.0) for i, w in enumerate(template)), F.lit(0.0))
+            return sum((F.when(F.get(F.col("_scan_words"), s + i) == w, F.lit(weight[w])).otherwise(0.0) for i, w in enumerate(template)), F.lit(0.0))
 
-        return F.when(n[label] > 0, F.array_max(F.transform(f"_at_{k}", lambda s: in_place(s))) / F.lit(total)).otherwise(0.0)
+        return F.when(n[label] > 0, F.array_max(F.transform(f"_scan_at_{k}", lambda s: in_place(s))) / F.lit(total)).otherwise(0.0)
 
     shares = [share(label, text, k) for k, (label, text) in enumerate(every.items()) if label in templates]
     joined = F.concat(*at)
@@ -140,7 +140,7 @@ def scan(docs: DataFrame, base: dict[str, str] = BASE, templates: dict[str, str]
         "base_labels": named(base),
         "labels": named(every),
         "score": F.when(n_base > 0, F.lit(1.0)).otherwise(F.least(F.greatest(*shares), F.lit(1.0))),
-    }).drop("_words", "_posts", *[f"_at_{k}" for k in range(len(every))])
+    }).drop("_scan_words", "_scan_posts", *[f"_scan_at_{k}" for k in range(len(every))])
 
 
 @query()

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -14,11 +15,24 @@ from boxloom.llm.near_dedup import near_duplicates
 from boxloom.session import ensure_checkpoint_dir
 
 
-def _with_text(docs: DataFrame) -> DataFrame:
-    """n_chars follows the text."""
-    return docs.withColumn("n_chars", F.length("text").cast("long"))
+DOCUMENT = ("doc_id", "text", "lang", "source", "n_chars")
 
 
+def _apart(stage):
+    """Columns beyond those of documents go through a stage under names of their own, so that none can clash."""
+
+    @wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        others = {c: f"_extra_{k}" for k, c in enumerate(docs.columns) if c not in DOCUMENT}
+        out = stage(spark, docs.withColumnsRenamed(others), sf_dir)
+        back = {v: k for k, v in others.items()}
+        made = {c for c in out.columns if c not in back}
+        return out.select(*[F.col(c).alias(back.get(c, c)) for c in out.columns if back.get(c) not in made])
+
+    return run
+
+
+@_apart
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the random field, fitted to the labelled ones among them, scores 0.5 or more go.
 
@@ -28,11 +42,13 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.score_toxicity(docs, model).filter("predicted = 0").select(*docs.columns)
 
 
+@_apart
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines of 20 or more characters that 3 or more documents hold stay in one of them; no document goes."""
-    return _with_text(dedup_lines(docs)).select(*docs.columns)
+    return dedup_lines(docs).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
+@_apart
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group linked by a similarity of 0.8 on five-word shingles, the document with the smallest doc_id stays.
 
@@ -42,6 +58,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     return docs.join(groups, F.col("doc_id").eqNullSafe(F.col("_id")), "left").filter("_kept").select(*docs.columns)
 
 
+@_apart
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row per pass that the curriculum makes over a document, in the order of the training position.
 
@@ -61,6 +78,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return sized.join(chosen, same).orderBy("_at", "doc_id").select(*docs.columns)
 
 
+@_apart
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every row with its token_ids, their number, and whether decoding them gives the text again."""
     coded = sentence_pieces.decode(sentence_pieces.encode(docs), name="_decoded")
