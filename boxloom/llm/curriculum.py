@@ -124,7 +124,9 @@ def training_order(mixed: DataFrame) -> DataFrame:
         F.struct(F.lit(2).alias("pass"), F.greatest(F.col("taken") - F.col("size"), F.lit(0).cast("long")).alias("words"), F.col("repeat_position").alias("position")),
     )
     kept = F.filter(passes, lambda p: p["words"] > 0)
-    return mixed.drop("position", "repeat_position").withColumn("_p", F.explode(kept)).select("*", "_p.*").drop("_p").orderBy("position", "doc_id", "pass")
+    others = [c for c in mixed.columns if c not in ("position", "repeat_position", "pass", "words")]
+    exploded = mixed.select(*others, F.explode(kept).alias("_p"))
+    return exploded.select(*others, F.col("_p.pass").alias("pass"), F.col("_p.words").alias("words"), F.col("_p.position").alias("position")).orderBy("position", "doc_id", "pass")
 
 
 @query(

@@ -1,0 +1,213 @@
+"""Operators that look at one text at a time, against the libraries and plain versions."""
+
+import hashlib
+import random
+import re
+import sys
+import zlib
+from pathlib import Path
+
+import numpy as np
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+
+sys.path.insert(0, str(Path(__file__).parent))
+from cases import CLASHING, documents, frame  # noqa: E402
+
+from boxloom.llm import fingerprints, licenses, secrets, sentence_pieces, toxicity  # noqa: E402
+from boxloom.llm.token_counts import Counter, count_tokens  # noqa: E402
+
+
+def low(text):
+    return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text)
+
+
+def odd_texts():
+    rng = random.Random(1)
+    out = ["", " ", "a<|endoftext|>b", "\r\n\t x", "don't 'S", "a" * 3000, " " * 300, "▁▁a", "</s><s>", "a\0b", "日本語 ① ½", "ababaababab" * 30]
+    out += ["".join(rng.choice("aehtin osr'.0 \néß€中\U0001f600") for _ in range(rng.randint(1, 200))) for _ in range(200)]
+    out += ["".join(chr(rng.choice([rng.randrange(0x3000), rng.randrange(0xD800), rng.randrange(0xE000, 0x110000)])) for _ in range(80)) for _ in range(200)]
+    return out
+
+
+def test_token_counts_equal_the_library(spark):
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    library = Tokenizer.from_file(path)
+    texts = odd_texts() + [t or "" for _, t, *_ in documents()]
+    assert Counter(path).count(texts).tolist() == [len(e.ids) for e in library.encode_batch(texts, add_special_tokens=False)]
+    got = {(r.doc_id, r.n_bytes): (r.n_tokens, r.over_limit) for r in count_tokens(frame(spark, clashing=True)).collect()}
+    for i, t, *_ in documents():
+        n = len(library.encode(t or "", add_special_tokens=False).ids)
+        assert got[i, len((t or "").encode())] == (n, n > 512)
+    assert count_tokens(frame(spark, [])).count() == 0
+
+
+def test_settled_letters_are_split_alike():
+    own = Counter(public_tokenizers.path("byte_bpe_50k.json"))
+    for c in range(0, 0xFFFF, 7):
+        if not 0xD800 <= c < 0xE000 and not own.unsettled.search(chr(c)):
+            text = f"a{chr(c)}1{chr(c)}.{chr(c)}{chr(c)}b"
+            assert own.pattern.findall(text) == [text[a:b] for _, (a, b) in own.library.pre_tokenize_str(text)]
+
+
+def test_pieces_equal_the_library(spark):
+    import sentencepiece
+
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    library = sentencepiece.SentencePieceProcessor(model_file=path)
+    texts = odd_texts()
+    own = sentence_pieces.Pieces(path)
+    ids = [x.tolist() for x in own.encode(texts)]
+    assert ids == library.encode(texts)
+    assert [own.decode(np.array(x, np.int32)) for x in ids] == library.decode(ids)
+    strange = [[0, 5, 1, 200, 131], [3, 259, 29000]]
+    assert [own.decode(np.array(x, np.int32)) for x in strange] == library.decode(strange)
+    coded = sentence_pieces.decode(sentence_pieces.encode(frame(spark, clashing=True)))
+    rows = coded.collect()
+    assert len(rows) == len(documents()) and set(CLASHING) <= set(coded.columns)
+    for r in rows:
+        assert r.token_ids == library.encode(r.text or "") and r.decoded == (r.text or "").replace("▁", " ")
+    assert sentence_pieces.decode(sentence_pieces.encode(frame(spark, []))).count() == 0
+
+
+def base_spans(text):
+    out = [(m.start(), 0, m.end()) for m in re.finditer(r"""((?:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", text, re.A | re.I) if len(m[2]) >= 6]
+    out += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 20]
+    out += [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 24]
+    return [(("assign", "access", "hex")[k], a, b) for a, k, b in sorted(out)]
+
+
+def test_secret_base_spans(spark):
+    df = secrets.scan_secrets(frame(spark, clashing=True))
+    rows = df.collect()
+    assert len(rows) == len(documents()) and set(CLASHING) <= set(df.columns)
+    for r in rows:
+        assert [(s.kind, s.start, s.end) for s in r.secret_spans if s.kind != "named"] == base_spans(r.text or "")
+    assert secrets.scan_secrets(frame(spark, [])).count() == 0
+
+
+@pytest.mark.parametrize("text, found", [
+    ('DB_PASS="s3cr3tV4lue9"', {"s3cr3tV4lue9"}),
+    ('base = "Zk39dkLp02"\nkey = base\nclient_secret = key + "Xy77aa0bQ"', {"Zk39dkLp02", "Xy77aa0bQ"}),
+    ('client_secret = base\nbase = "Zk39dkLp02"', set()),
+    ('{"auth": {"private_key": "Qm9vbGVhbjEy"}, "name": "Qm9vbGVhbjEy"}', {"Qm9vbGVhbjEy"}),
+    ('const signingKey: string = "h3Ll0W0rld99x"', {"h3Ll0W0rld99x"}),
+    ("password: ${PASSWORD_VAR}\ntoken_name = 'Abcdef12345'\nurl: http://a.b/c", set()),
+])
+def test_secret_names_reach_literals(text, found):
+    assert {text[a:b] for a, b in secrets.lexed(text)} == found
+
+
+def test_secret_lexing_is_linear():
+    for text in ("a" * 300_000 + "=1", "k=\"" * 50_000, "\n".join(f'x = x + "lit{i}"' for i in range(30_000)), "a" + " " * 300_000 + ":"):
+        secrets.lexed(text)
+
+
+def license_base(text):
+    words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", low(text))
+    places, labels = [], set()
+    for label, phrase in licenses.BASE.items():
+        phrase = phrase.split()
+        for k in range(len(words)):
+            if words[k : k + len(phrase)] == phrase:
+                places.append(k)
+                labels.add(label)
+    return len(words), len(places), min(places, default=None), max(places, default=None), ",".join(sorted(labels))
+
+
+def test_license_base_places(spark):
+    more = [(900, "This is GNU General Public License text. " + licenses.TEXTS["mit-text"], "en", "s", 1), (901, "under the mit license " * 3, "en", "s", 1), (902, "cc byKby nc under the mıt license CC BY NC", "en", "s", 1)]
+    df = licenses.scan(frame(spark, documents() + more, clashing=True))
+    rows = df.collect()
+    assert len(rows) == len(documents()) + 3
+    for r in rows:
+        assert (r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels) == license_base(r.text or "")
+        assert set(filter(None, r.base_labels.split(","))) <= set(r.labels.split(",")) and 0 <= r.score <= 1
+    added = next(r for r in rows if r.doc_id == 900)
+    assert added.labels == "gpl,mit-text" and added.score == pytest.approx(1)
+    assert licenses.scan(frame(spark, [])).count() == 0
+
+
+def test_fingerprints_peel_to_the_exact_likeness(spark):
+    fingerprints_blocks, fingerprints.BLOCK_DOCS = fingerprints.BLOCK_DOCS, 7
+    try:
+        got = [tuple(r) for r in fingerprints.fingerprint(frame(spark, clashing=True)).collect()]
+    finally:
+        fingerprints.BLOCK_DOCS = fingerprints_blocks
+    rows = sorted(((i, t or "") for i, t, *_ in documents()), key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+    want = []
+    for k, (i, t) in enumerate(rows):
+        after = rows[(k + 1) % len(rows)][1]
+        q = len(t) // 4
+        new = t[: len(t) - q] + after[:q]
+        a, b, c = (set(fingerprints.digests(x).tolist()) for x in (t, new, after))
+        prints = fingerprints.fingerprints([fingerprints.digests(t), fingerprints.digests(new)])
+        want.append((i, len(t), hashlib.sha256(new.encode()).hexdigest(), *prints, len(a & b) / len(a | b) if a | b else 1.0, len(a & c) / len(a | c) if a | c else 1.0))
+    order = repr
+    assert sorted(got, key=order) == sorted(want, key=order)
+    assert fingerprints.fingerprint(frame(spark, [])).count() == 0
+    assert fingerprints.fingerprint(frame(spark, [(1, "only one", "en", "s", 8)])).first().near_next == 1.0
+
+
+def toxic_rows(n):
+    rng = random.Random(3)
+    plain = ["".join(rng.choice("aeioulmnrst") for _ in range(rng.randint(2, 8))) for _ in range(400)]
+    rows, labels = [], []
+    for i in range(n):
+        words = [rng.choice(plain) for _ in range(60)]
+        y = i % 6 == 0
+        if y:
+            for _ in range(3):
+                words.insert(rng.randrange(60), rng.choice(["grumbo", "blargh", "zonko"]))
+        rows.append((i, " ".join(words), "en", "s", 1))
+        labels.append((i, 0, int(y)))
+    return rows, labels
+
+
+def test_toxicity_is_learned_from_the_right_rows(spark):
+    rows, labels = toxic_rows(600)
+    held = {i for i, *_ in rows if zlib.crc32(str(i).encode()) % 5 == 0}
+    docs, marks = frame(spark, rows), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    model = toxicity.train(docs, marks)
+    got = {r.doc_id: r for r in toxicity.score_toxicity(docs, model).select("*", toxicity.held_out().alias("held_out")).collect()}
+    assert {i for i, r in got.items() if r.held_out} == held
+    truth = {i: y for i, _, y in labels}
+    assert np.mean([got[i].predicted == truth[i] for i in held]) > 0.97
+    assert all(r.predicted == int(r.score >= 0.5) and 0 <= r.score <= 1 for r in got.values())
+    for r in got.values():
+        if r.predicted and truth[r.doc_id]:
+            assert {r.text[s.start : s.end].split()[0] for s in r.toxic_spans} <= {"grumbo", "blargh", "zonko"}
+    # labels of held-out rows change nothing
+    flipped = spark.createDataFrame([(i, q, 1 - y if i in held else y) for i, q, y in labels], marks.schema)
+    assert toxicity.train(docs, flipped).weights == model.weights
+    hostile = toxicity.score_toxicity(frame(spark, clashing=True), model)
+    assert hostile.count() == len(documents()) and hostile.filter("predicted = 1").count() == 0
+    assert toxicity.score_toxicity(frame(spark, []), model).count() == 0
+    nothing = toxicity.train(docs, marks.limit(0))
+    assert toxicity.score_toxicity(docs, nothing).filter("predicted = 1").count() == 0
+
+
+def test_marginals_equal_the_sum_over_all_taggings():
+    rng = np.random.default_rng(0)
+    sizes = np.array([4, 0, 1, 6])
+    scores, trans = rng.normal(size=sizes.sum()), rng.normal(size=(2, 2))
+    got = toxicity.sigmoid(sum(toxicity.Layout(sizes).chains(scores, trans)))
+    at = 0
+    for n in sizes:
+        e = scores[at : at + n]
+        total, toxic = 0.0, np.zeros(n)
+        for tags in np.ndindex(*[2] * n) if n else ():
+            w = np.exp(sum(e[k] * y for k, y in enumerate(tags)) + sum(trans[a, b] for a, b in zip(tags, tags[1:])))
+            total += w
+            toxic += w * np.array(tags)
+        if n:
+            assert got[at : at + n] == pytest.approx(toxic / total)
+        at += n
+
+
+def test_secret_query_columns(spark):
+    row = secrets.op3_secret_scan(spark, "/root/testdata/sf0.001").orderBy(F.desc("n_assign")).first()
+    assert set(row.asDict()) == {"doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans"}
