@@ -39,11 +39,10 @@ BANDS = ["auto_accept_candidate", "review", "manual_search"]
 STEM_FORMAT = "yyyyMMdd_HHmmss_SSSSSS"
 SEQUENCE_GAP_US = 1_000_000
 
-# COCO area edges, IoU levels and detections kept per image and class.
+# COCO area edges and IoU levels.
 SMALL_AREA = 32.0 * 32.0
 MEDIUM_AREA = 96.0 * 96.0
 IOU_LEVELS = [0.5, 0.55, 0.6, 0.65, 0.7, 0.75, 0.8, 0.85, 0.9, 0.95]
-MAX_DETECTIONS = 100
 
 # Fixed value: two-sided 95% normal quantile.
 Z95 = 1.959963984540054

@@ -12,9 +12,9 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from boxloom.constants import IOU_LEVELS, MAX_DETECTIONS
+from boxloom.constants import IOU_LEVELS
 from boxloom.functions.geometry import CORNERS
-from boxloom.operators.pairs import GROUP_LIMIT, overlap_join, overlap_parts
+from boxloom.operators.pairs import GROUP_LIMIT, overlap_parts
 from boxloom.session import checkpointed
 
 def match_boxes(
@@ -68,20 +68,23 @@ def _greedy_fold(pairs: DataFrame, keys: list[str], left_id: str, right_id: str)
     return taken.select(*keys, F.col("p.l").alias(left_id), F.col("p.r").alias(right_id), (-F.col("p.rank")).alias("iou"))
 
 
-def greedy_rounds(pairs: DataFrame, keys: list[str], left_id: str, right_id: str) -> DataFrame:
-    """Groups of any size: a pair that is best for both of its ends is taken, then its ends leave.
+def greedy_rounds(
+    pairs: DataFrame, keys: list[str], left_id: str, right_id: str, left_order: Column | None = None, right_order: Column | None = None
+) -> DataFrame:
+    """Groups of any size: a pair that is first for both of its ends is taken, then its ends leave.
 
-    Takes the same pairs as the fold, since no better pair can claim either end. Every round
-    is a distributed aggregation keyed by box, and settles at least one pair per group.
+    By default both ends order pairs by (iou desc, left id, right id). This takes the same pairs as the fold, since no
+    pair before it can claim either end. Every round is a distributed aggregation keyed by box, and settles at least
+    one pair per group.
     """
     order = F.struct((-F.col("iou")).alias("rank"), F.col(left_id).alias("l"), F.col(right_id).alias("r"))
+    left_order, right_order = (order if x is None else x for x in (left_order, right_order))
     live = checkpointed(pairs)
     done: list[DataFrame] = []
     while not live.isEmpty():
-        best_l = live.groupBy(*keys, left_id).agg(F.min(order).alias("best"))
-        best_r = live.groupBy(*keys, right_id).agg(F.min(order).alias("best"))
-        best_l = best_l.select(*keys, left_id, F.col("best.r").alias(right_id), (-F.col("best.rank")).alias("iou"))
-        best_r = best_r.select(*keys, F.col("best.l").alias(left_id), right_id)
+        best_l = live.groupBy(*keys, left_id).agg(F.min_by(F.struct(right_id, "iou"), left_order).alias("best"))
+        best_l = best_l.select(*keys, left_id, f"best.{right_id}", "best.iou")
+        best_r = live.groupBy(*keys, right_id).agg(F.min_by(left_id, right_order).alias(left_id))
         taken = checkpointed(best_l.join(best_r, [*keys, left_id, right_id]))
         done.append(taken)
         live = live.join(taken.select(*keys, left_id), [*keys, left_id], "left_anti")
@@ -100,21 +103,38 @@ def _optimal(pairs: DataFrame, unit: list[str], keys: list[str], left_id: str, r
     free = flagged.filter(~F.col("_contested")).select(*columns)
 
     def assign(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values([left_id, right_id])
+        group = group.sort_values([left_id, right_id], ignore_index=True)
         lefts, l_code = np.unique(group[left_id].to_numpy(), return_inverse=True)
-        rights, r_code = np.unique(group[right_id].to_numpy(), return_inverse=True)
-        gain = np.zeros((len(lefts), len(rights)))
-        gain[l_code, r_code] = group["iou"].to_numpy()
-        rows, cols = best_assignment(gain)
-        picked = {(r, k) for r, k in zip(rows, cols) if gain[r, k] > 0}
-        keep = [pair in picked for pair in zip(l_code, r_code)]
-        return group.loc[keep, columns]
+        _, r_code = np.unique(group[right_id].to_numpy(), return_inverse=True)
+        # boxes that never compete part ways: ties fall alike, whatever group the pairs came in
+        label = np.arange(len(lefts))
+        while True:
+            per_right = np.full(r_code.max() + 1, len(lefts))
+            np.minimum.at(per_right, r_code, label[l_code])
+            new = label.copy()
+            np.minimum.at(new, l_code, per_right[r_code])
+            if (new == label).all():
+                break
+            label = new
+        parts = [part[_picked(part, left_id, right_id)] for _, part in group.groupby(label[l_code])]
+        return pd.concat(parts)[columns]
 
     hard = flagged.filter("_contested").select(*dict.fromkeys([*unit, *columns]))
     schema = pairs.select(*columns).schema
     return free.unionByName(hard.groupBy(*unit).applyInPandas(assign, schema))
 
 
+def _picked(part: pd.DataFrame, left_id: str, right_id: str) -> list[bool]:
+    """Pairs of one component that its best assignment takes."""
+    lefts, l_code = np.unique(part[left_id].to_numpy(), return_inverse=True)
+    rights, r_code = np.unique(part[right_id].to_numpy(), return_inverse=True)
+    gain = np.zeros((len(lefts), len(rights)))
+    gain[l_code, r_code] = part["iou"].to_numpy()
+    rows, cols = best_assignment(gain)
+    picked = {(r, k) for r, k in zip(rows, cols) if gain[r, k] > 0}
+    return [pair in picked for pair in zip(l_code, r_code)]
+
+
 def best_assignment(gain: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Rows and columns of the assignment with the largest total gain (shortest augmenting paths)."""
     flipped = gain.shape[0] > gain.shape[1]
@@ -176,31 +196,44 @@ def match_coco(
     pred: DataFrame,
     truth: DataFrame,
     levels: list[float] = IOU_LEVELS,
-    max_dets: int = MAX_DETECTIONS,
+    max_dets: int | None = None,
     keys: tuple[str, ...] = ("image_id", "class_id"),
     *,
     group_limit: int = GROUP_LIMIT,
 ) -> DataFrame:
     """One row per scored prediction: `tp` holds one flag per IoU level, `hits` the truth ids.
 
-    Predictions take turns by (score desc, det_id); each takes the free truth with the largest
-    IoU. The COCO limit of `max_dets` predictions per group bounds a group, and a prediction
-    can lose at most `max_dets - 1` truths to others, so only that many candidates matter.
+    Predictions take turns by (score desc, det_id); each takes the free truth with the largest IoU. Every prediction
+    is scored, unless an evaluation asks for the best `max_dets` of each group. Groups of up to `group_limit` boxes are
+    folded in one array; larger ones are settled in distributed rounds, with the same result.
     """
     keys = list(keys)
-    turn = W.partitionBy(*keys).orderBy(F.col("score").desc(), F.col("det_id"))
-    scored = pred.select(*keys, "det_id", "score", *CORNERS).withColumn("_turn", F.row_number().over(turn))
-    scored = scored.filter(F.col("_turn") <= max_dets)
-    pairs = overlap_join(scored, truth, keys, min(levels), left_id="det_id", right_id="annotation_id", group_limit=group_limit)
-    pairs = pairs.select(*keys, F.col("a.id").alias("det_id"), F.col("b.id").alias("annotation_id"), "iou")
-    choice = W.partitionBy(*keys, "det_id").orderBy(F.col("iou").desc(), F.col("annotation_id"))
-    pairs = pairs.withColumn("_choice", F.row_number().over(choice)).filter(F.col("_choice") <= max_dets)
-    candidates = pairs.groupBy(*keys, "det_id").agg(
+    scored = pred.select(*keys, "det_id", "score", *CORNERS)
+    if max_dets is not None:
+        turn = W.partitionBy(*keys).orderBy(F.col("score").desc(), F.col("det_id"))
+        scored = scored.withColumn("_turn", F.row_number().over(turn)).filter(F.col("_turn") <= max_dets).drop("_turn")
+    parts = overlap_parts(
+        scored, truth, keys, min(levels), left_id="det_id", right_id="annotation_id", left_extra=["score"], group_limit=group_limit
+    )
+    small, hot = [
+        None if p is None else p.select(*keys, F.col("a.id").alias("det_id"), F.col("a.score").alias("score"), F.col("b.id").alias("annotation_id"), "iou")
+        for p in parts
+    ]
+    hits = _coco_fold(small, keys, levels)
+    if hot is not None:
+        hits = hits.unionByName(_coco_rounds(hot, keys, levels))
+    none = F.array(*[F.lit(None).cast(dict(truth.dtypes)["annotation_id"]) for _ in levels])
+    out = scored.select(*keys, "det_id", "score").join(hits, [*keys, "det_id"], "left").withColumn("hits", F.coalesce("hits", none))
+    return out.withColumn("tp", F.transform("hits", lambda h: h.isNotNull()))
+
+
+def _coco_fold(pairs: DataFrame, keys: list[str], levels: list[float]) -> DataFrame:
+    """(keys, det_id, hits) of bounded groups, for predictions with any candidate."""
+    candidates = pairs.groupBy(*keys, "det_id", "score").agg(
         F.sort_array(F.collect_list(F.struct((-F.col("iou")).alias("rank"), F.col("annotation_id").alias("t")))).alias("cand")
     )
-    rows = scored.select(*keys, "det_id", "score").join(candidates, [*keys, "det_id"], "left")
     entry = F.struct((-F.col("score")).alias("rank"), "det_id", "cand")
-    grouped = rows.groupBy(*keys).agg(F.sort_array(F.collect_list(entry)).alias("queue"))
+    grouped = candidates.groupBy(*keys).agg(F.sort_array(F.collect_list(entry)).alias("queue"))
     no_hit = F.slice(F.transform(F.array(F.lit(0)), lambda _: F.lit(None).cast(dict(pairs.dtypes)["annotation_id"])), 1, 0)
 
     def fold(level: float) -> Column:
@@ -212,18 +245,27 @@ def match_coco(
         return F.aggregate("queue", no_hit, step)
 
     # where no truth is wanted twice, every prediction simply takes its best candidate
-    wanted = F.flatten(F.filter(F.transform("queue", lambda d: F.transform(d["cand"], lambda k: k["t"])), lambda x: x.isNotNull()))
+    wanted = F.flatten(F.transform("queue", lambda d: F.transform(d["cand"], lambda k: k["t"])))
     contested = F.size(wanted) != F.size(F.array_distinct(wanted))
     # entry i of a level's list is what prediction i took
-    by_level = F.when(contested, F.array(*[fold(level) for level in levels]))
-    grouped = grouped.withColumn("_by_level", by_level)
+    grouped = grouped.withColumn("_by_level", F.when(contested, F.array(*[fold(level) for level in levels])))
     each = grouped.select(*keys, F.posexplode("queue").alias("_i", "d"), "_by_level")
-    at = F.array(*[F.lit(level) for level in levels])
     first = F.get(F.col("d.cand"), F.lit(0))
-    alone = F.transform(at, lambda level: F.when(-first["rank"] >= level, first["t"]))
+    alone = F.transform(F.array(*[F.lit(level) for level in levels]), lambda level: F.when(-first["rank"] >= level, first["t"]))
     hits = F.when(F.col("_by_level").isNull(), alone).otherwise(F.transform("_by_level", lambda level: F.get(level, F.col("_i"))))
-    out = each.select(*keys, F.col("d.det_id").alias("det_id"), (-F.col("d.rank")).alias("score"), hits.alias("hits"))
-    return out.withColumn("tp", F.transform("hits", lambda h: h.isNotNull()))
+    return each.select(*keys, F.col("d.det_id").alias("det_id"), hits.alias("hits"))
+
+
+def _coco_rounds(pairs: DataFrame, keys: list[str], levels: list[float]) -> DataFrame:
+    """The same for groups of any size: all levels at once, each level of a group on its own."""
+    at = F.array(*[F.lit(level) for level in levels])
+    pairs = pairs.withColumn("_level", F.explode(F.filter(at, lambda level: level <= F.col("iou"))))
+    taken = greedy_rounds(
+        pairs, [*keys, "_level"], "det_id", "annotation_id",
+        F.struct((-F.col("iou")).alias("rank"), "annotation_id"), F.struct((-F.col("score")).alias("rank"), "det_id"),
+    )
+    found = taken.groupBy(*keys, "det_id").agg(F.map_from_entries(F.collect_list(F.struct("_level", "annotation_id"))).alias("_hit"))
+    return found.select(*keys, "det_id", F.transform(at, lambda level: F.try_element_at("_hit", level)).alias("hits"))
 
 
 def disagreements(
@@ -254,6 +296,6 @@ def missing_labels(pred: DataFrame, human: DataFrame, score: float = 0.8, iou: f
     return strong.join(hits.select("image_id", "class_id", "det_id"), ["image_id", "class_id", "det_id"], "left_anti")
 
 
-def double_review(a: DataFrame, b: DataFrame, iou: float = 0.5) -> DataFrame:
-    """Reviewer A x reviewer B at box and class level, one row per decision."""
-    return disagreements(a, b, iou, close_iou=iou)
+def double_review(a: DataFrame, b: DataFrame, iou: float = 0.5, close_iou: float = 0.75) -> DataFrame:
+    """Reviewer A x reviewer B at box, place and class level, one row per decision."""
+    return disagreements(a, b, iou, close_iou)

@@ -185,9 +185,19 @@ def default_recall_rules(spark) -> DataFrame:
 
 
 def development_gate(counts: DataFrame, rules: DataFrame, fold: str = "fold_id", min_n: int = 50, overall: float = 0.95) -> DataFrame:
-    """Recall per fold and class, and per fold over all classes (class_id null), against targets."""
-    per_class = join_small(counts.select(fold, "class_id", "tp", "fn"), rules, ["class_id"])
-    total = counts.groupBy(fold).agg(F.sum("tp").alias("tp"), F.sum("fn").alias("fn"))
+    """Recall per fold and class, and per fold over all classes (class_id null), against targets.
+
+    Every fold reports every class that has a rule or was seen in any fold; a class without a rule is held to `overall`,
+    one without any count is `insufficient_evidence`. Folds are told apart by dataset_id too where `counts` has it.
+    """
+    folds = [c for c in ("dataset_id", fold) if c in counts.columns]
+    classes = rules.select("class_id").union(counts.select("class_id")).distinct()
+    classes = classes.join(rules, "class_id", "left").select("class_id", F.coalesce("min_recall", F.lit(overall)).alias("min_recall"))
+    # folds x classes: both are distinct values of a report of few rows
+    listed = classes.agg(F.collect_list(F.struct("class_id", "min_recall")).alias("_c"))
+    grid = counts.select(*folds).distinct().withColumn("_c", F.explode(listed.scalar())).select(*folds, "_c.*")
+    per_class = grid.join(counts.select(*folds, "class_id", "tp", "fn"), [*folds, "class_id"], "left").fillna(0, ["tp", "fn"])
+    total = counts.groupBy(*folds).agg(F.sum("tp").alias("tp"), F.sum("fn").alias("fn"))
     total = total.withColumns({"class_id": F.lit(None).cast("int"), "min_recall": F.lit(overall)})
     rows = per_class.unionByName(total)
     rows = rows.withColumns({

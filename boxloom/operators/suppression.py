@@ -22,8 +22,10 @@ def nms(df: DataFrame, iou: float = 0.5, *, group_limit: int = GROUP_LIMIT) -> D
     never forms pairs. Groups still above `group_limit` are settled in distributed rounds.
     """
     rest = [c for c in df.columns if c not in (*KEYS, *g.CORNERS)]
-    best = F.max_by(F.struct(*rest), F.struct(F.col("score"), -F.col("det_id")))
-    distinct = df.groupBy(*KEYS, *g.CORNERS).agg(best.alias("_b")).select(*KEYS, *g.CORNERS, "_b.*")
+    best = F.min_by(F.struct(*rest), F.struct((-F.col("score")).alias("rank"), "det_id"))
+    # boxes without area overlap nothing, not even their copies
+    alone = F.when(g.area(g.corners()) <= 0, F.col("det_id")).alias("_alone")
+    distinct = df.groupBy(*KEYS, *g.CORNERS, alone).agg(best.alias("_b")).select(*KEYS, *g.CORNERS, "_b.*")
     big = hot_keys(df, KEYS, group_limit)
     small, hot = split_by_keys(distinct, KEYS, big)
     kept = _fold(small, iou)
@@ -89,9 +91,9 @@ def fuse_boxes(df: DataFrame, iou: float = 0.5, *, group_limit: int = GROUP_LIMI
         residual=lambda a, b: (b["score"] > a["score"]) | ((b["score"] == a["score"]) & (b["id"] < a["id"])),
     )
     member = F.struct(*[F.col(f"a.{n}").alias(n) for n in (*g.CORNERS, "score")])
-    choice = F.struct(F.col("iou"), -F.col("b.id"))
+    choice = F.struct((-F.col("iou")).alias("rank"), F.col("b.id"))
     near = near.groupBy(*KEYS, F.col("a.id").alias("_a")).agg(
-        F.max_by(F.struct(F.col("b.id").alias("id"), member.alias("m")), choice).alias("c")
+        F.min_by(F.struct(F.col("b.id").alias("id"), member.alias("m")), choice).alias("c")
     )
     parts = near.select(*KEYS, F.col("c.id").alias("det_id"), "c.m.*").unionByName(
         kept.select(*KEYS, "det_id", *g.CORNERS, "score")

@@ -80,9 +80,9 @@ ORACLE_VIEWS["o_rev_pairs"] = f"""SELECT a.image_id, a.annotation_id AS a_id, b.
 ORACLE_VIEWS.update(greedy("o_rev_pairs", "image_id", "a_id", "b_id", "o_rev", 5))
 
 
-@query("""SELECT decisions, agree, "class", CAST(0 AS BIGINT) AS location, na - n AS a_only, nb - n AS b_only, round(agree / CAST(decisions AS DOUBLE), 6) AS agreement,
+@query("""SELECT decisions, agree, "class", location, na - n AS a_only, nb - n AS b_only, round(agree / CAST(decisions AS DOUBLE), 6) AS agreement,
     agree / CAST(decisions AS DOUBLE) >= 0.98 AS meets_target FROM (
-    SELECT n, na, nb, na + nb - n AS decisions, (SELECT count(*) FROM o_rev WHERE ca = cb) AS agree, (SELECT count(*) FROM o_rev WHERE ca <> cb) AS "class"
+    SELECT n, na, nb, na + nb - n AS decisions, (SELECT count(*) FROM o_rev WHERE ca = cb AND iou >= 0.75) AS agree, (SELECT count(*) FROM o_rev WHERE ca = cb AND iou < 0.75) AS location, (SELECT count(*) FROM o_rev WHERE ca <> cb) AS "class"
     FROM (SELECT (SELECT count(*) FROM o_rev) AS n, (SELECT count(*) FROM o_truth) AS na, (SELECT count(*) FROM o_second) AS nb) y) z""")
 def double_review_agreement(t: Inputs):
     a = checkpointed(ob.clip_boxes(t.truth)).withColumnRenamed("annotation_id", "det_id").withColumn("score", F.lit(1.0))
@@ -165,10 +165,11 @@ def merge_tiles_fused(t: Inputs):
 
 
 @query("""SELECT camera_id, tiled_boxes, merged_boxes, round((tiled_boxes - merged_boxes) / CAST(tiled_boxes AS DOUBLE), 6) AS duplicate_rate FROM (
-    SELECT camera_id, count(*) AS tiled_boxes, count(*) FILTER (WHERE det_id IN (SELECT det_id FROM o_nms)) AS merged_boxes FROM o_det GROUP BY camera_id) z""")
+    SELECT i.camera_id, count(*) AS tiled_boxes, count(*) FILTER (WHERE d.det_id IN (SELECT det_id FROM o_merged)) AS merged_boxes
+    FROM o_tiled d JOIN images i ON d.image_id = i.image_id GROUP BY i.camera_id) z""")
 def tile_duplicate_rate(t: Inputs):
-    before = checkpointed(ob.clip_boxes(t.det))
-    return rounded(suppression.tile_duplicate_rate(before, suppression.nms(before), ["camera_id"]), "duplicate_rate")
+    before = checkpointed(tiled(t))
+    return rounded(suppression.tile_duplicate_rate(before, suppression.merge_tiles(before), ["camera_id"]), "duplicate_rate")
 
 
 # --- metrics --------------------------------------------------------------------------
@@ -252,9 +253,12 @@ def localization_error(t: Inputs):
 
 @query("""SELECT f.fold_id, f.class_id, tp + fn AS n_truth, round(tp / CAST(nullif(tp + fn, 0) AS DOUBLE), 6) AS recall,
     CASE WHEN tp + fn < 50 THEN 'insufficient_evidence' WHEN tp / CAST(tp + fn AS DOUBLE) >= r THEN 'pass' ELSE 'fail' END AS verdict
-    FROM (SELECT s.fold_id, o.class_id, count(*) FILTER (WHERE outcome = 'TP') AS tp, count(*) FILTER (WHERE outcome = 'FN') AS fn,
-                 CASE WHEN class_id IS NULL OR class_id IN (0, 1) THEN 0.95 ELSE 0.90 END AS r
-          FROM o_outcomes o JOIN o_seq s ON o.image_id = s.image_id GROUP BY GROUPING SETS ((s.fold_id, o.class_id), (s.fold_id))) f""")
+    FROM (SELECT k.fold_id, k.class_id, coalesce(c.tp, 0) AS tp, coalesce(c.fn, 0) AS fn, CASE WHEN k.class_id IS NULL OR k.class_id IN (0, 1) THEN 0.95 ELSE 0.90 END AS r
+          FROM (SELECT * FROM (SELECT DISTINCT s.fold_id FROM o_outcomes o JOIN o_seq s ON o.image_id = s.image_id) f
+                CROSS JOIN (SELECT CAST(unnest(range(0, 6)) AS INTEGER) AS class_id UNION ALL SELECT NULL) c) k
+          LEFT JOIN (SELECT s.fold_id, o.class_id, count(*) FILTER (WHERE outcome = 'TP') AS tp, count(*) FILTER (WHERE outcome = 'FN') AS fn
+                     FROM o_outcomes o JOIN o_seq s ON o.image_id = s.image_id GROUP BY GROUPING SETS ((s.fold_id, o.class_id), (s.fold_id))) c
+            ON c.fold_id = k.fold_id AND c.class_id IS NOT DISTINCT FROM k.class_id) f""")
 def development_gate(t: Inputs):
     rows = outcomes(t).join(folded(t).select("image_id", "fold_id"), "image_id")
     counts = mt.detection_counts(rows, ["fold_id", "class_id"])

@@ -115,6 +115,37 @@ def test_coco_limit_per_group(boxes):
     assert {r["det_id"]: r["tp"][0] for r in got} == {5: True, 4: False, 3: False}
 
 
+def test_coco_scores_every_prediction_of_a_large_group(spark, boxes):
+    """More than 300 predictions on one image and class, in rounds and in one fold."""
+    pred = [(i, "a", 0, 10.0 * (i % 40), 0.0, 10.0 * (i % 40) + 10.0 + i % 3, 10.0, (i * 7 % 331) / 331) for i in range(331)]
+    truth = [(i, "a", 0, 10.0 * i, 0.0, 10.0 * i + 10.0, 10.0, 1.0) for i in range(40)]
+    p, t = boxes(pred), boxes(truth, "annotation_id")
+    rounds, fold = (
+        {r["det_id"]: r["hits"] for r in matching.match_coco(p, t, group_limit=limit).collect()} for limit in (256, 1_000)
+    )
+    assert len(rounds) == 331 and rounds == fold
+
+
+def test_optimal_ties_do_not_depend_on_the_group_limit(boxes):
+    pred = [(i, "a", 0, 100.0 * (i // 2), 0.0, 100.0 * (i // 2) + 10.0, 10.0, 0.5) for i in range(20)]
+    truth = [(i, "a", 0, 100.0 * (i // 2), 0.0, 100.0 * (i // 2) + 10.0, 10.0, 1.0) for i in range(20)]
+    p, t = boxes(pred), boxes(truth, "annotation_id")
+    a, b = ({(r["det_id"], r["annotation_id"]) for r in matching.match_boxes(p, t, 0.5, group_limit=n).collect()} for n in (256, 1))
+    assert a == b and len(a) == 20
+
+
+def test_suppression_with_text_ids_and_flat_boxes(spark):
+    rows = [("b", "i", 0, 0.0, 0.0, 10.0, 10.0, 0.9), ("a", "i", 0, 0.0, 0.0, 10.0, 10.0, 0.9), ("c", "i", 0, 5.0, 5.0, 5.0, 9.0, 0.5), ("d", "i", 0, 5.0, 5.0, 5.0, 9.0, 0.4)]
+    df = spark.createDataFrame(rows, "det_id string, image_id string, class_id int, x1 double, y1 double, x2 double, y2 double, score double")
+    assert {r["det_id"] for r in suppression.nms(df).collect()} == {"a", "c", "d"}
+    assert {(r["det_id"], r["members"]) for r in suppression.fuse_boxes(df).collect()} == {("a", 2), ("c", 1), ("d", 1)}
+
+
+def test_double_review_tells_places_apart(boxes):
+    a, b = [(1, "a", 0, 0.0, 0.0, 10.0, 10.0, 1.0), (2, "a", 0, 50.0, 0.0, 60.0, 10.0, 1.0)], [(3, "a", 0, 3.0, 0.0, 13.0, 10.0, 1.0), (4, "a", 0, 50.0, 0.0, 60.0, 10.0, 1.0)]
+    assert sorted(r["kind"] for r in matching.double_review(boxes(a), boxes(b)).collect()) == ["agree", "location"]
+
+
 def nms_serial(rows, least):
     kept = []
     for r in sorted(rows, key=lambda r: (-r[7], r[0])):
