@@ -78,12 +78,25 @@ def cosine(a, b) -> Column:
 
 
 def sign_hash(vector) -> Column:
-    """64-bit hash: bit i is set where component i is positive (first 64 components)."""
-    signs = F.transform(
-        F.slice(c(vector), 1, 64),
-        lambda x, i: F.when(x > 0, F.call_function("shiftleft", F.lit(1).cast("bigint"), i)).otherwise(F.lit(0).cast("bigint")),
+    """64-bit hash: bit i is set where the i-th seeded projection of the whole vector is positive.
+
+    A projection adds or takes away each component; the sign of component j in projection i is a bit of a mixed number of
+    both, so that the rule holds for any width.
+    """
+    vector = c(vector)
+
+    def projection(i: Column) -> Column:
+        def term(x: Column, j: Column) -> Column:
+            mixed = ((i + 1) * F.lit(7919) + (j + 1) * F.lit(104729) + (i + 1) * (j + 1) * F.lit(1299709)) % F.lit(1000003)
+            return F.when((mixed * mixed) % F.lit(1000003) % 2 == 0, x.cast("double")).otherwise(-x.cast("double"))
+
+        return F.aggregate(F.transform(vector, lambda x, j: term(x, j.cast("bigint"))), F.lit(0.0), lambda a, x: a + x)
+
+    bits = F.transform(
+        F.sequence(F.lit(0), F.lit(63)),
+        lambda i: F.when(projection(i.cast("bigint")) > 0, F.call_function("shiftleft", F.lit(1).cast("bigint"), i)).otherwise(F.lit(0).cast("bigint")),
     )
-    return F.aggregate(signs, F.lit(0).cast("bigint"), lambda total, bit: total.bitwiseOR(bit))
+    return F.aggregate(bits, F.lit(0).cast("bigint"), lambda total, bit: total.bitwiseOR(bit))
 
 
 def least_confidence(score) -> Column:

@@ -10,7 +10,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from boxloom.constants import SEQUENCE_GAP_US
+from boxloom.constants import CAMERAS, SEQUENCE_GAP_US, TAXONOMY
 from boxloom.operators.scale import carry, exact_quantile, join_small, running_sum
 from boxloom.session import checkpointed
 
@@ -26,9 +26,12 @@ def match_keyframes(stems: DataFrame, images: DataFrame) -> DataFrame:
 
 
 def missing_images(stems: DataFrame, cameras: DataFrame, images: DataFrame) -> DataFrame:
-    """Expected (stem, camera) pairs without an image. The camera list is a literal array."""
-    ids = sorted(r["camera_id"] for r in cameras.select("camera_id").limit(1000).collect())
-    wanted = stems.select("stem").distinct().withColumn("camera_id", F.explode(F.array(*[F.lit(i) for i in ids])))
+    """Expected (stem, camera) pairs without an image.
+
+    Every stem meets every camera by definition; the camera table rides along as one array, so that no join is needed.
+    """
+    listed = cameras.agg(F.collect_set("camera_id").alias("_ids"))
+    wanted = stems.select("stem").distinct().withColumn("camera_id", F.explode(listed.scalar()))
     return wanted.join(images.select("stem", "camera_id"), ["stem", "camera_id"], "left_anti")
 
 
@@ -39,10 +42,11 @@ def extra_images(stems: DataFrame, images: DataFrame) -> DataFrame:
 def match_context(images: DataFrame, keys: tuple[str, ...] = ("dataset_id", "camera_id"), width: int = HOUR_US) -> DataFrame:
     """Nearest keyframe by time for every context frame of a camera, ties to the earlier one.
 
-    The context frame keeps its own image; only the keyframe's id and the delta are added.
+    The context frame keeps its own image; only the keyframe's id and the delta are added. Images of one time stand in
+    the order of their ids: a keyframe with a smaller id is past, one with a larger id is next.
     """
     here = F.when(F.col("is_keyframe"), F.struct("image_id", "capture_us"))
-    rows = carry(images, list(keys), "capture_us", {"_past": here}, later={"_next": here}, width=width)
+    rows = carry(images, list(keys), "capture_us", {"_past": here}, later={"_next": here}, width=width, ties=("image_id",))
     context = rows.filter(~F.col("is_keyframe"))
     past = F.col("capture_us") - F.col("_past.capture_us")
     ahead = F.col("_next.capture_us") - F.col("capture_us")
@@ -193,17 +197,12 @@ def partition_roles(images: DataFrame) -> DataFrame:
 def build_folds(images: DataFrame) -> DataFrame:
     """Leave-one-sequence-out: fold k validates on sequence k.
 
-    Only the validation fold is stored per image (`fold_id`); the training side of any fold is
-    every other sequence. `expand_folds` writes both sides out when they are wanted as rows.
+    Only the validation fold is stored per image (`fold_id`); the training side of any fold is every other sequence of
+    the same data set: a fold is named by dataset_id and fold_id. `expand_folds` writes both sides out for given folds.
     """
     return images.withColumn("fold_id", F.regexp_extract("sequence_id", r"(\d+)$", 1).cast("int"))
 
 
-def fold_side(fold: int) -> Column:
-    """Side of an image in a fold, from its own `fold_id`; no rows are copied."""
-    return F.when(F.col("fold_id") == fold, "validation").otherwise("train")
-
-
 def expand_folds(images: DataFrame, folds: DataFrame, group: str = "frame_id") -> DataFrame:
     """(fold, side) rows per frame group, all cameras of a frame on one side.
 
@@ -251,8 +250,13 @@ def release_diff(old: DataFrame, new: DataFrame, key: str, values: list[str]) ->
     return rows.select(key, change.alias("change")).filter(F.col("change").isNotNull())
 
 
+def sequence_number() -> Column:
+    """The number in a sequence id: s99 comes before s100."""
+    return F.regexp_extract("sequence_id", r"(\d+)$", 1).try_cast("bigint")
+
+
 def canonical_order(images: DataFrame) -> DataFrame:
-    return images.orderBy("sequence_id", "frame_id", "camera_order", "image_id")
+    return images.orderBy(sequence_number(), "sequence_id", "frame_id", "camera_order", "image_id")
 
 
 # --- reconciliation and audits --------------------------------------------------------
@@ -365,18 +369,21 @@ def sequence_summary(images: DataFrame) -> DataFrame:
     )
 
 
-def fold_support(annotations: DataFrame, images: DataFrame, n_classes: int = 6) -> DataFrame:
+def fold_support(annotations: DataFrame, images: DataFrame, classes: list[int] | None = None) -> DataFrame:
     """Boxes of each class on both sides of every fold; a side without any is `not_evaluable`.
 
-    Training counts are the class total less the validation count, so no rows are copied.
+    Classes are those of the taxonomy (or `classes`) and all others that boxes have. Folds and training counts are per
+    data set: the class total of the data set less the validation count, so no rows are copied.
     """
-    classes = F.explode(F.sequence(F.lit(0), F.lit(n_classes - 1)))
+    fold = ["dataset_id", "fold_id"]
     counts = annotations.groupBy("image_id", "class_id").agg(F.count(F.lit(1)).alias("n"))
-    per = counts.join(images.select("image_id", "fold_id").distinct(), "image_id")
-    per = per.groupBy("fold_id", "class_id").agg(F.sum("n").alias("validation"))
-    total = per.groupBy("class_id").agg(F.sum("validation").alias("_all"))
-    grid = images.select("fold_id").distinct().withColumn("class_id", classes)
-    rows = grid.join(per, ["fold_id", "class_id"], "left").join(total, "class_id", "left")
+    per = counts.join(images.select("image_id", *fold).distinct(), "image_id")
+    per = checkpointed(per.groupBy(*fold, "class_id").agg(F.sum("n").alias("validation")))  # a row per fold and class
+    total = per.groupBy("dataset_id", "class_id").agg(F.sum("validation").alias("_all"))
+    known = F.array(*[F.lit(c) for c in (taxonomy_classes() if classes is None else classes)])
+    seen = per.agg(F.array_sort(F.array_union(known, F.array_compact(F.collect_set("class_id")))).alias("_c"))
+    grid = images.select(*fold).distinct().withColumn("class_id", F.explode(seen.scalar()))
+    rows = grid.join(per, [*fold, "class_id"], "left").join(total, ["dataset_id", "class_id"], "left")
     rows = rows.fillna(0, ["validation", "_all"])
     rows = rows.withColumn("train", F.col("_all") - F.col("validation")).drop("_all")
     thin = (F.col("train") == 0) | (F.col("validation") == 0)
@@ -385,8 +392,8 @@ def fold_support(annotations: DataFrame, images: DataFrame, n_classes: int = 6)
 
 def leakage_report(objects: DataFrame, images: DataFrame, key: str) -> DataFrame:
     """Persistent objects (or duplicate hashes) seen in more than one fold."""
-    rows = objects.select("image_id", key).join(images.select("image_id", "fold_id"), "image_id")
-    rows = rows.groupBy(key, "fold_id").agg(F.count(F.lit(1)).alias("n"))
+    rows = objects.select("image_id", key).join(images.select("image_id", "dataset_id", "fold_id"), "image_id")
+    rows = rows.groupBy(key, "dataset_id", "fold_id").agg(F.count(F.lit(1)).alias("n"))
     rows = rows.groupBy(key).agg(
         F.count(F.lit(1)).alias("folds"), F.sum("n").alias("rows"),
         F.min("fold_id").alias("first_fold"), F.max("fold_id").alias("last_fold"),
@@ -394,16 +401,25 @@ def leakage_report(objects: DataFrame, images: DataFrame, key: str) -> DataFrame
     return rows.filter(F.col("folds") > 1)
 
 
-def validate_release(images: DataFrame, annotations: DataFrame, cameras: list[str], n_classes: int = 6) -> DataFrame:
-    """Every exception found, as (check, detail); an empty result passes the gate."""
+def taxonomy_classes() -> list[int]:
+    return [cid for cid, _, active in TAXONOMY if active]
+
+
+def validate_release(images: DataFrame, annotations: DataFrame, cameras: list[str], classes: list[int] | None = None) -> DataFrame:
+    """Every exception found, as (check, detail); an empty result passes the gate.
+
+    Sizes are those of the camera table; classes those of the taxonomy, or `classes`.
+    """
+    known = taxonomy_classes() if classes is None else classes
     keyframes = images.filter("is_keyframe")
     checks = duplicates(images, {"duplicate_image_id": ["image_id"], "duplicate_frame_camera": ["dataset_id", "frame_id", "camera_id"]})
     parts = [checks.select(F.col("key").alias("check"), F.col("value").alias("detail"))]
     gaps = camera_coverage(keyframes, cameras).filter("actual < expected")
     parts.append(gaps.select(F.lit("missing_camera").alias("check"), F.concat_ws("|", F.col("frame_id").cast("string"), "missing").alias("detail")))
-    size = keyframes.filter((F.col("width") != 1920) | (F.col("height") != 1080))
+    sizes = [F.when(F.col("camera_id") == name, (F.col("width") != w) | (F.col("height") != h)) for _, name, w, h, _ in CAMERAS]
+    size = keyframes.filter(F.coalesce(*sizes, F.lit(False)))
     parts.append(size.select(F.lit("image_size").alias("check"), F.col("image_id").cast("string").alias("detail")))
-    unknown = annotations.filter(F.col("class_id").isNull() | ~F.col("class_id").between(0, n_classes - 1))
+    unknown = annotations.filter(F.col("class_id").isNull() | ~F.col("class_id").isin(known))
     parts.append(unknown.select(F.lit("unknown_class").alias("check"), F.col("annotation_id").cast("string").alias("detail")))
     orphan = annotations.join(images.select("image_id"), "image_id", "left_anti")
     parts.append(orphan.select(F.lit("unknown_image").alias("check"), F.col("annotation_id").cast("string").alias("detail")))
@@ -413,7 +429,7 @@ def validate_release(images: DataFrame, annotations: DataFrame, cameras: list[st
 def release_gate(exceptions: DataFrame) -> DataFrame:
     """Counts per check; raises when any exception exists."""
     counts = exceptions.groupBy("check").agg(F.count(F.lit(1)).alias("n")).orderBy("check")
-    found = {r["check"]: r["n"] for r in counts.limit(100).collect()}
+    found = {r["check"]: r["n"] for r in counts.collect()}  # a row per kind of check
     if found:
         raise ValueError(f"release validation failed: {found}")
     return counts

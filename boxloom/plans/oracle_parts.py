@@ -129,6 +129,11 @@ ORACLE_VIEWS: dict[str, str] = {
             LEFT JOIN (SELECT class_id, level, cum_tp, n_truth, max(precision) AS precision FROM o_curve GROUP BY ALL) c
               ON c.class_id = k.class_id AND c.level = k.level AND s.j * c.n_truth <= 100 * c.cum_tp
             GROUP BY k.class_id, k.level, s.j) z GROUP BY class_id, level""",
+    "o_signs": """SELECT vec_id, bit_or(CASE WHEN p > 0 THEN CAST(1 AS UBIGINT) << CAST(i AS INTEGER) ELSE CAST(0 AS UBIGINT) END) AS h
+    FROM (SELECT vec_id, i, sum(CASE WHEN m * m % 1000003 % 2 = 0 THEN v ELSE -v END) AS p
+          FROM (SELECT vec_id, i, CAST(v AS DOUBLE) AS v, ((i + 1) * 7919 + j * 104729 + (i + 1) * j * 1299709) % 1000003 AS m
+                FROM (SELECT vec_id, CAST(generate_subscripts(embedding, 1) AS BIGINT) AS j, unnest(embedding) AS v FROM vectors) z
+                CROSS JOIN (SELECT unnest(range(0, 64)) AS i) r) y GROUP BY vec_id, i) x GROUP BY vec_id""",
     **suppression("o_det", "o_nms"),
     "o_seq": "SELECT image_key AS image_id, printf('s%02d', seq_truth) AS sequence_id, CAST(seq_truth AS INTEGER) AS fold_id FROM fx_images",
 }

@@ -334,11 +334,11 @@ def wilson_lower(t: Inputs):
     return rows.select("image_id", F.round(s.wilson_lower("k", "n"), 6).alias("bound"))
 
 
-@query("""SELECT a.vec_id, CAST(sum(CASE WHEN (a.v > 0) <> (b.v > 0) THEN 1 ELSE 0 END) AS INTEGER) AS hamming,
-    round(sum(a.v*b.v)/(sqrt(sum(a.v*a.v))*sqrt(sum(b.v*b.v))), 5) AS cosine
+@query("""SELECT z.vec_id, CAST(bit_count(xor(p.h, q.h)) AS INTEGER) AS hamming, cosine FROM (
+    SELECT a.vec_id, round(sum(a.v*b.v)/(sqrt(sum(a.v*a.v))*sqrt(sum(b.v*b.v))), 5) AS cosine
     FROM (SELECT vec_id, generate_subscripts(embedding, 1) AS i, CAST(unnest(embedding) AS DOUBLE) AS v FROM vectors) a
     JOIN (SELECT vec_id, generate_subscripts(embedding, 1) AS i, CAST(unnest(embedding) AS DOUBLE) AS v FROM vectors) b ON b.vec_id = a.vec_id + 1 AND a.i = b.i
-    GROUP BY a.vec_id""")
+    GROUP BY a.vec_id) z JOIN o_signs p ON p.vec_id = z.vec_id JOIN o_signs q ON q.vec_id = z.vec_id + 1""")
 def vector_distances(t: Inputs):
     v = t.vectors.withColumn("hash", s.sign_hash("embedding"))
     b = v.select((F.col("vec_id") - 1).alias("vec_id"), F.col("embedding").alias("other"), F.col("hash").alias("other_hash"))

@@ -55,6 +55,19 @@ def match_context(t: Inputs):
     return m.match_context(t.images).select("image_id", "keyframe_image_id", "sync_delta_ms")
 
 
+@query("""
+    SELECT image_id, CASE WHEN past IS NOT NULL AND (nxt IS NULL OR capture_us - past <= nxt - capture_us) THEN past_id ELSE nxt_id END AS keyframe_image_id,
+           CASE WHEN past IS NOT NULL AND (nxt IS NULL OR capture_us - past <= nxt - capture_us) THEN capture_us - past ELSE nxt - capture_us END / 1000.0 AS sync_delta_ms
+    FROM (SELECT c.image_id, c.capture_us, p.capture_us AS past, p.last_id AS past_id, n.capture_us AS nxt, n.first_id AS nxt_id
+          FROM (SELECT * FROM images WHERE NOT is_keyframe) c
+          ASOF LEFT JOIN (SELECT camera_id, capture_us, max(image_id) + 1000000000 AS last_id FROM images WHERE is_keyframe GROUP BY ALL) p ON p.camera_id = c.camera_id AND c.capture_us >= p.capture_us
+          ASOF LEFT JOIN (SELECT camera_id, capture_us, min(image_id) AS first_id FROM images WHERE is_keyframe GROUP BY ALL) n ON n.camera_id = c.camera_id AND c.capture_us <= n.capture_us) z""")
+def match_context_ties(t: Inputs):
+    """Every keyframe twice at its time, under another id."""
+    twins = t.images.filter("is_keyframe").withColumn("image_id", F.col("image_id") + 1000000000)
+    return m.match_context(t.images.unionByName(twins)).select("image_id", "keyframe_image_id", "sync_delta_ms")
+
+
 @query("SELECT image_id, sequence_id FROM o_seq")
 def assign_sequences(t: Inputs):
     return sequenced(t).select("image_id", "sequence_id")
@@ -163,13 +176,13 @@ def release_diff(t: Inputs):
     return m.release_diff(old, new.unionByName(more), "annotation_id", ["class_id", "x1", "y1", "x2", "y2"])
 
 
-@query("""SELECT i.image_id, row_number() OVER (ORDER BY s.sequence_id, i.frame_id, i.camera_order, i.image_id) AS place
+@query("""SELECT i.image_id, row_number() OVER (ORDER BY CAST(substr(s.sequence_id, 2) AS BIGINT), i.frame_id, i.camera_order, i.image_id) AS place
     FROM images i JOIN o_seq s ON i.image_id = s.image_id""")
 def canonical_order(t: Inputs):
     """Places in canonical order, numbered without moving all rows to one task."""
     from boxloom.operators.scale import part_running_sum, range_parts
 
-    order = [F.col(c).asc() for c in ("sequence_id", "frame_id", "camera_order", "image_id")]
+    order = [m.sequence_number().asc(), *[F.col(c).asc() for c in ("frame_id", "camera_order", "image_id")]]
     rows = range_parts(m.canonical_order(sequenced(t)), [], order)
     return part_running_sum(rows, [], order, {"place": F.lit(1).cast("bigint")}).select("image_id", "place")
 
@@ -254,7 +267,25 @@ def sequence_summary(t: Inputs):
     LEFT JOIN (SELECT s.fold_id, class_id, count(*) AS n FROM truth b JOIN o_seq s ON b.image_id = s.image_id GROUP BY ALL) v ON v.fold_id = f.fold_id AND v.class_id = k.class_id
     LEFT JOIN (SELECT class_id, count(*) AS n FROM truth GROUP BY class_id) a ON a.class_id = k.class_id""")
 def fold_support(t: Inputs):
-    return m.fold_support(t.truth, folded(t))
+    return m.fold_support(t.truth, folded(t)).drop("dataset_id")
+
+
+@query("""SELECT d.dataset_id, f.fold_id, k.class_id, coalesce(v.n, 0) AS validation, coalesce(a.n, 0) - coalesce(v.n, 0) AS train,
+    CASE WHEN coalesce(v.n, 0) = 0 OR coalesce(a.n, 0) = coalesce(v.n, 0) THEN 'not_evaluable' ELSE 'evaluable' END AS status
+    FROM (SELECT 'd0' AS dataset_id UNION ALL SELECT 'd1') d CROSS JOIN (SELECT DISTINCT fold_id FROM o_seq) f
+    CROSS JOIN (SELECT CAST(unnest([0, 1, 2, 3, 4, 5, 10]) AS INTEGER) AS class_id) k
+    LEFT JOIN (SELECT 'd0' AS dataset_id, s.fold_id, class_id, count(*) AS n FROM truth b JOIN o_seq s ON b.image_id = s.image_id GROUP BY ALL
+               UNION ALL SELECT 'd1', s.fold_id, CASE WHEN class_id = 3 THEN 10 ELSE class_id END AS c, count(*) FROM truth b JOIN o_seq s ON b.image_id = s.image_id
+               WHERE annotation_id % 3 = 0 GROUP BY ALL) v ON v.dataset_id = d.dataset_id AND v.fold_id = f.fold_id AND v.class_id = k.class_id
+    LEFT JOIN (SELECT 'd0' AS dataset_id, class_id, count(*) AS n FROM truth GROUP BY class_id
+               UNION ALL SELECT 'd1', CASE WHEN class_id = 3 THEN 10 ELSE class_id END AS c, count(*) FROM truth WHERE annotation_id % 3 = 0 GROUP BY c) a
+      ON a.dataset_id = d.dataset_id AND a.class_id = k.class_id""")
+def fold_support_two_sets(t: Inputs):
+    """Two data sets whose folds have the same numbers, the second with a class outside the taxonomy."""
+    images = folded(t)
+    more = images.withColumns({"dataset_id": F.lit("d1"), "image_id": -F.col("image_id") - 1})
+    boxes = t.truth.filter("annotation_id % 3 = 0").withColumns({"image_id": -F.col("image_id") - 1, "class_id": F.expr("CASE WHEN class_id = 3 THEN 10 ELSE class_id END")})
+    return m.fold_support(t.truth.unionByName(boxes), images.unionByName(more))
 
 
 @query("""SELECT object_id, count(*) AS folds, CAST(sum(n) AS BIGINT) AS rows, min(fold_id) AS first_fold, max(fold_id) AS last_fold

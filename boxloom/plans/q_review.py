@@ -189,11 +189,11 @@ def signals(t: Inputs):
 
 WEIGHTS = {"uncertainty": 1.0, "low_margin": 0.5, "disagreement": 2.0, "rare_small": 0.7, "mistake": 1.5}
 ORACLE_VIEWS["o_signals"] = f"""
-    SELECT b.*, round(uncertainty + 0.5 * (1 - margin) + 2.0 * disagreement + 0.7 * rare_small + 1.5 * mistake, 6) AS priority
+    SELECT b.*, round(uncertainty + 0.5 * (1 - margin) + 2.0 * coalesce(disagreement, 0) + 0.7 * rare_small + 1.5 * coalesce(mistake, 0), 6) AS priority
     FROM (SELECT image_id, camera_id, max(-(p*log2(p) + (1 - p)*log2(1 - p))) AS uncertainty, CAST(max(CASE WHEN class_id IN (0, 2) OR {AREA.format(p='')} < 1024 THEN 1 ELSE 0 END) AS DOUBLE) AS rare_small, min(class_id) AS class_id
           FROM (SELECT *, least(greatest(score, 0.000001), 0.999999) AS p FROM det) d GROUP BY ALL) b
     JOIN o_margin m ON b.image_id = m.image_id
-    JOIN (SELECT image_id, avg(CASE WHEN kind <> 'agree' THEN 1.0 ELSE 0.0 END) AS disagreement,
+    LEFT JOIN (SELECT image_id, avg(CASE WHEN kind <> 'agree' THEN 1.0 ELSE 0.0 END) AS disagreement,
                  max(CASE WHEN kind IN ('a_only', 'class') THEN a_score WHEN kind = 'location' THEN a_score * (1 - iou) ELSE 0 END) AS mistake FROM o_disagree GROUP BY image_id) w ON b.image_id = w.image_id"""
 
 
@@ -203,17 +203,17 @@ def prioritised(t: Inputs):
 
 @query("SELECT image_id, priority FROM o_signals")
 def review_priority(t: Inputs):
-    return prioritised(t).filter("disagreement IS NOT NULL").select("image_id", "priority")
+    return prioritised(t).select("image_id", "priority")
 
 
 @query("SELECT image_id, priority FROM o_signals ORDER BY priority DESC, image_id LIMIT 100")
 def top_queue(t: Inputs):
-    return qu.top_queue(prioritised(t).filter("disagreement IS NOT NULL"), 100).select("image_id", "priority")
+    return qu.top_queue(prioritised(t), 100).select("image_id", "priority")
 
 
 @query("SELECT image_id, class_id, camera_id, row_number() OVER (PARTITION BY class_id, camera_id ORDER BY priority DESC, image_id) AS quota_rank FROM o_signals")
 def quota_rank(t: Inputs):
-    rows = prioritised(t).filter("disagreement IS NOT NULL")
+    rows = prioritised(t)
     return qu.quota_rank(rows, ["class_id", "camera_id"]).select("image_id", "class_id", "camera_id", "quota_rank")
 
 
@@ -221,12 +221,10 @@ def quota_rank(t: Inputs):
     SELECT *, row_number() OVER (PARTITION BY class_id, camera_id ORDER BY priority DESC, image_id) AS q FROM o_signals) z
     ORDER BY CASE WHEN q <= 5 THEN 0 ELSE 1 END, priority DESC, image_id LIMIT 250""")
 def quota_batch(t: Inputs):
-    rows = prioritised(t).filter("disagreement IS NOT NULL")
+    rows = prioritised(t)
     return qu.quota_batch(rows, ["class_id", "camera_id"], 5, 250).select("image_id", "picked_by")
 
 
-ORACLE_VIEWS["o_signs"] = """SELECT vec_id, bit_or(CASE WHEN v > 0 THEN CAST(1 AS UBIGINT) << CAST(i - 1 AS INTEGER) ELSE CAST(0 AS UBIGINT) END) AS h
-    FROM (SELECT vec_id, generate_subscripts(embedding, 1) AS i, unnest(embedding) AS v FROM vectors) z GROUP BY vec_id"""
 ORACLE_VIEWS["o_hashed"] = """SELECT vec_id, h FROM o_signs UNION ALL SELECT vec_id + 1000000, xor(h, CASE vec_id % 3 WHEN 0 THEN CAST(0 AS UBIGINT) WHEN 1 THEN CAST(1 AS UBIGINT) << (vec_id % 64)
     ELSE (CAST(1 AS UBIGINT) << (vec_id % 64)) | (CAST(1 AS UBIGINT) << ((vec_id + 9) % 64)) END) FROM o_signs"""
 

@@ -60,7 +60,10 @@ def image_dims(df: DataFrame) -> DataFrame:
         return F.when(state["done"], state).otherwise(moved)
 
     walked = F.aggregate(F.sequence(F.lit(1), F.lit(SEGMENTS)), start, step)
-    rows = df.withColumn("_frame", F.when(jpeg, walked["frame"]))
+    # nearly every header ends within SEGMENTS markers; the rest is walked as far as the bytes go
+    rest = F.aggregate(F.sequence(F.lit(1), F.greatest(F.length(data), F.lit(1))), F.col("_walk"), step)
+    rows = df.withColumn("_walk", F.when(jpeg, walked))
+    rows = rows.withColumn("_frame", F.when(F.col("_walk.done"), F.col("_walk.frame")).when(jpeg, rest["frame"])).drop("_walk")
     return rows.withColumns({
         "width": F.when(png, _number(data, F.lit(17), 4)).otherwise(_number(data, F.col("_frame") + 7, 2)),
         "height": F.when(png, _number(data, F.lit(21), 4)).otherwise(_number(data, F.col("_frame") + 5, 2)),

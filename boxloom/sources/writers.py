@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 from boxloom.constants import TAXONOMY
 from boxloom.functions.scalars import canonical_json
 from boxloom.operators.boxes import prediction_results
+from boxloom.operators.manifest import sequence_number
 from boxloom.operators.release import content_hash
 from boxloom.schemas import MANIFEST
 
@@ -16,7 +17,9 @@ ORDER = ["dataset_id", "sequence_id", "frame_id", "camera_order", "image_id"]
 
 def canonical_lines(df: DataFrame, columns: list[str]) -> DataFrame:
     """JSON text of each row with fixed columns, in canonical order over all parts."""
-    order = [c for c in ORDER if c in columns]
+    named = [c for c in ORDER if c in columns]
+    # sequences by their number: s99 before s100
+    order = [x for c in named for x in ([sequence_number(), F.col(c)] if c == "sequence_id" else [F.col(c)])]
     rows = df.select(*columns).repartitionByRange(*order).sortWithinPartitions(*order)
     return rows.select(canonical_json(*columns).alias("value"))
 
@@ -50,8 +53,8 @@ def write_review_tasks(predictions: DataFrame, path: str) -> None:
 def coco_documents(images: DataFrame, annotations: DataFrame, *, frames_per_shard: int = 1_000, boxes_per_shard: int = 50_000) -> DataFrame:
     """COCO documents, one row per shard of a sequence: key columns and `value`.
 
-    A shard is a block of frames; where a block holds more than `boxes_per_shard` boxes, the boxes
-    are spread by id over several shards that repeat the images, so no document grows without end.
+    A shard is a block of frames; where a block holds more than `boxes_per_shard` boxes, its images are spread by id
+    over several shards. Every image is in one document, with all its boxes.
     """
     block = F.floor(F.col("frame_id") / frames_per_shard).alias("block")
     homes = images.select("image_id", "sequence_id", block, "relative_path", "width", "height")
@@ -65,7 +68,8 @@ def coco_documents(images: DataFrame, annotations: DataFrame, *, frames_per_shar
         F.col("image_id").cast("string").alias("id"), F.col("relative_path").alias("file_name"), "width", "height",
     )
     heads = homes.join(sizes, ["sequence_id", "block"])
-    heads = heads.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+    part = F.pmod(F.xxhash64("image_id"), F.col("parts"))
+    heads = heads.withColumn("part", part)
     heads = heads.groupBy(*keys).agg(F.array_sort(F.collect_list(entry)).alias("images"))
     w, h = F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1")
     box = F.struct(
@@ -75,7 +79,7 @@ def coco_documents(images: DataFrame, annotations: DataFrame, *, frames_per_shar
         (w * h).cast("double").alias("area"), F.lit(0).alias("iscrowd"),
     )
     bodies = boxes.join(sizes, ["sequence_id", "block"])
-    bodies = bodies.withColumn("part", F.pmod(F.xxhash64("annotation_id"), F.col("parts")))
+    bodies = bodies.withColumn("part", part)
     bodies = bodies.groupBy(*keys).agg(F.array_sort(F.collect_list(box)).alias("annotations"))
     rows = heads.join(bodies, keys, "left")
     none = F.array().cast(bodies.schema["annotations"].dataType)

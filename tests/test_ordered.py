@@ -125,3 +125,25 @@ def test_crossover_halves(spark):
     tasks = spark.createDataFrame([(a, i) for a, n in ((1, 7), (2, 10)) for i in range(n)], "annotator_id int, image_id int")
     got = {(r["annotator_id"], r["arm"]): r["count"] for r in review.crossover(tasks, "s").groupBy("annotator_id", "arm").count().collect()}
     assert got == {(1, "manual_first"): 4, (1, "assisted_first"): 3, (2, "manual_first"): 5, (2, "assisted_first"): 5}
+
+
+def test_missing_images_of_many_cameras(spark):
+    stems = spark.createDataFrame([("s1",)], "stem string")
+    cameras = spark.createDataFrame([(f"c{i}",) for i in range(1200)], "camera_id string")
+    images = spark.createDataFrame([("s1", "c7")], "stem string, camera_id string")
+    assert m.missing_images(stems, cameras, images).count() == 1199
+
+
+def test_sequences_in_the_order_of_their_numbers(spark):
+    rows = [(f"s{i:02d}", 0, 0, i) for i in (100, 99, 2, 10)]
+    df = spark.createDataFrame(rows, "sequence_id string, frame_id bigint, camera_order int, image_id bigint")
+    assert [r["image_id"] for r in m.canonical_order(df).collect()] == [2, 10, 99, 100]
+
+
+def test_sign_hash_reads_every_component(spark):
+    from boxloom.functions.scalars import sign_hash
+
+    a = [0.0] * 64 + [1.0] * 192
+    df = spark.createDataFrame([(1, a), (2, [-x for x in a]), (3, a)], "id int, v array<double>")
+    h = {r["id"]: r["h"] for r in df.select("id", sign_hash("v").alias("h")).collect()}
+    assert h[1] == h[3] and h[1] != h[2] and bin(h[1] & (2**64 - 1)).count("1") > 10

@@ -70,6 +70,8 @@ def small_set(spark):
 def test_coco_round_trip(spark, tmp_path, limit):
     images, boxes = small_set(spark)
     docs = writers.coco_documents(images, boxes, frames_per_shard=2, boxes_per_shard=limit)
+    named = [i["id"] for row in docs.collect() for i in json.loads(row["value"])["images"]]
+    assert sorted(named) == [f"i{n}" for n in range(5)]  # every image in one document
     for i, row in enumerate(docs.collect()):
         (tmp_path / f"{i}.json").write_text(row["value"])
     back = readers.read_coco(spark, str(tmp_path))
@@ -138,3 +140,11 @@ def test_predictor_failures_are_rows(spark):
     images = spark.createDataFrame([("a", "ok.jpg"), ("b", "bad.jpg")], "image_id string, relative_path string")
     got = {r["image_id"]: (r["width"], r["error"]) for r in predict_images(images, Broken).collect()}
     assert got == {"a": (4, None), "b": (None, "RuntimeError: no file")}
+
+
+def test_image_size_behind_many_markers(spark):
+    head = bytes.fromhex("FFD8") + b"\xff\xfe\x00\x02" * 3_000 + b"\xff" * 50
+    frame = bytes.fromhex("FFC0001108") + (1080).to_bytes(2, "big") + (1920).to_bytes(2, "big") + b"\x03" + b"\x00" * 20
+    df = spark.createDataFrame([(1, bytearray(head + frame)), (2, bytearray(head)), (3, bytearray(b""))], "id int, content binary")
+    got = {r["id"]: (r["width"], r["height"]) for r in readers.image_dims(df).collect()}
+    assert got == {1: (1920, 1080), 2: (None, None), 3: (None, None)}
