@@ -140,6 +140,14 @@ def mark_ignored(df: DataFrame, polygons: DataFrame, ratio: float = 0.5) -> Data
     ).drop("ignore_polygons")
 
 
+def without_ignored(df: DataFrame, polygons: DataFrame, ratio: float = 0.5) -> DataFrame:
+    """The boxes that take part in scoring: predictions and truth inside ignore regions belong to neither side.
+
+    `mark_ignored` keeps and counts what this leaves out.
+    """
+    return mark_ignored(df, polygons, ratio).filter(~F.col("ignored")).drop("ignore_share", "ignored")
+
+
 def in_road_region(df: DataFrame, regions: DataFrame, ratio: float = 0.5) -> DataFrame:
     """Keep boxes that lie in the camera's road region; cameras without one keep all."""
     joined = join_small(df, regions.select("camera_id", "road_polygons"), ["camera_id"], "left")

@@ -77,6 +77,8 @@ VIEWS: dict[str, str] = {
     "truth": """
         SELECT annotation_id, image_key AS image_id, class_id, CAST(x1 AS DOUBLE) AS x1, CAST(y1 AS DOUBLE) AS y1,
                CAST(x2 AS DOUBLE) AS x2, CAST(y2 AS DOUBLE) AS y2, occluded, truncated, 1920 AS width, 1080 AS height FROM fx_gt""",
+    "truth_seen": f"""
+        SELECT *, {CAMERA_CASE} AS camera_id FROM (SELECT *, CAST(image_id % 6 AS INT) AS camera_order FROM truth) c""",
     "det": f"""
         SELECT det_id, image_key AS image_id, class_id, CAST(x1 AS DOUBLE) AS x1, CAST(y1 AS DOUBLE) AS y1,
                CAST(x2 AS DOUBLE) AS x2, CAST(y2 AS DOUBLE) AS y2, score, 1920 AS width, 1080 AS height,

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from boxloom.operators import boxes as ob, matching, metrics as mt, pairs, review, suppression
 from boxloom.plans.oracle_parts import ORACLE_VIEWS, greedy, iou_sql, suppression as suppress_sql
-from boxloom.plans.q_boxes import rounded
+from boxloom.plans.q_boxes import ignore_polygons, rounded
 from boxloom.plans.q_manifest import folded
 from boxloom.plans.registry import Inputs, query
 from boxloom.session import checkpointed
@@ -14,8 +14,9 @@ OVERLAP = "a.x1 < b.x2 AND b.x1 < a.x2 AND a.y1 < b.y2 AND b.y1 < a.y2"
 
 
 def clipped(t: Inputs):
-    """Clipped predictions and truth, frozen: matching reads both more than once."""
-    return checkpointed(ob.clip_boxes(t.det)), checkpointed(ob.clip_boxes(t.truth))
+    """Predictions and truth that are scored: clipped, and without those in ignore regions."""
+    regions = ignore_polygons(t)
+    return tuple(checkpointed(ob.without_ignored(ob.clip_boxes(df), regions)) for df in (t.det, t.truth_seen))
 
 
 def matched(t: Inputs):
@@ -68,7 +69,7 @@ ORACLE_VIEWS["o_strong_pairs"] = "SELECT * FROM o_pairs WHERE score >= 0.8"
 ORACLE_VIEWS.update(greedy("o_strong_pairs", "image_id, class_id", "det_id", "annotation_id", "o_strong", 3))
 
 
-@query("SELECT det_id, image_id, class_id FROM o_det WHERE score >= 0.8 AND det_id NOT IN (SELECT det_id FROM o_strong)")
+@query("SELECT det_id, image_id, class_id FROM o_pred WHERE score >= 0.8 AND det_id NOT IN (SELECT det_id FROM o_strong)")
 def missing_labels(t: Inputs):
     return matching.missing_labels(*clipped(t)).select("det_id", "image_id", "class_id")
 
@@ -213,12 +214,12 @@ def variants(t: Inputs):
     return first.withColumn("run", F.lit("native")).unionByName(again.withColumn("run", F.lit("suppressed")))
 
 
-ORACLE_VIEWS["o_kept_pairs"] = "SELECT * FROM o_pairs WHERE det_id IN (SELECT det_id FROM o_nms)"
+ORACLE_VIEWS["o_kept_pairs"] = "SELECT * FROM o_pairs WHERE det_id IN (SELECT det_id FROM o_pnms)"
 ORACLE_VIEWS.update(greedy("o_kept_pairs", "image_id, class_id", "det_id", "annotation_id", "o_kept", 3))
 ORACLE_VIEWS["o_runs"] = """
     SELECT 'native' AS run, class_id, outcome FROM o_outcomes
-    UNION ALL SELECT 'suppressed', class_id, CASE WHEN det_id IN (SELECT det_id FROM o_kept) THEN 'TP' ELSE 'FP' END FROM o_nms
-    UNION ALL SELECT 'suppressed', class_id, 'FN' FROM o_truth WHERE annotation_id NOT IN (SELECT annotation_id FROM o_kept)"""
+    UNION ALL SELECT 'suppressed', class_id, CASE WHEN det_id IN (SELECT det_id FROM o_kept) THEN 'TP' ELSE 'FP' END FROM o_pnms
+    UNION ALL SELECT 'suppressed', class_id, 'FN' FROM o_true WHERE annotation_id NOT IN (SELECT annotation_id FROM o_kept)"""
 
 
 @query(f"SELECT run, class_id, {RATES} FROM o_runs GROUP BY run, class_id")
@@ -294,7 +295,7 @@ def scored(t: Inputs):
 
 
 def truth_counts(t: Inputs):
-    return ob.clip_boxes(t.truth).groupBy("class_id").agg(F.count(F.lit(1)).alias("n_truth"))
+    return clipped(t)[1].groupBy("class_id").agg(F.count(F.lit(1)).alias("n_truth"))
 
 
 @query("SELECT class_id, level, det_id, cum_tp, cum_fp FROM o_cum")
@@ -318,7 +319,7 @@ def precision_envelope(t: Inputs):
 
 @query("""SELECT k.class_id, coalesce(t.n_truth, 0) AS n_truth,
     CASE WHEN t.n_truth > 0 THEN round(coalesce(max(ap) FILTER (WHERE level = 0.5), 0), 6) END AS ap50, CASE WHEN t.n_truth > 0 THEN round(coalesce(sum(ap), 0) / 10, 6) END AS ap50_95
-    FROM (SELECT class_id FROM o_det UNION SELECT class_id FROM o_truth) k LEFT JOIN o_truth_counts t ON k.class_id = t.class_id LEFT JOIN o_ap a ON k.class_id = a.class_id
+    FROM (SELECT class_id FROM o_pred UNION SELECT class_id FROM o_true) k LEFT JOIN o_truth_counts t ON k.class_id = t.class_id LEFT JOIN o_ap a ON k.class_id = a.class_id
     GROUP BY k.class_id, t.n_truth""")
 def average_precision(t: Inputs):
     return rounded(mt.coco_summary(scored(t), truth_counts(t)), "ap50", "ap50_95")
