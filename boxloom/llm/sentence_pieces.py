@@ -1,6 +1,7 @@
 """SentencePiece encoding and decoding (BPE models with byte fallback) by suffix-array matching.
 
-Texts are cut where no piece can reach across: before a run of spaces, and around line breaks. The distinct parts of
+Texts are cut where no piece can reach across: before a run of spaces, around line breaks, and between letters, single
+digits and other characters (a model with pieces that reach across is refused). The distinct parts of
 a batch that the task has not met are concatenated and their suffixes sorted (by the longest piece's length). Every
 piece of the vocabulary is found by binary search as a range of suffixes; the ranges are the edges of a lattice, sorted by
 position and relaxed from left to right: the last piece of a prefix's encoding is the one edge that is compatible with
@@ -10,6 +11,7 @@ neighbours that are so in every place make up the one encoding that greedy mergi
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Iterator
 from functools import cache
@@ -23,11 +25,18 @@ from boxloom.llm.ragged import PairTable, merge
 from boxloom.llm.registry import query
 
 SPACE = "▁"
-PART = re.compile(f"{SPACE}*[^{SPACE}\n]+|{SPACE}+|\n+")
-REMEMBERED = 1_000_000
+#: Parts that no piece reaches out of: spaces and then letters, a digit, or other characters.
+PART = re.compile(r" *+(?:[^\W\d_²]+|\d|(?:[^\w \n]|[_²])+)| +|\n+")
+REMEMBERED, PAIRS_REMEMBERED = 300_000, 1_000_000
+#: Characters that are indexed at once.
+INDEXED = 300_000
+#: Parts of at most so many characters are relaxed by the length of the edges too.
+LONG = 256
 #: Characters of a piece that are packed into one sort key, and the bits of each.
 PACK, BITS = 4, 15
 UNKNOWN = -1
+#: What decoding shows for the unknown piece.
+UNKNOWN_SHOWN = " ⁇ ".encode()
 
 
 class Pieces:
@@ -41,8 +50,8 @@ class Pieces:
         names = [sp.id_to_piece(i) for i in range(n)]
         plain = [i for i in range(n) if not (sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i) or sp.is_unused(i))]
         self.byte_ids = {int(names[i][3:5], 16): i for i in range(n) if sp.is_byte(i)}
-        if len(self.byte_ids) != 256 or any(SPACE in names[i].lstrip(SPACE) for i in plain):
-            raise ValueError("the model needs byte fallback and no piece with an inner space")
+        if len(self.byte_ids) != 256 or not all(PART.fullmatch(names[i].replace(SPACE, " ")) for i in plain):
+            raise ValueError("the model needs byte fallback and no piece that reaches out of a part")
         self.shown = [names[i].replace(SPACE, " ").encode() for i in range(n)]
         for b, i in self.byte_ids.items():
             self.shown[i] = bytes([b])
@@ -50,10 +59,11 @@ class Pieces:
             if sp.is_control(i):
                 self.shown[i] = b""
             elif sp.is_unknown(i):
-                self.shown[i] = " ⁇ ".encode()
+                self.shown[i] = UNKNOWN_SHOWN
         letters = sorted({c for i in plain for c in names[i]})
         self.code = np.zeros(0x110000, np.int64)  # 0: in no piece
         self.code[[ord(c) for c in letters]] = np.arange(1, len(letters) + 1)
+        self.code[ord(" ")] = self.code[ord(SPACE)]
         if len(letters) >= 1 << BITS:
             raise ValueError("too many characters for the packed keys")
         ids = {names[i]: i for i in plain}
@@ -120,7 +130,7 @@ class Pieces:
             good = (a == UNKNOWN) | (b == UNKNOWN)
             check = np.flatnonzero(~good)
             good[check] = self.merged([[x, y] for x, y in zip(a[check].tolist(), b[check].tolist())])
-            if len(self.pair_keys) > 4 * REMEMBERED:
+            if len(self.pair_keys) > PAIRS_REMEMBERED:
                 keep = np.isin(self.pair_keys, keys)
                 self.pair_keys, self.pair_good = self.pair_keys[keep], self.pair_good[keep]
             where = np.searchsorted(self.pair_keys, new)
@@ -181,34 +191,37 @@ class Pieces:
         offset = np.arange(len(points)) - np.repeat(starts, sizes + 1)
         # relax in the order of the edge's end within its part
         end = begin + self.length[piece]
-        order = np.argsort(offset[end], kind="stable")
+        # and, of edges that end together, the longest first: it is the likeliest one, and one is enough
+        step, length = offset[end], self.length[piece]
+        if sizes.max() <= LONG:
+            step = step * (self.longest + 1) + self.longest - length
+        order = np.argsort(step.astype(np.uint16) if step.max(initial=0) < 1 << 16 else step, kind="stable")
         begin, piece, end = begin[order], piece[order], end[order]
-        cuts = np.flatnonzero(np.diff(offset[end], prepend=-1))
+        cuts = np.flatnonzero(np.diff(step[order], prepend=-1))
         last = np.full(len(points) + 1, UNKNOWN - 1)
         for a, b in zip(cuts, [*cuts[1:], len(end)]):
-            s, p, e = begin[a:b], piece[a:b], end[a:b]
+            open_ = last[end[a:b]] < UNKNOWN
+            s, p, e = begin[a:b][open_], piece[a:b][open_], end[a:b][open_]
             good = offset[s] == 0
             inner = np.flatnonzero(~good)
             if len(inner):
                 good[inner] = self.compatible(last[s[inner]], p[inner])
             last[e[good]] = p[good]
-        # walk back from the end of every part at once
-        at, row = starts + sizes, np.arange(len(parts))
-        rows, tokens, places = [], [], []
+        # walk back from the end of every part at once, and note each token where it begins
+        at, begins = starts + sizes, starts
+        chosen = np.full(len(points), UNKNOWN - 1)
         while len(at):
             token = last[at]
             if (token < UNKNOWN).any():
                 raise AssertionError("a prefix without encoding")
             at = at - self.length[token]
-            rows.append(row)
-            tokens.append(token)
-            places.append(at)
-            more = at > starts[row]
-            at, row = at[more], row[more]
-        rows, tokens, places = (np.concatenate(x) for x in (rows, tokens, places))
-        order = np.argsort(places, kind="stable")
-        rows, tokens, places = rows[order], tokens[order].astype(np.int32), places[order]
-        bounds = np.searchsorted(rows, np.arange(len(parts) + 1))
+            chosen[at] = token
+            more = at > begins
+            at, begins = at[more], begins[more]
+        places = np.flatnonzero(chosen >= UNKNOWN)
+        tokens = chosen[places].astype(np.int32)
+        bounds = np.searchsorted(places, np.append(starts, len(points)))
+        rows = np.repeat(np.arange(len(parts)), np.diff(bounds))
         strange = set(rows[tokens == UNKNOWN].tolist())
         raw = tokens.tobytes()
         for k, part in enumerate(parts):
@@ -223,21 +236,29 @@ class Pieces:
 
     def encode(self, batch: list[str]) -> list[np.ndarray]:
         """Ids of each text as the library gives them, without begin and end pieces."""
-        split = [PART.findall(SPACE + x.replace(" ", SPACE)) if x else [] for x in batch]
+        split = [PART.findall(" " + x.replace(SPACE, " ")) if x else [] for x in batch]
         distinct = set().union(*split)
         new = [x for x in distinct if x not in self.known]
         if len(self.known) + len(new) > REMEMBERED:
             self.known.clear()
             new = list(distinct)
-        if new:
-            self.learn(new)
+        new.sort(key=len)  # long parts among themselves
+        size, first = 0, 0
+        for k, part in enumerate(new):
+            size += len(part) + 1
+            if size >= INDEXED or k == len(new) - 1:
+                self.learn(new[first : k + 1])
+                size, first = 0, k + 1
         get = self.known.__getitem__
         return [np.frombuffer(b"".join(map(get, x)), np.int32) for x in split]
 
     def decode(self, ids: np.ndarray) -> str:
         """The text of the ids; the space that encoding puts first goes."""
-        raw = b"".join(map(self.shown.__getitem__, ids.tolist()))
-        return raw.removeprefix(b" ").decode("utf-8", "replace")
+        shown = list(map(self.shown.__getitem__, ids.tolist()))
+        raw = b"".join(shown)
+        if next(filter(None, shown), b"") != UNKNOWN_SHOWN:
+            raw = raw.removeprefix(b" ")
+        return raw.decode("utf-8", "replace")
 
 
 @cache
@@ -251,24 +272,32 @@ def _model(path: str | None) -> Pieces:
     return pieces(path or public_tokenizers.path("piece_bpe_32k.model"))
 
 
-def encode(docs: DataFrame, model: str | None = None) -> DataFrame:
+def encode(docs: DataFrame, model: str | None = None, verify: bool = False) -> DataFrame:
     """`docs` plus token_ids of every whole text, as the library's encode gives them.
 
-    Null and empty texts have no ids. Rows are independent and keep all other columns (token_ids is replaced); an
+    With `verify` also decoded_sha256 (of the text that decoding the ids gives) and round_trip (whether it is the text).
+    Null and empty texts have no ids. Rows are independent and keep all other columns (those named here are replaced); an
     empty table gives an empty one. `model` names a file each executor can read, by default piece_bpe_32k.model of the
     installed package of public tokenizers.
     """
-    docs = docs.drop("token_ids")
+    docs = docs.drop("token_ids", *["decoded_sha256", "round_trip"] * verify)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = _model(model)
-        for batch in slices(batches, "text", 4_000_000):
-            rows = own.encode(texts(batch.column("text")))
+        for batch in slices(batches, "text", 2_000_000):
+            given = texts(batch.column("text"))
+            rows = own.encode(given)
             offsets = np.concatenate([[0], np.cumsum([len(x) for x in rows])])
-            ids = lists(offsets, np.concatenate([np.zeros(0, np.int32), *rows]))
-            yield pa.RecordBatch.from_arrays([*batch.columns, ids], [*batch.schema.names, "token_ids"])
+            columns, names = [lists(offsets, np.concatenate([np.zeros(0, np.int32), *rows]))], ["token_ids"]
+            if verify:
+                back = [own.decode(x) for x in rows]
+                columns.append(pa.array([hashlib.sha256(x.encode("utf-8", "surrogatepass")).hexdigest() for x in back], pa.string()))
+                columns.append(pa.array([x == y for x, y in zip(given, back)], pa.bool_()))
+                names += ["decoded_sha256", "round_trip"]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *columns], [*batch.schema.names, *names])
 
-    return docs.mapInArrow(run, docs.limit(0).withColumn("token_ids", F.array().cast("array<int>")).schema)
+    made = {"token_ids": F.array().cast("array<int>")} | ({"decoded_sha256": F.lit(""), "round_trip": F.lit(True)} if verify else {})
+    return docs.mapInArrow(run, docs.limit(0).withColumns(made).schema)
 
 
 def decode(encoded: DataFrame, model: str | None = None, name: str = "decoded") -> DataFrame:
@@ -288,10 +317,5 @@ def decode(encoded: DataFrame, model: str | None = None, name: str = "decoded")
 @query()
 def op4_sentencepiece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document, and whether decoding them gives the text again."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    coded = decode(encode(docs))
-    ids = F.array_join(F.col("token_ids").cast("array<string>"), ",")
-    return coded.select(
-        "doc_id", F.size("token_ids").cast("long").alias("n_tokens"), "token_ids", F.sha2(ids, 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"), (F.col("decoded") == F.col("text")).alias("round_trip"),
-    )
+    coded = encode(table(spark, sf_dir, "documents").select("doc_id", "text"), verify=True)
+    return coded.select("doc_id", F.size("token_ids").cast("long").alias("n_tokens"), "token_ids", "decoded_sha256", "round_trip")
