@@ -81,9 +81,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 @_apart
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every row with its token_ids, their number, and whether decoding them gives the text again."""
-    coded = sentence_pieces.decode(sentence_pieces.encode(docs), name="_decoded")
-    again = F.col("_decoded") == F.coalesce("text", F.lit(""))
-    return coded.select(*docs.columns, F.size("token_ids").alias("n_tokens"), "token_ids", again.alias("round_trip"))
+    coded = sentence_pieces.encode(docs, verify=True)
+    return coded.select(*docs.columns, F.size("token_ids").alias("n_tokens"), "token_ids", "round_trip")
 
 
 STAGES = [
