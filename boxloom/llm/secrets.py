@@ -34,7 +34,7 @@ SENSITIVE = {
 #: Parts that make a name harmless.
 HARMLESS = {"public", "name", "id", "type", "length", "len", "field", "file", "path", "url", "count", "label", "example", "hint", "regex", "format"}
 LEAST_LITERAL, LEAST_SCORE = 8, 0.5
-PLACEHOLDER = re.compile(r"(?i)^(?:x+|\*+|\.+|your|change|example|sample|test|dummy|none|null|true|false|undefined|todo|<|\$\{|\{\{|%)")
+PLACEHOLDER = re.compile(r"(?i)^(?:(?:x+|\*+|\.+|none|null|true|false|undefined|todo|test)$|your|change|example|sample|dummy|<|\$\{|\{\{|%)")
 TARGET = re.compile(r"""(?:\[\s*+)?(["']?)(?<![A-Za-z0-9_.\-])([A-Za-z_][A-Za-z0-9_.\-]*+)\1(?:\s*+\])?(?:\s*+:\s*+[A-Za-z_][\w.\[\]]*+(?=\s*+=[^=]))?\s*+(:=|=>|=(?![=~])|:(?![:/]))\s*+""")
 OPERAND = re.compile(r"""[bru]?"((?:[^"\\\n]|\\.)*)"|[bru]?'((?:[^'\\\n]|\\.)*)'|`([^`\n]*)`|([A-Za-z_][\w.]*+)(?![\w(+/=\-])|([A-Za-z0-9+/_.=~!@#%^&*-]{8,})""")
 JOIN = re.compile(r"\s*(?:\+|\.\.|\.|&|\|\|)?\s*(?=[\"'`A-Za-z_bru])")
