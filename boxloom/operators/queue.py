@@ -9,12 +9,9 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from boxloom.functions.scalars import binary_entropy, cosine, hamming, least_confidence
-from boxloom.operators.scale import exact_percent_rank
+from boxloom.operators.scale import exact_percent_rank, part_running_sum, range_parts
 from boxloom.operators.review import hash_order
 
-SIGNALS = ["uncertainty", "disagreement", "temporal", "under_represented", "rare_small", "diversity", "mistake"]
-
-
 def uncertainty(df: DataFrame) -> DataFrame:
     return df.withColumns({"least_confidence": least_confidence("score"), "entropy": binary_entropy("score")})
 
@@ -64,8 +61,9 @@ def top_queue(df: DataFrame, k: int, ident: str = "image_id") -> DataFrame:
 
 
 def quota_rank(df: DataFrame, dims: list[str], ident: str = "image_id") -> DataFrame:
-    order = W.partitionBy(*dims).orderBy(F.col("priority").desc(), F.col(ident))
-    return df.withColumn("quota_rank", F.row_number().over(order))
+    """Rank of every row in its cell by (priority desc, id). A cell of any size is spread over range parts."""
+    order = [F.col("priority").desc(), F.col(ident).asc()]
+    return part_running_sum(range_parts(df, dims, order), dims, order, {"quota_rank": F.lit(1).cast("bigint")})
 
 
 def quota_batch(df: DataFrame, dims: list[str], quota: int, k: int, ident: str = "image_id") -> DataFrame:
@@ -73,7 +71,8 @@ def quota_batch(df: DataFrame, dims: list[str], quota: int, k: int, ident: str =
 
     The rank filter lets Spark keep only `quota` rows per cell before the shuffle.
     """
-    chosen = quota_rank(df, dims, ident).filter(F.col("quota_rank") <= quota).drop("quota_rank")
+    order = W.partitionBy(*dims).orderBy(F.col("priority").desc(), F.col(ident))
+    chosen = df.withColumn("_rank", F.row_number().over(order)).filter(F.col("_rank") <= quota).drop("_rank")
     chosen = chosen.withColumn("_first", F.lit(0)).orderBy(F.col("priority").desc(), F.col(ident)).limit(k)
     rest = df.join(chosen.select(ident, *dims), [ident, *dims], "left_anti").withColumn("_first", F.lit(1))
     rest = rest.orderBy(F.col("priority").desc(), F.col(ident)).limit(k)

@@ -80,9 +80,50 @@ def fuse_boxes(df: DataFrame, iou: float = 0.5, *, group_limit: int = GROUP_LIMI
     """Weighted box fusion: every suppressed box joins the kept box it overlaps most.
 
     Corners are the score-weighted mean of the cluster, the score its plain mean; `det_id` is
-    the kept box, `members` the cluster size.
+    the kept box, `members` the cluster size. Bounded groups are clustered in the array that suppression folds over, with
+    one shuffle; larger groups take a second overlap join.
     """
-    df = checkpointed(df.select(*KEYS, "det_id", "score", *g.CORNERS))
+    df = df.select(*KEYS, "det_id", "score", *g.CORNERS)
+    big = hot_keys(df, KEYS, group_limit)
+    small, hot = split_by_keys(df, KEYS, big)
+    parts = _fold_clusters(small, iou)
+    if hot is not None:
+        parts = parts.unionByName(_joined_clusters(checkpointed(hot), iou, group_limit))
+    weight = F.sum("score")
+    return parts.groupBy(*KEYS, "det_id").agg(
+        *[F.coalesce(F.try_divide(F.sum(F.col(n) * F.col("score")), weight), F.avg(n)).alias(n) for n in g.CORNERS],
+        F.avg("score").alias("score"),
+        F.count(F.lit(1)).alias("members"),
+    )
+
+
+def _fold_clusters(df: DataFrame, iou: float) -> DataFrame:
+    """(keys, det_id of the kept box, corners and score of a member) for bounded groups."""
+    entry = F.struct((-F.col("score")).alias("rank"), "det_id", *g.CORNERS)
+    queue = df.groupBy(*KEYS).agg(F.sort_array(F.collect_list(entry)).alias("queue"))
+    none = F.slice(F.col("queue"), 1, 0)
+
+    def overlap(a: Column, b: Column) -> Column:
+        return g.iou([a[n] for n in g.CORNERS], [b[n] for n in g.CORNERS])
+
+    def step(kept: Column, box: Column) -> Column:
+        return F.when(F.exists(kept, lambda k: overlap(k, box) >= iou), kept).otherwise(F.concat(kept, F.array(box)))
+
+    folded = queue.withColumn("kept", F.when(F.size("queue") == 1, F.col("queue")).otherwise(F.aggregate("queue", none, step)))
+    rows = folded.select(*KEYS, "kept", F.explode("queue").alias("b"))
+    # kept boxes before the member in the queue, the largest overlap first
+    def before(k: Column) -> Column:
+        return (k["rank"] < F.col("b.rank")) | ((k["rank"] == F.col("b.rank")) & (k["det_id"] < F.col("b.det_id")))
+
+    options = F.transform(
+        F.filter("kept", lambda k: before(k) & (overlap(k, F.col("b")) >= iou)),
+        lambda k: F.struct((-overlap(k, F.col("b"))).alias("rank"), k["det_id"].alias("det_id")),
+    )
+    keeper = F.when(F.exists("kept", lambda k: k["det_id"] == F.col("b.det_id")), F.col("b.det_id")).otherwise(F.array_min(options)["det_id"])
+    return rows.select(*KEYS, keeper.alias("det_id"), *[F.col(f"b.{n}").alias(n) for n in g.CORNERS], (-F.col("b.rank")).alias("score"))
+
+
+def _joined_clusters(df: DataFrame, iou: float, group_limit: int) -> DataFrame:
     kept = checkpointed(nms(df, iou, group_limit=group_limit))
     rest = df.join(kept.select(*KEYS, "det_id"), [*KEYS, "det_id"], "left_anti")
     near = overlap_join(
@@ -95,15 +136,9 @@ def fuse_boxes(df: DataFrame, iou: float = 0.5, *, group_limit: int = GROUP_LIMI
     near = near.groupBy(*KEYS, F.col("a.id").alias("_a")).agg(
         F.min_by(F.struct(F.col("b.id").alias("id"), member.alias("m")), choice).alias("c")
     )
-    parts = near.select(*KEYS, F.col("c.id").alias("det_id"), "c.m.*").unionByName(
+    return near.select(*KEYS, F.col("c.id").alias("det_id"), "c.m.*").unionByName(
         kept.select(*KEYS, "det_id", *g.CORNERS, "score")
     )
-    weight = F.sum("score")
-    return parts.groupBy(*KEYS, "det_id").agg(
-        *[F.coalesce(F.try_divide(F.sum(F.col(n) * F.col("score")), weight), F.avg(n)).alias(n) for n in g.CORNERS],
-        F.avg("score").alias("score"),
-        F.count(F.lit(1)).alias("members"),
-    )
 
 
 def merge_tiles(tiles: DataFrame, iou: float = 0.5, method: str = "nms", *, group_limit: int = GROUP_LIMIT) -> DataFrame:

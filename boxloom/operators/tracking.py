@@ -19,7 +19,7 @@ from boxloom.functions import geometry as g
 from boxloom.operators.manifest import FRAME_BUCKET
 from boxloom.operators.matching import match_boxes
 from boxloom.operators.scale import carry, running_sum
-from boxloom.session import checkpointed
+from boxloom.session import checkpointed, stored_by
 
 LANE = ("sequence_id", "camera_id", "segment_id")
 CORNERS = list(g.CORNERS)
@@ -146,7 +146,7 @@ def track(
     if not blocks:
         linked = _one_block(rows, unit, cfg)
     else:
-        linked = _relay(checkpointed(rows), unit, cfg, int(blocks) + 1)
+        linked = _relay(stored_by(rows, "_block"), unit, cfg, int(blocks) + 1)
     found = linked.select("det_id", "track_id", F.col("pass").alias("association"))
     return df.join(found, ["det_id"], "left")
 
@@ -172,7 +172,10 @@ def _one_block(rows: DataFrame, unit: list[str], cfg: TrackConfig) -> DataFrame:
 
 
 def _relay(rows: DataFrame, unit: list[str], cfg: TrackConfig, blocks: int) -> DataFrame:
-    """Blocks in order, all lanes of a block at once; live tracks are the only thing handed on."""
+    """Blocks in order, all lanes of a block at once; live tracks are the only thing handed on.
+
+    `rows` is a table partitioned by _block: each step reads its own block only.
+    """
     det_type = dict(rows.dtypes)["det_id"]
     keys = ", ".join(f"`{k}` {dict(rows.dtypes)[k]}" for k in unit)
     schema = f"{keys}, det_id {det_type}, pass string, {STATE_TYPE}"

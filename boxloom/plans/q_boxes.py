@@ -247,12 +247,14 @@ def untile(t: Inputs):
 @query(f"""SELECT det_id, tile_x, tile_y FROM o_det CROSS JOIN {TILES}
     WHERE x1 < tile_x + 640 AND x2 > tile_x AND y1 < tile_y + 640 AND y2 > tile_y""")
 def tile_function(t: Inputs):
-    """The table function form, joined laterally to the boxes."""
+    """The table function form, called once per image size, its tiles joined to the boxes."""
     from boxloom.functions.user import TileBoxes
 
     t.spark.udtf.register("tile_boxes", TileBoxes)
     ob.clip_boxes(t.det).createOrReplaceTempView("clipped_boxes")
-    return t.spark.sql("""SELECT d.det_id, t.tile_x, t.tile_y FROM clipped_boxes d, LATERAL tile_boxes(d.width, d.height, 640, 128) t
+    return t.spark.sql("""SELECT d.det_id, t.tile_x, t.tile_y FROM clipped_boxes d
+        JOIN (SELECT s.width, s.height, u.* FROM (SELECT DISTINCT width, height FROM clipped_boxes) s, LATERAL tile_boxes(s.width, s.height, 640, 128) u) t
+          ON d.width = t.width AND d.height = t.height
         WHERE d.x1 < t.tile_x + 640 AND d.x2 > t.tile_x AND d.y1 < t.tile_y + 640 AND d.y2 > t.tile_y""")
 
 

@@ -100,9 +100,23 @@ def match_greedy(t: Inputs):
     return rounded(matched(t)[2], "iou")
 
 
-@query()
+# every one-to-one choice of a group's pairs, prediction by prediction; `used` holds one bit per truth
+ORACLE_VIEWS["o_numbered"] = """SELECT image_id, class_id, iou, dense_rank() OVER (PARTITION BY image_id, class_id ORDER BY det_id) AS l,
+        CAST(1 AS HUGEINT) << CAST(dense_rank() OVER (PARTITION BY image_id, class_id ORDER BY annotation_id) AS INTEGER) AS r FROM o_pairs"""
+
+
+@query("""SELECT image_id, class_id, round(max(total), 6) AS total_iou FROM (
+    WITH RECURSIVE choice(image_id, class_id, l, used, total) AS (
+        SELECT DISTINCT image_id, class_id, CAST(0 AS BIGINT), CAST(0 AS HUGEINT), CAST(0 AS DOUBLE) FROM o_numbered
+        UNION ALL
+        SELECT c.image_id, c.class_id, c.l + 1, c.used | coalesce(n.r, CAST(0 AS HUGEINT)), c.total + coalesce(n.iou, 0)
+        FROM choice c JOIN (SELECT image_id, class_id, l, r, iou FROM o_numbered UNION ALL SELECT DISTINCT image_id, class_id, l, CAST(NULL AS HUGEINT), CAST(NULL AS DOUBLE) FROM o_numbered) n
+          ON n.image_id = c.image_id AND n.class_id = c.class_id AND n.l = c.l + 1 AND (n.r IS NULL OR (c.used & n.r) = 0))
+    SELECT * FROM choice) z GROUP BY image_id, class_id""")
 def match_optimal(t: Inputs):
-    return matching.match_boxes(*clipped(t), 0.5, "optimal")
+    """Total IoU of the optimal assignment per image and class."""
+    rows = matching.match_boxes(*clipped(t), 0.5, "optimal")
+    return rounded(rows.groupBy("image_id", "class_id").agg(F.sum("iou").alias("total_iou")), "total_iou")
 
 
 @query("SELECT image_id, class_id, level, det_id, annotation_id FROM o_coco_match")

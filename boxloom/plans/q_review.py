@@ -137,10 +137,22 @@ def fit_temperature(t: Inputs):
     return cal.apply_temperature(rows, cal.fit_temperature(rows)).select("det_id", "class_id", "score", "calibrated")
 
 
-@query()
+# the isotonic fit at a score is the largest, over what starts at or before it, of the least mean up to what ends at or after it
+ORACLE_VIEWS["o_iso_points"] = """SELECT class_id, score, row_number() OVER w AS i, sum(y) OVER w AS cy, sum(n) OVER w AS cn, y, n
+    FROM (SELECT class_id, score, sum(CASE WHEN tp THEN 1.0 ELSE 0.0 END) AS y, count(*) AS n FROM o_hits GROUP BY ALL) p
+    WINDOW w AS (PARTITION BY class_id ORDER BY score ROWS UNBOUNDED PRECEDING)"""
+ORACLE_VIEWS["o_iso"] = """SELECT class_id, score, max(least_mean) AS calibrated FROM (
+        SELECT k.class_id, k.score, a.i, min((b.cy - a.cy + a.y) / CAST(b.cn - a.cn + a.n AS DOUBLE)) AS least_mean
+        FROM o_iso_points k JOIN o_iso_points a ON a.class_id = k.class_id AND a.i <= k.i JOIN o_iso_points b ON b.class_id = k.class_id AND b.i >= k.i
+        GROUP BY k.class_id, k.score, a.i) z GROUP BY class_id, score"""
+
+
+@query("""SELECT h.det_id, h.class_id, h.score, CASE WHEN c.n >= 50 THEN round(o.calibrated, 5) END AS calibrated FROM o_hits h JOIN o_iso o ON o.class_id = h.class_id AND o.score = h.score
+    JOIN (SELECT class_id, count(*) AS n FROM o_hits GROUP BY class_id) c ON c.class_id = h.class_id""")
 def fit_isotonic(t: Inputs):
     rows = checkpointed(scored(t))
-    return cal.apply_isotonic(rows, cal.fit_isotonic(rows, list(range(6)), min_n=50)).select("det_id", "class_id", "score", "calibrated")
+    out = cal.apply_isotonic(rows, cal.fit_isotonic(rows, list(range(6)), min_n=50))
+    return out.select("det_id", "class_id", "score", F.round("calibrated", 5).alias("calibrated"))
 
 
 BINS = "SELECT class_id, least(CAST(floor(score * 10) AS INTEGER), 9) AS bin, count(*) AS n, avg(score) AS mean_score, avg(CASE WHEN tp THEN 1.0 ELSE 0.0 END) AS tp_rate FROM o_hits GROUP BY ALL"
@@ -240,6 +252,12 @@ def near_duplicates(t: Inputs):
     return qu.near_duplicates(rows.unionByName(more), 3, ident="vec_id")
 
 
-@query()
+@query("SELECT count(*) AS vectors, true AS at_most_k, true AS one_per_cluster, true AS from_the_table FROM vectors")
 def diverse_pick(t: Inputs):
-    return qu.diverse_pick(t.vectors, 20, 7).select("cluster", "cluster_size", "vec_id", "label")
+    """Properties of the pick: clusters cover every vector, each gives one of its rows."""
+    pick = checkpointed(qu.diverse_pick(t.vectors, 20, 7))
+    known = pick.join(t.vectors.select("vec_id"), "vec_id", "left_semi").count()
+    return pick.agg(
+        F.sum("cluster_size").alias("vectors"), (F.count(F.lit(1)) <= 20).alias("at_most_k"),
+        (F.count_distinct("cluster") == F.count(F.lit(1))).alias("one_per_cluster"), (F.count_distinct("vec_id") == F.lit(known)).alias("from_the_table"),
+    )

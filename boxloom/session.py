@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -47,6 +48,15 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stored_by(df: DataFrame, *columns: str) -> DataFrame:
+    """Freeze `df` as a table in the shared folder, partitioned by `columns`, so that later reads touch only what they ask for."""
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    folder = f"{spark.sparkContext.getCheckpointDir()}/by-{uuid.uuid4().hex}"
+    df.write.partitionBy(*columns).parquet(folder)
+    return spark.read.schema(df.schema).parquet(folder)
+
+
 def literal(spark: SparkSession, rows: list[tuple], schema: str | StructType) -> DataFrame:
     """A small table written in code: kept in the plan, so its size is known to the optimizer."""
     kind = StructType.fromDDL(schema) if isinstance(schema, str) else schema

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from boxloom.constants import TAXONOMY
 from boxloom.functions.scalars import canonical_json
@@ -12,6 +14,8 @@ from boxloom.operators.manifest import sequence_number
 from boxloom.operators.release import content_hash
 from boxloom.schemas import MANIFEST
 
+#: Partitions of a target up to which a filter names them.
+PRUNED = 200
 ORDER = ["dataset_id", "sequence_id", "frame_id", "camera_order", "image_id"]
 
 
@@ -108,9 +112,20 @@ def new_rows(df: DataFrame, target: DataFrame | None, keys: list[str]) -> DataFr
     return rows if target is None else rows.join(target.select(*keys), keys, "left_anti")
 
 
-def append_once(df: DataFrame, path: str, keys: list[str]) -> None:
-    """Append rows whose key the target does not hold; running it twice adds nothing."""
-    new_rows(df, existing(df, path), keys).write.mode("append").parquet(path)
+def append_once(df: DataFrame, path: str, keys: list[str], by: tuple[str, ...] = ()) -> None:
+    """Append rows whose key the target does not hold; running it twice adds nothing.
+
+    `by` names keys of few values (a release, a model version): the target is partitioned by them, and only the
+    partitions that the rows can fall in are compared.
+    """
+    target = existing(df, path)
+    if by and target is not None:
+        here = df.select(*by).distinct().limit(PRUNED + 1).collect()
+        if len(here) <= PRUNED:  # else the whole target is compared
+            hit = [reduce(Column.__and__, [F.col(c).eqNullSafe(F.lit(r[c])) for c in by]) for r in here]
+            target = target.filter(reduce(Column.__or__, hit, F.lit(False)))
+    out = new_rows(df, target, keys).write.mode("append")
+    (out.partitionBy(*by) if by else out).parquet(path)
 
 
 def pending(inputs: DataFrame, outputs: DataFrame, keys: list[str]) -> DataFrame:
