@@ -26,7 +26,7 @@ from boxloom.llm.registry import query
 WORD = re.compile(r"\w+")
 #: The sample for fitting: so many toxic and clean documents, of texts up to so many code points.
 FIT_TOXIC, FIT_CLEAN, FIT_CHARS = 1_000, 3_000, 20_000
-ROUNDS = 25
+ROUNDS, CHUNK_TOKENS = 25, 200_000
 REMEMBERED = 1_000_000
 
 
@@ -127,18 +127,18 @@ class Sample:
 
     def __init__(self, rows: list[str]) -> None:
         tokens: dict[str, int] = {}
-        found = [np.array([tokens.setdefault(t, len(tokens)) for t in WORD.findall(x)], np.int64) for x in rows]
+        found = [np.array([tokens.setdefault(t, len(tokens)) for t in WORD.findall(x)], np.int32) for x in rows]
         names: dict[str, int] = {}
-        self.features = [np.array([names.setdefault(f, len(names)) for f in features(t)], np.int64) for t in tokens]
+        self.features = [np.array([names.setdefault(f, len(names)) for f in features(t)], np.int32) for t in tokens]
         self.names = list(names)
         self.sizes = np.array([len(x) for x in found], np.int64)
-        self.flat = np.concatenate([np.zeros(0, np.int64), *found])
+        self.flat = np.concatenate([np.zeros(0, np.int32), *found])
         self.hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, self.names), np.uint64, len(names))
 
     def own(self, doc: int) -> np.ndarray:
         """Distinct features of a document."""
         end = int(self.sizes[: doc + 1].sum())
-        return np.unique(np.concatenate([np.zeros(0, np.int64), *(self.features[t] for t in np.unique(self.flat[end - self.sizes[doc] : end]))]))
+        return np.unique(np.concatenate([np.zeros(0, np.int32), *(self.features[t] for t in np.unique(self.flat[end - self.sizes[doc] : end]))]))
 
     def family(self, own: np.ndarray) -> tuple[int, int]:
         """Two min-hashes: near copies nearly always share them, so that a family of copies counts as one document."""
@@ -169,6 +169,58 @@ def select_features(sample: Sample, toxic: np.ndarray) -> dict[int, float]:
     return out
 
 
+def transitions(theta: np.ndarray) -> np.ndarray:
+    return np.array([[0, theta[-2]], [theta[-3], theta[-1]]])
+
+
+class Chunk:
+    """Some documents of the sample, so that the arrays of a round stay small; slopes add up over chunks."""
+
+    def __init__(self, sizes: np.ndarray, at: np.ndarray, which: np.ndarray, toxic: np.ndarray) -> None:
+        self.sizes, self.at, self.which = sizes, at, which
+        self.layout = Layout(sizes)
+        self.labelled = np.zeros(int(sizes.sum()), np.float32)
+        self.labelled[at] = 1
+        self.labelled *= np.repeat(toxic, sizes)
+        first = np.zeros(len(self.labelled), bool)
+        first[(np.cumsum(sizes) - sizes)[sizes > 0]] = True
+        self.second = np.flatnonzero(~first)  # tokens that follow another one
+        a, b = self.labelled[self.second - 1], self.labelled[self.second]
+        self.observed = np.array([(a * (1 - b)).sum(), ((1 - a) * b).sum(), (a * b).sum()], float)
+
+    @classmethod
+    def of(cls, sizes: np.ndarray, at: np.ndarray, which: np.ndarray, toxic: np.ndarray) -> Iterator[Chunk]:
+        """Cut a sample (feature `which[i]` at token `at[i]`, in token order) into chunks of about CHUNK_TOKENS tokens."""
+        ends = np.cumsum(sizes)
+        part = (ends - sizes) // CHUNK_TOKENS
+        for docs in np.split(np.arange(len(sizes)), np.flatnonzero(np.diff(part)) + 1):
+            if len(docs):
+                low, high = ends[docs[0]] - sizes[docs[0]], ends[docs[-1]]
+                a, b = np.searchsorted(at, [low, high])
+                yield cls(sizes[docs], at[a:b] - low, which[a:b], toxic[docs])
+
+    def scores(self, theta: np.ndarray) -> np.ndarray:
+        out = np.full(len(self.labelled), theta[-4])
+        np.add.at(out, self.at, theta[self.which])
+        return out
+
+    def chains(self, theta: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return self.layout.chains(self.scores(theta), transitions(theta))
+
+    def slope(self, theta: np.ndarray) -> np.ndarray:
+        """Of the log likelihood of the labels: weights, bias, and transitions toxic-clean, clean-toxic, toxic-toxic."""
+        trans, scores, second = transitions(theta), self.scores(theta), self.second
+        forward, backward = self.layout.chains(scores, trans)
+        rest = self.labelled - sigmoid(forward + backward)
+        # pairs of neighbours: forward odds, transition, emission and backward odds
+        x = np.exp(np.clip(forward[second - 1], -60, 60))
+        y = np.exp(np.clip(scores[second] + backward[second], -60, 60))
+        joint = [np.exp(trans[1, 0]) * x, np.exp(trans[0, 1]) * y, np.exp(trans[1, 1]) * x * y]
+        total = 1 + sum(joint)
+        expected = np.array([(j / total).sum() for j in joint])
+        return np.concatenate([np.bincount(self.which, rest[self.at], len(theta) - 4), [rest.sum()], self.observed - expected])
+
+
 def fit(sample: list[tuple[str, int]], weight_of_clean: float) -> Field:
     """Fit field and document function to (text, toxic) rows."""
     toxic = np.array([y for _, y in sample], np.int64)
@@ -185,40 +237,21 @@ def fit(sample: list[tuple[str, int]], weight_of_clean: float) -> Field:
     hit = np.flatnonzero(np.isin(flat, list(pairs)))
     at = np.repeat(hit, [len(pairs[t]) for t in flat[hit].tolist()])
     which = np.array([k for t in flat[hit].tolist() for k in pairs[t]], np.int64)
-    labelled = np.zeros(len(flat))
-    labelled[at] = 1
-    labelled *= np.repeat(toxic, sizes)
-    first = np.zeros(len(flat), bool)
-    first[(np.cumsum(sizes) - sizes)[sizes > 0]] = True
-    second = np.flatnonzero(~first)  # tokens that follow another one
-    layout = Layout(sizes)
+    names = [read.names[f] for f in chosen]
+    del read, flat, pairs, hit  # the sample is large next to what is fitted
     k = len(chosen)
+    chunks = list(Chunk.of(sizes, at, which, toxic))
     theta = np.concatenate([np.fromiter(chosen.values(), float, k), [-6.0, 0, 0, 0]])
+    prior = np.concatenate([np.zeros(k), [-6.0, 0, 0, 0]])
     mean, square = np.zeros_like(theta), np.zeros_like(theta)
-    observed = [float((labelled[second - 1] * (1 - labelled[second])).sum()), float(((1 - labelled[second - 1]) * labelled[second]).sum()), float((labelled[second - 1] * labelled[second]).sum())]
     for step in range(1, ROUNDS + 1):
-        trans = np.array([[0, theta[k + 2]], [theta[k + 1], theta[k + 3]]])
-        scores = np.full(len(flat), theta[k])
-        np.add.at(scores, at, theta[which])
-        forward, backward = layout.chains(scores, trans)
-        p = sigmoid(forward + backward)
-        rest = labelled - p
-        # pairs of neighbours: forward odds, transition, emission and backward odds
-        x = np.exp(np.clip(forward[second - 1], -60, 60))
-        y = np.exp(np.clip(scores[second] + backward[second], -60, 60))
-        joint = [np.ones(len(second)), np.exp(trans[1, 0]) * x, np.exp(trans[0, 1]) * y, np.exp(trans[1, 1]) * x * y]
-        total = sum(joint)
-        expected = [float((j / total).sum()) for j in joint[1:]]
-        slope = np.concatenate([np.bincount(which, rest[at], k), [rest.sum()], np.array(observed) - np.array(expected)])
-        slope -= 0.1 * (theta - np.concatenate([np.zeros(k), [-6.0, 0, 0, 0]]))
+        slope = sum((c.slope(theta) for c in chunks), -0.1 * (theta - prior))
         mean, square = 0.8 * mean + 0.2 * slope, 0.95 * square + 0.05 * slope**2
         theta = theta + 0.3 * (mean / (1 - 0.8**step)) / (np.sqrt(square / (1 - 0.95**step)) + 1e-6)
-    model.weights = {read.names[f]: float(w) for f, w in zip(chosen, theta[:k])}
+    model.weights = {f: float(w) for f, w in zip(names, theta[:k])}
     model.bias = float(theta[k])
-    model.trans = np.array([[0, theta[k + 2]], [theta[k + 1], theta[k + 3]]])
-    scores = np.full(len(flat), theta[k])
-    np.add.at(scores, at, theta[which])
-    z = summary(sigmoid(sum(layout.chains(scores, model.trans))), sizes)
+    model.trans = transitions(theta)
+    z = np.concatenate([summary(sigmoid(sum(c.chains(theta))), c.sizes) for c in chunks])
     weight = np.where(toxic == 1, 1.0, weight_of_clean)
     beta = np.zeros(3)
     for _ in range(25):  # Newton steps with a small ridge
