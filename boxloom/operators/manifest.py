@@ -401,6 +401,15 @@ def leakage_report(objects: DataFrame, images: DataFrame, key: str) -> DataFrame
     return rows.filter(F.col("folds") > 1)
 
 
+def near_leakage(pairs: DataFrame, images: DataFrame) -> DataFrame:
+    """Near-duplicate pairs (id_a, id_b, distance) whose images lie in different folds."""
+    folds = images.select("image_id", "dataset_id", "fold_id").distinct()
+    a = folds.select(F.col("image_id").alias("id_a"), F.struct("dataset_id", "fold_id").alias("_a"))
+    b = folds.select(F.col("image_id").alias("id_b"), F.struct("dataset_id", "fold_id").alias("_b"))
+    rows = pairs.join(a, "id_a").join(b, "id_b").filter("_a <> _b")
+    return rows.select(*pairs.columns, F.col("_a.fold_id").alias("fold_a"), F.col("_b.fold_id").alias("fold_b"))
+
+
 def taxonomy_classes() -> list[int]:
     return [cid for cid, _, active in TAXONOMY if active]
 

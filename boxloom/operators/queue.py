@@ -34,6 +34,24 @@ def rank_signal(df: DataFrame, signal: str) -> DataFrame:
     return exact_percent_rank(df, signal, f"{signal}_rank")
 
 
+def under_represented(images: DataFrame, dims: list[str], ident: str = "image_id") -> DataFrame:
+    """How rare an image's cell (camera, hour of day, ...) is: 0 for the fullest cell, towards 1 for the emptiest."""
+    counts = images.groupBy(*dims).agg(F.count(F.lit(1)).alias("_n"))
+    rarity = counts.withColumn("under_represented", 1.0 - F.col("_n") / counts.agg(F.max("_n")).scalar()).drop("_n")
+    return images.select(ident, *dims).join(rarity, dims).select(ident, "under_represented")
+
+
+def temporal_inconsistency(hits: DataFrame, ident: str = "image_id") -> DataFrame:
+    """Share of an image's tracked boxes that stand alone in time. `hits` holds `isolated` per box."""
+    return hits.groupBy(ident).agg(F.avg(F.col("isolated").cast("double")).alias("temporal"))
+
+
+def diversity(vectors: DataFrame, ident: str = "vec_id", cluster: str = "label") -> DataFrame:
+    """How sparse the region of an embedding is: 1 over the size of its cluster."""
+    sizes = vectors.groupBy(cluster).agg((1.0 / F.count(F.lit(1))).alias("diversity"))
+    return vectors.select(ident, cluster).join(sizes, cluster).select(ident, "diversity")
+
+
 def mistake_score(disagreement: DataFrame) -> DataFrame:
     """Possible annotation mistakes per image: detections (a) against human labels (b).
 

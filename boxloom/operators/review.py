@@ -122,6 +122,34 @@ def review_time(log: DataFrame, warmup: int = 5, target: float = 0.60) -> DataFr
     return wide.withColumn("reduction", reduction).withColumn("meets_target", F.col("reduction") >= target)
 
 
+def human_time_result(
+    times: DataFrame, recall: DataFrame, *, target: float = 0.60, tolerance: float = 0.01, min_tasks: int = 200, min_annotators: int = 2
+) -> DataFrame:
+    """One verdict from `review_time` and the recall of both arms (columns assisted, tp, fn).
+
+    Passes if the overall median falls by `target` and assisted recall drops by `tolerance` at most, on at least
+    `min_annotators` annotators with `min_tasks` tasks in both arms each; with fewer it is `insufficient_evidence`.
+    """
+    full = F.least(F.coalesce("manual_tasks", F.lit(0)), F.coalesce("assisted_tasks", F.lit(0))) >= min_tasks
+    people = times.agg(
+        F.count_if(F.col("annotator_id").isNotNull() & full).alias("annotators"),
+        F.max(F.when(F.col("annotator_id").isNull(), F.col("reduction"))).alias("reduction"),
+    )
+
+    def of(flag: bool) -> Column:
+        rate = F.try_divide(F.sum(F.when(F.col("assisted") == flag, F.col("tp"))).cast("double"), F.sum(F.when(F.col("assisted") == flag, F.col("tp") + F.col("fn"))))
+        return rate
+
+    rates = recall.agg(of(False).alias("manual_recall"), of(True).alias("assisted_recall"))
+    rows = people.withColumns({c: rates.select(c).scalar() for c in rates.columns})
+    drop = F.col("manual_recall") - F.col("assisted_recall")
+    verdict = (
+        F.when(F.col("annotators") < min_annotators, "insufficient_evidence")
+        .when((F.col("reduction") >= target) & (drop <= tolerance), "pass").otherwise("fail")
+    )
+    return rows.withColumn("verdict", verdict)
+
+
 def agreement(double: DataFrame, target: float = 0.98) -> DataFrame:
     """Share of box decisions both reviewers agree on, with each kind of disagreement."""
     kinds = ["agree", "class", "location", "a_only", "b_only"]

@@ -4,7 +4,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from boxloom.operators import boxes as ob, matching, metrics as mt, pairs, review, suppression
-from boxloom.plans.oracle_parts import ORACLE_VIEWS, greedy, iou_sql, suppression as suppress_sql
+from boxloom.plans.oracle_parts import ORACLE_VIEWS, greedy, iou_sql, scored_sql, suppression as suppress_sql
 from boxloom.plans.q_boxes import ignore_polygons, rounded
 from boxloom.plans.q_manifest import folded
 from boxloom.plans.registry import Inputs, query
@@ -242,6 +242,26 @@ def run_variants(t: Inputs):
     return rounded(mt.detection_counts(variants(t), ["run", "class_id"]), "precision", "recall")
 
 
+ORACLE_VIEWS["o_tile_pred"] = scored_sql("o_merged")
+ORACLE_VIEWS["o_tile_pairs"] = f"""SELECT * FROM (SELECT a.image_id, a.class_id, a.det_id, b.annotation_id, {iou_sql()} AS iou
+    FROM o_tile_pred a JOIN o_true b ON a.image_id = b.image_id AND a.class_id = b.class_id AND {OVERLAP}) p WHERE iou >= 0.5"""
+ORACLE_VIEWS.update(greedy("o_tile_pairs", "image_id, class_id", "det_id", "annotation_id", "o_tile", 4))
+ORACLE_VIEWS["o_tile_runs"] = """
+    SELECT 'native' AS run, class_id, outcome FROM o_outcomes
+    UNION ALL SELECT 'tiled', class_id, CASE WHEN det_id IN (SELECT det_id FROM o_tile) THEN 'TP' ELSE 'FP' END FROM o_tile_pred
+    UNION ALL SELECT 'tiled', class_id, 'FN' FROM o_true WHERE annotation_id NOT IN (SELECT annotation_id FROM o_tile)"""
+
+
+@query(f"SELECT run, class_id, {RATES} FROM o_tile_runs GROUP BY run, class_id")
+def run_tiled(t: Inputs):
+    """Slice by run: native against tiled inference, tiles merged."""
+    pred, truth, hits = matched(t)
+    merged = checkpointed(ob.without_ignored(suppression.merge_tiles(tiled(t)), ignore_polygons(t)))
+    again = mt.detection_outcomes(merged, truth, matching.match_boxes(merged, truth, 0.5, "greedy"))
+    both = mt.detection_outcomes(pred, truth, hits).withColumn("run", F.lit("native")).unionByName(again.withColumn("run", F.lit("tiled")))
+    return rounded(mt.detection_counts(both, ["run", "class_id"]), "precision", "recall")
+
+
 @query(f"""SELECT class_id, max(CASE WHEN run = 'native' THEN precision END) AS native_precision, max(CASE WHEN run = 'native' THEN recall END) AS native_recall,
     max(CASE WHEN run = 'suppressed' THEN precision END) AS suppressed_precision, max(CASE WHEN run = 'suppressed' THEN recall END) AS suppressed_recall
     FROM (SELECT run, class_id, {RATES} FROM o_runs GROUP BY run, class_id) z GROUP BY class_id""")

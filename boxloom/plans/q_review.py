@@ -107,6 +107,38 @@ def gold_sample(t: Inputs):
     return rv.gold_sample(for_gold(t), strata, "7", groups=20, per_stratum=30, empty_per_camera=5)
 
 
+@query(f"""SELECT annotators, round(reduction, 6) AS reduction, round(mr, 6) AS manual_recall, round(ar, 6) AS assisted_recall,
+    CASE WHEN annotators < 2 THEN 'insufficient_evidence' WHEN reduction >= 0.01 AND mr - ar <= 0.01 THEN 'pass' ELSE 'fail' END AS verdict FROM (
+    SELECT (SELECT count(*) FROM (SELECT annotator_id FROM {USED} u GROUP BY annotator_id HAVING least(count(*) FILTER (WHERE assisted), count(*) FILTER (WHERE NOT assisted)) >= 1) z) AS annotators,
+           (SELECT 1 - median(seconds) FILTER (WHERE assisted) / median(seconds) FILTER (WHERE NOT assisted) FROM {USED} u) AS reduction,
+           (SELECT count(*) FILTER (WHERE outcome = 'TP') / CAST(count(*) FILTER (WHERE outcome <> 'FP') AS DOUBLE) FROM o_outcomes WHERE image_id % 2 = 1) AS mr,
+           (SELECT count(*) FILTER (WHERE outcome = 'TP') / CAST(count(*) FILTER (WHERE outcome <> 'FP') AS DOUBLE) FROM o_outcomes WHERE image_id % 2 = 0) AS ar) y""")
+def human_time_result(t: Inputs):
+    """Even images stand for the assisted arm; an annotator works in one arm here, so none is in both."""
+    counts = outcomes(t).groupBy((F.col("image_id") % 2 == 0).alias("assisted")).agg(F.count_if(F.col("outcome") == "TP").alias("tp"), F.count_if(F.col("outcome") == "FN").alias("fn"))
+    out = rv.human_time_result(rv.review_time(t.review), counts, target=0.01, min_tasks=1)
+    return rounded(out, "reduction", "manual_recall", "assisted_recall")
+
+
+@query("""SELECT i.image_id, round(1 - n / CAST(max(n) OVER () AS DOUBLE), 6) AS under_represented, round(t.temporal, 6) AS temporal FROM images i
+    JOIN (SELECT camera_id, hour(make_timestamp(capture_us)) AS h, count(*) AS n FROM images GROUP BY ALL) c ON c.camera_id = i.camera_id AND c.h = hour(make_timestamp(i.capture_us))
+    LEFT JOIN (SELECT image_id, avg(CASE WHEN isolated THEN 1.0 ELSE 0.0 END) AS temporal FROM (
+        SELECT image_id, count(*) OVER (PARTITION BY track_id ORDER BY frame_id RANGE BETWEEN 1 PRECEDING AND 1 FOLLOWING) < 3 AS isolated FROM tracks) s GROUP BY image_id) t ON t.image_id = i.image_id""")
+def queue_signals(t: Inputs):
+    """Rarity of camera and hour, and boxes that stand alone in time."""
+    from boxloom.operators.tracking import suppress_isolated
+
+    images = t.images.withColumn("hour", F.hour(F.timestamp_micros("capture_us")))
+    rare = qu.under_represented(images, ["camera_id", "hour"])
+    lone = qu.temporal_inconsistency(suppress_isolated(t.tracks, min_hits=3, window=1))
+    return rounded(rare.join(lone, "image_id", "left"), "under_represented", "temporal")
+
+
+@query("""SELECT vec_id, round(1.0 / count(*) OVER (PARTITION BY label), 6) AS diversity FROM vectors""")
+def diversity_signal(t: Inputs):
+    return rounded(qu.diversity(t.vectors), "diversity")
+
+
 @query("""SELECT annotator_id, image_id, CASE WHEN 2*n <= c + 1 THEN 'manual_first' ELSE 'assisted_first' END AS arm FROM (
     SELECT *, row_number() OVER (PARTITION BY annotator_id ORDER BY sha256('7|' || annotator_id || '|' || image_id), image_id) AS n, count(*) OVER (PARTITION BY annotator_id) AS c
     FROM (SELECT DISTINCT annotator_id, image_id FROM review) u) z""")
@@ -131,6 +163,27 @@ def temperature_grid(t: Inputs):
     return cal.fit_temperature(scored(t), refine=0).withColumns({"temperature": F.round("temperature", 6), "nll": F.round("nll", 4)})
 
 
+ORACLE_VIEWS["o_signed"] = """SELECT i.image_id AS vec_id, CASE WHEN i.image_id % 3 = 0 THEN h WHEN i.image_id % 3 = 1 THEN xor(h, CAST(1 AS UBIGINT) << CAST(i.image_id % 64 AS INTEGER))
+    ELSE xor(xor(h, CAST(1 AS UBIGINT) << CAST(i.image_id % 61 AS INTEGER)), CAST(1 AS UBIGINT) << 63) END AS h FROM images i JOIN o_signs g ON g.vec_id = i.image_id % 211"""
+
+
+@query("""SELECT p.id_a, p.id_b, p.distance, a.fold_id AS fold_a, b.fold_id AS fold_b FROM (
+    SELECT r.vec_id AS id_a, h.vec_id AS id_b, 0 AS distance FROM o_signed h JOIN (SELECT h, min(vec_id) AS vec_id FROM o_signed GROUP BY h) r ON h.h = r.h WHERE h.vec_id <> r.vec_id
+    UNION ALL SELECT a.vec_id, b.vec_id, CAST(bit_count(xor(a.h, b.h)) AS INTEGER) FROM (SELECT h, min(vec_id) AS vec_id FROM o_signed GROUP BY h) a
+    JOIN (SELECT h, min(vec_id) AS vec_id FROM o_signed GROUP BY h) b ON a.vec_id < b.vec_id AND bit_count(xor(a.h, b.h)) <= 3) p
+    JOIN o_seq a ON a.image_id = p.id_a JOIN o_seq b ON b.image_id = p.id_b WHERE a.fold_id <> b.fold_id""")
+def near_leakage(t: Inputs):
+    """Near duplicates over folds: images carry the hash of a vector, some with one or two bits turned."""
+    from boxloom.plans.q_manifest import folded
+    from boxloom.operators.manifest import near_leakage as leaked
+
+    hashes = t.vectors.select("vec_id", s.sign_hash("embedding").alias("hash"))
+    images = folded(t).withColumn("vec_id", F.col("image_id") % 211)
+    flip = "CASE WHEN image_id % 3 = 0 THEN hash WHEN image_id % 3 = 1 THEN hash ^ shiftleft(1L, cast(image_id % 64 AS int)) ELSE hash ^ shiftleft(1L, cast(image_id % 61 AS int)) ^ shiftleft(1L, 63) END"
+    rows = images.join(hashes, "vec_id").select("image_id", F.expr(flip).alias("hash"))
+    return leaked(qu.near_duplicates(rows, 3), images)
+
+
 @query()
 def fit_temperature(t: Inputs):
     rows = checkpointed(scored(t))
