@@ -22,7 +22,7 @@ def _packed(df: DataFrame, keys: list[str], ident: str, side: str, extra: list[s
     return df.select(*keys, body.alias(side))
 
 
-def _cells(df: DataFrame, side: str, cell: int) -> DataFrame:
+def cells(df: DataFrame, side: str, cell: int) -> DataFrame:
     def reach(low: str, high: str) -> Column:
         first = F.floor(F.col(f"{side}.{low}") / cell)
         return F.sequence(first, F.greatest(first, F.ceil(F.col(f"{side}.{high}") / cell) - 1))
@@ -40,7 +40,7 @@ def _joined(left: DataFrame, right: DataFrame, keys: list[str], min_iou: float,
 
 
 def _gridded(left, right, keys, min_iou, residual, cell) -> DataFrame:
-    rows = _joined(_cells(left, "a", cell), _cells(right, "b", cell), [*keys, "_cx", "_cy"], min_iou, residual)
+    rows = _joined(cells(left, "a", cell), cells(right, "b", cell), [*keys, "_cx", "_cy"], min_iou, residual)
     owner_x = F.floor(F.greatest(F.col("a.x1"), F.col("b.x1")) / cell)
     owner_y = F.floor(F.greatest(F.col("a.y1"), F.col("b.y1")) / cell)
     return rows.filter((owner_x == F.col("_cx")) & (owner_y == F.col("_cy"))).drop("_cx", "_cy")

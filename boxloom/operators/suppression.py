@@ -4,15 +4,18 @@ from __future__ import annotations
 
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from boxloom.functions import geometry as g
 from boxloom.operators.boxes import untile
-from boxloom.operators.pairs import GROUP_LIMIT, overlap_join
+from boxloom.operators.pairs import CELL, GROUP_LIMIT, cells, overlap_join
 from boxloom.operators.scale import hot_keys, split_by_keys
 from boxloom.session import checkpointed
 
 KEYS = ["image_id", "class_id"]
+#: Pixels of a block in which large groups are settled before an exchange, and overlaps of a block at most.
+LOCAL_BLOCK, LOCAL_EDGES = 512.0, 200_000
 
 
 def nms(df: DataFrame, iou: float = 0.5, *, group_limit: int = GROUP_LIMIT) -> DataFrame:
@@ -31,10 +34,39 @@ def nms(df: DataFrame, iou: float = 0.5, *, group_limit: int = GROUP_LIMIT) -> D
     kept = _fold(small, iou)
     if hot is not None:
         hot = checkpointed(hot)
-        kept = kept.unionByName(hot.join(_rounds(hot, iou), [*KEYS, "det_id"], "left_semi"))
+        sure, rest = _thinned(hot.select(*KEYS, "det_id", "score", *g.CORNERS), iou)
+        settled = sure.unionByName(_rounds(rest, iou))
+        kept = kept.unionByName(hot.join(settled, [*KEYS, "det_id"], "left_semi"))
     return kept.select(*df.columns)
 
 
+def _thinned(df: DataFrame, iou: float) -> tuple[DataFrame, DataFrame]:
+    """(keys, det_id) kept for sure, and the boxes that are still open, without making any pair of a pile.
+
+    A box that is the best one in every cell it reaches has no better neighbour: it is kept, and what it overlaps goes.
+    A cell has one such box at most, so a pass costs a row per box and cell. Passes go on while they at least halve.
+    """
+    done: list[DataFrame] = []
+    left = df.count()
+    while True:
+        body = F.struct(F.col("det_id").alias("id"), "score", *g.CORNERS)
+        placed = checkpointed(cells(df.select(*KEYS, body.alias("b")), "b", CELL))
+        spot = [*KEYS, "_cx", "_cy"]
+        best = placed.groupBy(*spot).agg(F.min_by("b", F.struct((-F.col("b.score")).alias("rank"), F.col("b.id"))).alias("a"))
+        wins = best.groupBy(*KEYS, F.col("a.id").alias("det_id")).agg(F.count(F.lit(1)).alias("_won"))
+        reach = placed.groupBy(*KEYS, F.col("b.id").alias("det_id")).agg(F.count(F.lit(1)).alias("_all"))
+        sure = checkpointed(wins.join(reach, [*KEYS, "det_id"]).filter("_won = _all").select(*KEYS, "det_id"))
+        owned = best.withColumn("det_id", F.col("a.id")).join(sure, [*KEYS, "det_id"], "left_semi").drop("det_id")
+        hidden = placed.join(owned, spot).filter((F.col("a.id") != F.col("b.id")) & (g.iou(g.corners("a"), g.corners("b")) >= iou))
+        gone = hidden.select(*KEYS, F.col("b.id").alias("det_id")).unionByName(sure).distinct()
+        df = checkpointed(df.join(gone, [*KEYS, "det_id"], "left_anti"))
+        done.append(sure)
+        now = df.count()
+        if not now or now > left / 2:
+            return reduce(DataFrame.unionByName, done), df
+        left = now
+
+
 def _fold(df: DataFrame, iou: float) -> DataFrame:
     # whole rows travel in the sorted array, so the kept ones need no join afterwards
     rest = [c for c in df.columns if c not in (*KEYS, *g.CORNERS, "det_id")]
@@ -53,29 +85,71 @@ def _fold(df: DataFrame, iou: float) -> DataFrame:
 
 
 def _rounds(df: DataFrame, iou: float) -> DataFrame:
-    """A live box without a better live neighbour is kept; its neighbours leave; repeat."""
+    """A live box without a better live neighbour is kept; its neighbours leave; repeat.
+
+    Before each exchange, boxes are settled within blocks of the image as far as their better neighbours lie in the same
+    block, so that a chain of boxes takes about as many rounds as it crosses blocks. Blocks move from round to round;
+    those with more than LOCAL_EDGES overlaps are left to the exchange.
+    """
     def before(a: Column, b: Column) -> Column:
         return (a["score"] > b["score"]) | ((a["score"] == b["score"]) & (a["id"] < b["id"]))
 
+    if df.isEmpty():
+        return df.select(*KEYS, "det_id")
     pairs = overlap_join(
         df, df, KEYS, iou, left_id="det_id", right_id="det_id",
         left_extra=["score"], right_extra=["score"], residual=before, group_limit=0,
     )
-    edges = checkpointed(pairs.select(*KEYS, F.col("a.id").alias("winner"), F.col("b.id").alias("det_id")))
+    edges = checkpointed(pairs.select(*KEYS, *[F.col(f"{side}.{name}").alias(f"{end}{name}") for side, end in (("a", "w_"), ("b", "l_")) for name in ("id", "x1", "y1", "score")]))
     live = checkpointed(df.select(*KEYS, "det_id"))
     done: list[DataFrame] = []
     while not live.isEmpty():
-        kept = checkpointed(live.join(edges.select(*KEYS, "det_id"), [*KEYS, "det_id"], "left_anti"))
+        free = live.join(edges.select(*KEYS, F.col("l_id").alias("det_id")), [*KEYS, "det_id"], "left_anti")
+        kept = checkpointed(free.unionByName(_settled(edges, len(done))).distinct())
         done.append(kept)
-        losers = edges.join(kept.withColumnRenamed("det_id", "winner"), [*KEYS, "winner"], "left_semi")
-        gone = checkpointed(losers.select(*KEYS, "det_id").distinct())
-        live = live.join(kept, [*KEYS, "det_id"], "left_anti").join(gone, [*KEYS, "det_id"], "left_anti")
-        live = checkpointed(live)
-        edges = edges.join(gone, [*KEYS, "det_id"], "left_anti")
-        edges = checkpointed(edges.join(gone.withColumnRenamed("det_id", "winner"), [*KEYS, "winner"], "left_anti"))
+        losers = edges.join(kept.withColumnRenamed("det_id", "w_id"), [*KEYS, "w_id"], "left_semi")
+        gone = losers.select(*KEYS, F.col("l_id").alias("det_id"))
+        settled = checkpointed(gone.unionByName(kept).distinct())
+        live = checkpointed(live.join(settled, [*KEYS, "det_id"], "left_anti"))
+        edges = edges.join(settled.withColumnRenamed("det_id", "l_id"), [*KEYS, "l_id"], "left_anti")
+        edges = checkpointed(edges.join(settled.withColumnRenamed("det_id", "w_id"), [*KEYS, "w_id"], "left_anti"))
     return reduce(DataFrame.unionByName, done)
 
 
+def _settled(edges: DataFrame, number: int) -> DataFrame:
+    """Boxes that are kept for sure, judging by the overlaps of one block of the image at a time."""
+    shift = number * LOCAL_BLOCK / 3
+
+    def block(end: str) -> list[Column]:
+        return [F.floor((F.col(f"{end}{c}") + shift) / LOCAL_BLOCK) for c in ("x1", "y1")]
+
+    (lx, ly), (wx, wy) = block("l_"), block("w_")
+    rows = edges.withColumns({"_bx": lx, "_by": ly, "_inside": (lx == wx) & (ly == wy)})
+    unit = [*KEYS, "_bx", "_by"]
+    small = rows.groupBy(*unit).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") <= LOCAL_EDGES).drop("_n")
+    kind = dict(edges.dtypes)
+    columns = [*KEYS, "det_id"]
+
+    def settle(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
+        better: dict = {}
+        for winner, loser, inside in zip(part["w_id"], part["l_id"], part["_inside"]):
+            better.setdefault(loser, []).append((winner, inside))
+        score = dict(zip(part["w_id"], part["w_score"])) | dict(zip(part["l_id"], part["l_score"]))
+        here = set(part["l_id"]) | set(part.loc[part["_inside"], "w_id"])
+        state: dict = {}
+        for box in sorted(here, key=lambda b: (-score[b], b)):
+            above = [state.get(w) if inside else None for w, inside in better.get(box, [])]
+            if any(x is True for x in above):
+                state[box] = False
+            elif all(x is False for x in above):
+                state[box] = True
+        kept = [b for b, x in state.items() if x is True]
+        return pd.DataFrame({**{k: [v] * len(kept) for k, v in zip(KEYS, key)}, "det_id": kept}, columns=columns)
+
+    schema = ", ".join(f"{c} {kind['l_id'] if c == 'det_id' else kind[c]}" for c in columns)
+    return rows.join(small, unit).groupBy(*unit).applyInPandas(settle, schema)
+
+
 def fuse_boxes(df: DataFrame, iou: float = 0.5, *, group_limit: int = GROUP_LIMIT) -> DataFrame:
     """Weighted box fusion: every suppressed box joins the kept box it overlaps most.
 

@@ -131,6 +131,43 @@ def nms(t: Inputs):
     return suppression.nms(ob.clip_boxes(t.det)).select("det_id", "image_id", "class_id")
 
 
+CHAIN = """SELECT annotation_id AS det_id, CAST((n - n % 500) / 500 AS BIGINT) AS image_id, 1 AS class_id, CAST(n % 500 AS BIGINT) AS place
+    FROM (SELECT annotation_id, row_number() OVER (ORDER BY annotation_id) - 1 AS n FROM truth) r"""
+
+
+@query(f"SELECT det_id, image_id FROM ({CHAIN}) c WHERE place % 2 = 0")
+def nms_chain(t: Inputs):
+    """Chains of 500 boxes in which each overlaps the next: every second one stays."""
+    from boxloom.operators.scale import part_running_sum, range_parts
+
+    order = [F.col("annotation_id").asc()]
+    rows = part_running_sum(range_parts(t.truth.select("annotation_id"), [], order), [], order, {"n": F.lit(1).cast("bigint")})
+    n = F.col("n") - 1
+    place = (n % 500).cast("double")
+    boxes = rows.select(
+        F.col("annotation_id").alias("det_id"), F.floor(n / 500).alias("image_id"), F.lit(1).alias("class_id"), (place * 3).alias("x1"), F.lit(0.0).alias("y1"),
+        (place * 3 + 10).alias("x2"), F.lit(10.0).alias("y2"), (1.0 - place / 1000).alias("score"),
+    )
+    return suppression.nms(boxes).select("det_id", "image_id")
+
+
+@query("""SELECT min(det_id) AS det_id, image_id FROM (SELECT annotation_id AS det_id, CAST((n - n % 2000) / 2000 AS BIGINT) AS image_id
+    FROM (SELECT annotation_id, row_number() OVER (ORDER BY annotation_id) - 1 AS n FROM truth) r) c GROUP BY image_id""")
+def nms_pile(t: Inputs):
+    """Piles of 2,000 boxes in one place, no two alike: the best one stays."""
+    from boxloom.operators.scale import part_running_sum, range_parts
+
+    order = [F.col("annotation_id").asc()]
+    rows = part_running_sum(range_parts(t.truth.select("annotation_id"), [], order), [], order, {"n": F.lit(1).cast("bigint")})
+    n = F.col("n") - 1
+    place = (n % 2000).cast("double")
+    boxes = rows.select(
+        F.col("annotation_id").alias("det_id"), F.floor(n / 2000).alias("image_id"), F.lit(1).alias("class_id"), (place / 1000).alias("x1"), F.lit(0.0).alias("y1"),
+        (100 + place / 500).alias("x2"), F.lit(100.0).alias("y2"), (1.0 - place / 4000).alias("score"),
+    )
+    return suppression.nms(boxes).select("det_id", "image_id")
+
+
 def fuse_sql(source: str, kept: str) -> str:
     mean = ", ".join(f"round(sum({n} * score) / sum(score) + 0.000000123, 6) AS {n}" for n in ("x1", "y1", "x2", "y2"))
     return f"""

@@ -171,8 +171,8 @@ def load_policy(spark: SparkSession, path: str) -> dict[str, DataFrame]:
     """
     import yaml
 
-    with open(path, encoding="utf-8") as handle:
-        content = yaml.safe_load(handle) or {}
+    whole = spark.read.text(path, wholetext=True).first()  # one small file, wherever Spark can read it
+    content = yaml.safe_load(whole[0] if whole else "") or {}
     known = {name: (cid, active) for cid, name, active in TAXONOMY}
     out = {}
     for table, ddl in POLICY_SCHEMAS.items():

@@ -5,11 +5,19 @@ import os
 import pytest
 
 import __spark_entry__ as entry
+from boxloom.plans import catalog
 from check_queries import compare, connect
 
 FOLDER = "/root/testdata/sf0.001"
-SOME = ["clip_boxes", "match_greedy", "average_precision", "nms", "assign_sequences", "content_hash", "review_time", "track", "stream_sequences"]
-NAMES = list(entry.queries()) if os.environ.get("BOXLOOM_ALL") else SOME
+SOME = [
+    "clip_boxes", "match_greedy", "match_optimal", "average_precision", "nms", "fuse_boxes", "tile_duplicate_rate", "assign_sequences", "match_context_ties",
+    "canonical_order", "fold_support_two_sets", "missing_images", "development_gate", "content_hash", "review_time", "quota_rank", "near_leakage", "fit_isotonic",
+    "coco_read_back", "review_export_read_back", "track", "stream_sequences", "stream_track",
+]
+#: Queries that SQL does not check; rows are all they are held to here.
+UNCHECKED = {"fit_temperature"}
+OWN = [n for n in entry.queries() if n in catalog.QUERIES]  # the operators of the other part have tests of their own
+NAMES = OWN if os.environ.get("BOXLOOM_ALL") else SOME
 
 
 @pytest.fixture(scope="module")
@@ -19,7 +27,19 @@ def engine():
 
 @pytest.mark.parametrize("name", NAMES)
 def test_query(spark, engine, name):
-    assert compare(spark, engine, name, FOLDER).startswith(("ok", "rows"))
+    assert compare(spark, engine, name, FOLDER).startswith("rows" if name in UNCHECKED else "ok")
+
+
+def test_left_over_views_are_empty(engine):
+    """The rounds that the SQL unrolls leave nothing undecided."""
+    from boxloom.plans.fixtures import VIEWS, with_views
+    from boxloom.plans.oracle_parts import ORACLE_VIEWS
+
+    names = [v for v in ORACLE_VIEWS if v.endswith(("_left", "_open"))]
+    assert len(names) > 5
+    for name in names:
+        sql = with_views(f"SELECT count(*) FROM {name}", {**VIEWS, **ORACLE_VIEWS}, once="o_")
+        assert engine.execute(sql).fetchone()[0] == 0, name
 
 
 def test_entry(spark):
