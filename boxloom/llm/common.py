@@ -41,6 +41,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = 8_000_000
         for a, b in zip(cuts, cuts[1:]):
             if b > a:
                 yield batch.slice(a, b - a)
+        pa.default_memory_pool().release_unused()  # workers stay alive between tasks
 
 
 def lists(offsets: np.ndarray, values: np.ndarray) -> pa.ListArray:

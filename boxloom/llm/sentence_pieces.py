@@ -27,7 +27,7 @@ from boxloom.llm.registry import query
 SPACE = "▁"
 #: Parts that no piece reaches out of: spaces and then letters, a digit, or other characters.
 PART = re.compile(r" *+(?:[^\W\d_²]+|\d|(?:[^\w \n]|[_²])+)| +|\n+")
-REMEMBERED, PAIRS_REMEMBERED = 300_000, 1_000_000
+REMEMBERED, PAIRS_REMEMBERED = 200_000, 1_000_000
 #: Characters that are indexed at once.
 INDEXED = 300_000
 #: Parts of at most so many characters are relaxed by the length of the edges too.

@@ -15,7 +15,7 @@ REGISTERS, BAND = 120, 4
 BASE, RATE, TOP = 1.001, 20.0, 65_535
 WORD = re.compile(r"[^ \t\n\v\f\r]+")
 STEP = np.uint64(0x9E3779B97F4A7C15)
-REMEMBERED = 1_000_000
+REMEMBERED = 200_000
 
 
 def mix(x: np.ndarray) -> np.ndarray:

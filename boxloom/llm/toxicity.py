@@ -12,7 +12,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -27,7 +27,7 @@ WORD = re.compile(r"\w+")
 #: The sample for fitting: so many toxic and clean documents, of texts up to so many code points.
 FIT_TOXIC, FIT_CLEAN, FIT_CHARS = 1_000, 3_000, 20_000
 ROUNDS, CHUNK_TOKENS = 25, 200_000
-REMEMBERED = 1_000_000
+REMEMBERED = 200_000
 
 
 def held_out(doc_id: str = "doc_id") -> Column:
@@ -93,16 +93,18 @@ class Field:
     def emission(self, token: str) -> float:
         return self.bias + sum(self.weights.get(f, 0.0) for f in features(token))
 
-    def marginals(self, tokens: list[list[str]], known: dict[str, float]) -> tuple[np.ndarray, np.ndarray]:
-        """Marginals of all tokens, one document after another, and the sizes."""
-        sizes = np.array([len(x) for x in tokens], np.int64)
-        if len(known) > REMEMBERED:
-            known.clear()
-        for t in set().union(*tokens):
-            if t not in known:
-                known[t] = self.emission(t)
-        get = known.__getitem__
-        flat = np.fromiter((get(t) for x in tokens for t in x), float, int(sizes.sum()))
+    def marginals(self, tokens: Iterable[list[str]], known: dict[str, float]) -> tuple[np.ndarray, np.ndarray]:
+        """Marginals of all tokens, one document after another, and the sizes. Holds the tokens of one document at a time."""
+        found = []
+        for doc in tokens:
+            if len(known) > REMEMBERED:
+                known.clear()
+            for t in set(doc):
+                if t not in known:
+                    known[t] = self.emission(t)
+            found.append(np.fromiter(map(known.__getitem__, doc), float, len(doc)))
+        sizes = np.array([len(x) for x in found], np.int64)
+        flat = np.concatenate([np.zeros(0), *found])
         forward, backward = Layout(sizes).chains(flat, self.trans)
         return sigmoid(forward + backward), sizes
 
@@ -291,9 +293,9 @@ def score_toxicity(docs: DataFrame, model: Field) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, float] = {}
         kind = pa.list_(pa.struct([pa.field("start", pa.int32()), pa.field("end", pa.int32()), pa.field("marginal", pa.float64())]))
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", 4_000_000):
             rows = texts(batch.column("text"))
-            marginals, sizes = model.marginals([WORD.findall(x) for x in rows], known)
+            marginals, sizes = model.marginals(map(WORD.findall, rows), known)
             scores = model.score(marginals, sizes)
             spans: list[list] = [[] for _ in rows]
             starts = np.cumsum(sizes) - sizes
