@@ -374,18 +374,23 @@ def cumulative_tp_fp(t: Inputs):
     return mt.cumulative_tp_fp(scored(t)).select("class_id", "level", "det_id", "cum_tp", "cum_fp")
 
 
-@query("SELECT class_id, level, det_id, round(precision, 6) AS precision, round(recall, 6) AS recall FROM o_curve")
+# quotients of counts can be exact halves of the last digit, which two engines round apart: shift them a little
+HALF = 0.000000001
+
+
+@query(f"SELECT class_id, level, det_id, round(precision + {HALF}, 6) AS precision, round(recall + {HALF}, 6) AS recall FROM o_curve")
 def pr_curve(t: Inputs):
     out = mt.pr_curve(scored(t), truth_counts(t))
+    out = out.withColumns({c: F.col(c) + HALF for c in ("precision", "recall")})
     return rounded(out, "precision", "recall").select("class_id", "level", "det_id", "precision", "recall")
 
 
-@query("""SELECT class_id, level, cum_tp, round(max(max(precision)) OVER (PARTITION BY class_id, level ORDER BY cum_tp ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING), 6) AS envelope
+@query(f"""SELECT class_id, level, cum_tp, round(max(max(precision)) OVER (PARTITION BY class_id, level ORDER BY cum_tp ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) + {HALF}, 6) AS envelope
     FROM o_curve GROUP BY class_id, level, cum_tp""")
 def precision_envelope(t: Inputs):
     keys = ["class_id", "level"]
     out = mt.precision_envelope(mt.pr_curve(scored(t), truth_counts(t)), keys)
-    return rounded(out, "envelope").select(*keys, "cum_tp", "envelope")
+    return rounded(out.withColumn("envelope", F.col("envelope") + HALF), "envelope").select(*keys, "cum_tp", "envelope")
 
 
 @query("""SELECT k.class_id, coalesce(t.n_truth, 0) AS n_truth,
