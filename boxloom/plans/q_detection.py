@@ -365,8 +365,10 @@ def scored(t: Inputs):
     return matching.match_coco(*clipped(t))
 
 
-def truth_counts(t: Inputs):
-    return clipped(t)[1].groupBy("class_id").agg(F.count(F.lit(1)).alias("n_truth"))
+def scored_with_counts(t: Inputs):
+    """The scored predictions, and the number of truth boxes per class, from one pass over the inputs."""
+    pred, truth = clipped(t)
+    return matching.match_coco(pred, truth), truth.groupBy("class_id").agg(F.count(F.lit(1)).alias("n_truth"))
 
 
 @query("SELECT class_id, level, det_id, cum_tp, cum_fp FROM o_cum")
@@ -380,7 +382,7 @@ HALF = 0.000000001
 
 @query(f"SELECT class_id, level, det_id, round(precision + {HALF}, 6) AS precision, round(recall + {HALF}, 6) AS recall FROM o_curve")
 def pr_curve(t: Inputs):
-    out = mt.pr_curve(scored(t), truth_counts(t))
+    out = mt.pr_curve(*scored_with_counts(t))
     out = out.withColumns({c: F.col(c) + HALF for c in ("precision", "recall")})
     return rounded(out, "precision", "recall").select("class_id", "level", "det_id", "precision", "recall")
 
@@ -389,7 +391,7 @@ def pr_curve(t: Inputs):
     FROM o_curve GROUP BY class_id, level, cum_tp""")
 def precision_envelope(t: Inputs):
     keys = ["class_id", "level"]
-    out = mt.precision_envelope(mt.pr_curve(scored(t), truth_counts(t)), keys)
+    out = mt.precision_envelope(mt.pr_curve(*scored_with_counts(t)), keys)
     return rounded(out.withColumn("envelope", F.col("envelope") + HALF), "envelope").select(*keys, "cum_tp", "envelope")
 
 
@@ -398,7 +400,7 @@ def precision_envelope(t: Inputs):
     FROM (SELECT class_id FROM o_pred UNION SELECT class_id FROM o_true) k LEFT JOIN o_truth_counts t ON k.class_id = t.class_id LEFT JOIN o_ap a ON k.class_id = a.class_id
     GROUP BY k.class_id, t.n_truth""")
 def average_precision(t: Inputs):
-    return rounded(mt.coco_summary(scored(t), truth_counts(t)), "ap50", "ap50_95")
+    return rounded(mt.coco_summary(*scored_with_counts(t)), "ap50", "ap50_95")
 
 
 @query("SELECT class_id, round(sqrt(avg(score * score)), 6) AS rms FROM det GROUP BY class_id")

@@ -177,7 +177,7 @@ def near_leakage(t: Inputs):
     from boxloom.plans.q_manifest import folded
     from boxloom.operators.manifest import near_leakage as leaked
 
-    hashes = t.vectors.select("vec_id", s.sign_hash("embedding").alias("hash"))
+    hashes = checkpointed(t.vectors.select("vec_id", s.sign_hash("embedding").alias("hash")))
     images = folded(t).withColumn("vec_id", F.col("image_id") % 211)
     flip = "CASE WHEN image_id % 3 = 0 THEN hash WHEN image_id % 3 = 1 THEN hash ^ shiftleft(1L, cast(image_id % 64 AS int)) ELSE hash ^ shiftleft(1L, cast(image_id % 61 AS int)) ^ shiftleft(1L, 63) END"
     rows = images.join(hashes, "vec_id").select("image_id", F.expr(flip).alias("hash"))
@@ -299,7 +299,7 @@ ORACLE_VIEWS["o_hashed"] = """SELECT vec_id, h FROM o_signs UNION ALL SELECT vec
     JOIN (SELECT h, min(vec_id) AS vec_id FROM o_hashed GROUP BY h) b ON a.vec_id < b.vec_id AND bit_count(xor(a.h, b.h)) <= 3""")
 def near_duplicates(t: Inputs):
     """Sign hashes of the vectors, each with a further row that is a copy or differs in one or two bits."""
-    rows = t.vectors.select("vec_id", s.sign_hash("embedding").alias("hash"))
+    rows = checkpointed(t.vectors.select("vec_id", s.sign_hash("embedding").alias("hash")))
     flip = "hash ^ CASE WHEN vec_id % 3 = 0 THEN 0L WHEN vec_id % 3 = 1 THEN shiftleft(1L, cast(vec_id % 64 AS int)) ELSE shiftleft(1L, cast(vec_id % 64 AS int)) | shiftleft(1L, cast((vec_id + 9) % 64 AS int)) END"
     more = rows.select((F.col("vec_id") + 1000000).alias("vec_id"), F.expr(flip).alias("hash"))
     return qu.near_duplicates(rows.unionByName(more), 3, ident="vec_id")
