@@ -11,8 +11,10 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -117,6 +119,18 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return out
 
 
+def named_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int, float, str]]:
+    """(start, kind number, end, score, name) of the literals that no one base span holds whole."""
+    base = sorted(base)
+    starts, ends = [s for s, _, _ in base], list(accumulate((e for _, _, e in base), max))
+
+    def covered(a: int, b: int) -> bool:
+        k = bisect_right(starts, a)
+        return k > 0 and b <= ends[k - 1]
+
+    return [(a, 3, b, score, name) for (a, b), (score, name) in lexed(text).items() if not covered(a, b)]
+
+
 SPAN = "array<struct<kind: string, start: int, end: int, score: double, name: string>>"
 
 
@@ -124,7 +138,7 @@ def scan_secrets(docs: DataFrame) -> DataFrame:
     """`docs` plus secret_spans: (kind, start, end, score, name), by start and then kind; code points, end exclusive.
 
     Kinds assign, access and hex are the fixed patterns (score 1, no name). Kind named are literals that assignments
-    bring to a sensitive name; those that touch a base span are not told again. Null and empty texts have no spans; rows
+    bring to a sensitive name; those that one base span covers whole are not told again, others stand beside it. Null and empty texts have no spans; rows
     are independent and keep all other columns (secret_spans is replaced); an empty table gives an empty one.
     """
     docs = docs.drop("secret_spans")
@@ -135,10 +149,10 @@ def scan_secrets(docs: DataFrame) -> DataFrame:
         for batch in slices(batches, "text"):
             rows = []
             for text in texts(batch.column("text")):
-                spans = [(s, k, e, 1.0, None) for s, k, e in base_spans(text)]
+                base = base_spans(text)
+                spans = [(s, k, e, 1.0, None) for s, k, e in base]
                 if "=" in text or ":" in text:
-                    taken = [(s, e) for s, _, e, _, _ in spans]
-                    spans += [(a, 3, b, score, name) for (a, b), (score, name) in lexed(text).items() if not any(s < b and a < e for s, e in taken)]
+                    spans += named_spans(text, base)
                 rows.append([{"kind": KINDS[k], "start": s, "end": e, "score": x, "name": name} for s, k, e, x, name in sorted(spans, key=lambda x: x[:3])])
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(rows, kind)], [*batch.schema.names, "secret_spans"])
 
