@@ -42,11 +42,11 @@ def sketches(k: int):
             keys = bands(regs)
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("doc_id"), pa.array([len(x) for x in sets], pa.int64()),
+                    batch.column("doc_id"), batch.column("t1"), batch.column("t2"), pa.array([len(x) for x in sets], pa.int64()),
                     pa.array([(d >> 64) - 2**63 for d in digests], pa.int64()), pa.array([(d & (2**64 - 1)) - 2**63 for d in digests], pa.int64()),
                     pa.array([x.tobytes() for x in regs], pa.binary()), lists(np.arange(len(sets) + 1) * keys.shape[1], keys.ravel()),
                 ],
-                ["doc_id", "n_shingles", "high", "low", "regs", "bands"],
+                ["doc_id", "t1", "t2", "n_shingles", "high", "low", "regs", "bands"],
             )
 
     return run
@@ -61,7 +61,7 @@ def keyed_sets(k: int):
             sets = [shingler(x).view(np.int64) for x in texts(batch.column("text"))]
             offsets = np.concatenate([[0], np.cumsum([len(x) for x in sets])])
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("key"), batch.column("blocks"), lists(offsets, np.concatenate(sets))], ["doc_id", "key", "blocks", "shingles"]
+                [batch.column("row"), batch.column("key"), batch.column("blocks"), lists(offsets, np.concatenate(sets))], ["row", "key", "blocks", "shingles"]
             )
 
     return run
@@ -87,7 +87,7 @@ def alike(percent: int):
     least = least_equal(percent)
 
     def kernel(group: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-        ids, sizes, regs = group.column("doc_id").to_numpy(), group.column("n_shingles").to_numpy(), matrix(group.column("regs"))
+        ids, sizes, regs = group.column("row").to_numpy(), group.column("n_shingles").to_numpy(), matrix(group.column("regs"))
 
         def neighbours(v: int, rest: np.ndarray) -> np.ndarray:
             return rest[fits(sizes, v, rest, percent) & ((regs[rest] == regs[v]).sum(1) >= least)]
@@ -104,7 +104,7 @@ def confirmed(percent: int):
     low = percent / 100 - MARGIN * math.sqrt(percent / 100 * (1 - percent / 100) / REGISTERS)
 
     def kernel(group: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-        ids = group.column("doc_id").to_numpy()
+        ids = group.column("row").to_numpy()
         shingles = group.column("shingles").combine_chunks()
         flat, cuts = shingles.flatten().to_numpy().view(np.uint64), shingles.offsets.to_numpy().astype(np.int64)
         cuts = cuts - cuts[0]
@@ -146,35 +146,45 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     doc_id are one document; rows without doc_id too, and that document comes before all others, its component_id being
     null where it is the smallest. Other columns are not read; an empty table gives an empty one.
     """
-    slim = docs.select(known_id().alias("doc_id"), "text")
-    kind = "doc_id long, n_shingles long, high long, low long, regs binary, bands array<long>"
-    sketched = checkpointed(slim.mapInArrow(sketches(shingle), kind))
+    # t1 and t2 tell the rows of one id apart where texts are read again
+    slim = docs.select(known_id().alias("doc_id"), "text", F.xxhash64("text").alias("t1"), F.xxhash64(F.lit(1), "text").alias("t2"))
+    kind = "doc_id long, t1 long, t2 long, n_shingles long, high long, low long, regs binary, bands array<long>"
+    sketched = checkpointed(slim.mapInArrow(sketches(shingle), kind).withColumn("row", F.monotonically_increasing_id()))
     full = sketched.filter("n_shingles > 0")
-    classes = checkpointed(full.groupBy("high", "low").agg(F.min("doc_id").alias("rep")))
-    reps = full.join(classes.select(F.col("rep").alias("doc_id"), "high", "low"), ["doc_id", "high", "low"], "left_semi")
-    members = reps.select("doc_id", F.explode("bands").alias("key"))
+    # equal sets are a class, named by one of its rows; everything up to the links is keyed by it, whatever ids repeat
+    classes = checkpointed(full.groupBy("high", "low").agg(F.min("doc_id").alias("rep"), F.min("row").alias("row")))
+    reps = full.join(classes.select("row"), "row", "left_semi")
+    members = reps.select("row", F.explode("bands").alias("key"))
     counts = members.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     shared = checkpointed(members.join(counts, "key"))
-    seen = shared.groupBy("doc_id").agg(F.lit(1).alias("one")).select("doc_id")
-    known = full.join(seen, "doc_id", "left_semi").select("doc_id", "n_shingles", "regs")
-    rows = in_blocks(shared.join(known, "doc_id"), "key", F.ceil(F.col("n") / BLOCK_DOCS), "doc_id")
-    tied = edges_by(rows.select("key", "p", "q", "doc_id", "n_shingles", "regs"), ["key", "p", "q"], alike(percent))
+    seen = shared.groupBy("row").agg(F.lit(1).alias("one")).select("row")
+    known = full.join(seen, "row", "left_semi").select("row", "n_shingles", "regs")
+    rows = in_blocks(shared.join(known, "row"), "key", F.ceil(F.col("n") / BLOCK_DOCS), "row")
+    tied = edges_by(rows.select("key", "p", "q", "row", "n_shingles", "regs"), ["key", "p", "q"], alike(percent))
     candidates = components(tied)
     # candidate groups: their roots have no row of their own in `candidates`
     grouped = candidates.unionByName(candidates.select(F.col("component").alias("vertex"), "component").distinct())
-    grouped = checkpointed(grouped.withColumnsRenamed({"vertex": "doc_id", "component": "key"}))
-    sizes = grouped.join(full.select("doc_id", "n_shingles"), "doc_id").groupBy("key").agg(
+    grouped = grouped.withColumnsRenamed({"vertex": "row", "component": "key"})
+    grouped = checkpointed(grouped.join(full.select("row", "doc_id", "t1", "t2", "n_shingles"), "row"))
+    sizes = grouped.groupBy("key").agg(
         F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_DOCS), F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES)).alias("blocks")
     )
-    wanted = slim.join(grouped.join(sizes, "key"), "doc_id")
-    sets = wanted.select("doc_id", "key", "blocks", "text").mapInArrow(keyed_sets(shingle), "doc_id long, key long, blocks long, shingles array<long>")
-    rows = in_blocks(sets.filter(F.size("shingles") > 0), "key", F.col("blocks"), "doc_id").drop("blocks")
-    linked = components(edges_by(rows.select("key", "p", "q", "doc_id", "shingles"), ["key", "p", "q"], confirmed(percent)))
-    placed = classes.join(linked.withColumnRenamed("vertex", "rep"), "rep", "left")
-    placed = placed.select("high", "low", F.coalesce("component", "rep").alias("component"))
-    out = sketched.select("doc_id", "n_shingles", "high", "low").join(placed, ["high", "low"], "left")
-    component = F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("doc_id"))
-    out = out.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", F.col("doc_id") == F.col("component_id"))
+    # rows that repeat id and text would come back more than once
+    wanted = slim.join(grouped.drop("n_shingles").join(sizes, "key"), ["doc_id", "t1", "t2"]).dropDuplicates(["doc_id", "t1", "t2"])
+    sets = wanted.select("row", "key", "blocks", "text").mapInArrow(keyed_sets(shingle), "row long, key long, blocks long, shingles array<long>")
+    rows = in_blocks(sets.filter(F.size("shingles") > 0), "key", F.col("blocks"), "row").drop("blocks")
+    links = edges_by(rows.select("key", "p", "q", "row", "shingles"), ["key", "p", "q"], confirmed(percent))
+    for end in ("a", "b"):
+        links = links.join(classes.select(F.col("row").alias(end), F.col("rep").alias(f"rep_{end}")), end)
+    links = links.select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b"))
+    # an id whose rows lie in classes of several representatives ties these; other ids just follow their one
+    owned = checkpointed(full.select("doc_id", "high", "low").join(classes.drop("row"), ["high", "low"]).select("doc_id", "rep"))
+    homes = owned.groupBy("doc_id").agg(F.min("rep").alias("rep"), F.max("rep").alias("most"))
+    several = owned.filter("rep <> doc_id").join(homes.filter("rep <> most").select("doc_id"), "doc_id", "left_semi")
+    linked = components(links.unionByName(several.select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))))
+    placed = homes.join(linked.withColumnRenamed("vertex", "rep"), "rep", "left").select("doc_id", F.coalesce("component", "rep").alias("component"))
+    out = sketched.select("doc_id", "n_shingles").join(placed, "doc_id", "left")
+    out = out.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id")).withColumn("kept", F.col("doc_id") == F.col("component_id"))
     return out.select(real_id("doc_id"), "n_shingles", real_id("component_id"), "kept")
 
 

@@ -126,6 +126,23 @@ def test_near_duplicates(spark, monkeypatch, k, percent, blocks):
     assert near_dedup.near_duplicates(frame(spark, [])).count() == 0
 
 
+def test_rows_of_one_id_are_one_document(spark, monkeypatch):
+    a, b, c, d = (f"{x} " * 3 + " ".join(f"{x}{k}" for k in range(20)) for x in "abcd")
+    rows = [(5, a), (5, b), (3, b), (9, c), (9, d), (9, d), (8, d), (7, c), (6, ""), (6, a + " more"), (11, None), (11, None), (2, None), (2, "alone here")]
+    rows = [(i, t, "en", "s", 1) for i, t in rows] + [(None, t, *r) for _, t, *r in copies(60, 120, 5, 3) * 2]
+    dealt, real = [], near_dedup.edges_by
+
+    def counted(df, keys, kernel):
+        dealt.append(df.count())
+        return real(df, keys, kernel)
+
+    monkeypatch.setattr(near_dedup, "edges_by", counted)
+    got = near_dedup.near_duplicates(frame(spark, rows), 3, 85).collect()
+    assert sorted(map(tuple, got), key=repr) == groups_by_hand(rows, 3, 85)
+    assert max(dealt) <= 30 * len(rows)  # not the square of the rows without id
+    assert {r.component_id for r in got if r.doc_id == 5} == {3}
+
+
 def test_sketches_merge_and_estimate():
     rng = np.random.default_rng(2)
     for share in (0.3, 0.6, 0.85, 0.95):
