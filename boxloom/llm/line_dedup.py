@@ -1,7 +1,7 @@
 """Drop lines that many documents repeat, by a sharded minimal perfect hash.
 
 The distinct keys that at least `min_docs` documents hold are dealt over shards of a bounded number of keys.
-Each shard gets a minimal perfect hash (one pilot per small bucket of keys) over three arrays: a 64-bit
+There are enough shards for the keys and for the lines that will probe them. Each shard gets a minimal perfect hash (one pilot per small bucket of keys) over three arrays: a 64-bit
 fingerprint, the number of documents and the document that keeps the line. Documents send their line hashes to the
 shards and probe these arrays; no line is joined with another line. A shard is one row of bounded size, streamed
 before its probes; shards with many probes are copied under several salts, so that a very common line is spread.
@@ -111,10 +111,10 @@ def build_shard(keys: pd.DataFrame) -> pd.DataFrame:
         values[at] = keys[name].to_numpy()[first]
         arrays[name] = values.tobytes()
     spare = keys.iloc[rest][["slot_hash", "print", "keeper"]].to_numpy(np.int64).tobytes()
-    return pd.DataFrame([{"shard": keys["shard"].iloc[0], "pilots": pilots.tobytes(), "prints": arrays["print"], "counts": arrays["n_docs"], "keepers": arrays["keeper"], "spare": spare, "load": int(keys["n_docs"].sum())}])
+    return pd.DataFrame([{"shard": keys["shard"].iloc[0], "pilots": pilots.tobytes(), "prints": arrays["print"], "counts": arrays["n_docs"], "keepers": arrays["keeper"], "spare": spare}])
 
 
-SHARD = "shard long, pilots binary, prints binary, counts binary, keepers binary, spare binary, load long"
+SHARD = "shard long, pilots binary, prints binary, counts binary, keepers binary, spare binary"
 
 
 class Shard:
@@ -174,6 +174,34 @@ def without_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield pa.RecordBatch.from_arrays([*columns, pa.array(n_lines, pa.int64()), pa.array(n_dropped, pa.int64())], [*names, "n_lines", "n_dropped"])
 
 
+def routed(lines: DataFrame, frequent: DataFrame) -> DataFrame:
+    """Shards of the frequent keys and the lines that probe them, with the (shard, salt) where they meet.
+
+    Lines whose shard holds no key are left out. A shard is copied under as many salts as its probes ask for.
+    """
+    n_lines = lines.count()
+    most = max(SALT_PROBES, n_lines // SALT_SHARE)
+    n_shards = max(1, -(-frequent.count() // SHARD_KEYS), -(-n_lines // most))
+
+    def shard_of():
+        return F.pmod(F.xxhash64("slot_hash"), F.lit(n_shards)).alias("shard")
+
+    shards = checkpointed(frequent.withColumn("shard", shard_of()).groupBy("shard").applyInPandas(build_shard, SHARD))
+    placed = lines.withColumn("shard", shard_of())
+    loads = placed.groupBy("shard").agg((F.floor(F.count(F.lit(1)) / most) + 1).alias("salts"))
+    # n_shards rows at most
+    salts = F.broadcast(checkpointed(shards.select("shard").join(loads, "shard")))
+    nothing = [F.lit(None).cast("binary").alias(c) for c in ("pilots", "prints", "keepers", "spare")]
+    # by row and not by document: one id may have many rows
+    numbered = placed.withColumn("at", F.monotonically_increasing_id()).join(salts, "shard")
+    probes = numbered.select("shard", F.pmod("at", "salts").alias("salt"), F.lit(True).alias("is_probe"), "doc_id", "slot_hash", "print", *nothing)
+    copies = shards.join(salts, "shard").select(
+        "shard", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)).alias("salt"), F.lit(False).alias("is_probe"),
+        *[F.lit(None).cast("long").alias(c) for c in ("doc_id", "slot_hash", "print")], "pilots", "prints", "keepers", "spare",
+    )
+    return copies.unionByName(probes)
+
+
 def dedup_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> DataFrame:
     """`docs` with `text` rid of repeated lines, plus n_lines (before) and n_dropped.
 
@@ -189,28 +217,7 @@ def dedup_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> Data
     per_doc = lines.groupBy("slot_hash", "print", "doc_id").agg(F.lit(1).alias("one"))  # a line twice in rows of one id
     counts = per_doc.groupBy("slot_hash", "print").agg(F.count(F.lit(1)).alias("n_docs"), F.max("doc_id").alias("keeper"))
     frequent = checkpointed(counts.filter(F.col("n_docs") >= min_docs))
-    n_keys = frequent.count()
-    n_shards = max(1, -(-n_keys // SHARD_KEYS))
-
-    def shard_of():
-        return F.pmod(F.xxhash64("slot_hash"), F.lit(n_shards)).alias("shard")
-
-    shards = checkpointed(frequent.withColumn("shard", shard_of()).groupBy("shard").applyInPandas(build_shard, SHARD))
-    most = max(SALT_PROBES, lines.count() // SALT_SHARE)
-    # at most SALT_SHARE shards can hold more than that share of the probes
-    heavy = {r["shard"]: int(r["load"] // most + 1) for r in shards.filter(F.col("load") > most).select("shard", "load").collect()}
-    salts = F.lit(1)
-    for shard, n in heavy.items():
-        salts = F.when(F.col("shard") == shard, F.lit(n)).otherwise(salts)
-    nothing = [F.lit(None).cast("binary").alias(c) for c in ("pilots", "prints", "keepers", "spare")]
-    probes = lines.withColumn("shard", shard_of()).select(
-        "shard", F.pmod(F.xxhash64("doc_id"), salts).cast("long").alias("salt"), F.lit(True).alias("is_probe"), "doc_id", "slot_hash", "print", *nothing
-    )
-    copies = shards.select(
-        "shard", F.explode(F.sequence(F.lit(0).cast("long"), salts.cast("long") - 1)).alias("salt"), F.lit(False).alias("is_probe"),
-        *[F.lit(None).cast("long").alias(c) for c in ("doc_id", "slot_hash", "print")], "pilots", "prints", "keepers", "spare",
-    )
-    dealt = copies.unionByName(probes).repartition("shard", "salt").sortWithinPartitions("shard", "salt", "is_probe")
+    dealt = routed(lines, frequent).repartition("shard", "salt").sortWithinPartitions("shard", "salt", "is_probe")
     gone = dealt.mapInArrow(probe, "doc_id long, slot_hash long")
     gone = gone.groupBy(F.col("doc_id").alias("_known")).agg(F.collect_set("slot_hash").alias("_gone"))  # a document's own lines
     joined = docs.withColumn("_known", known_id()).join(gone, "_known", "left").drop("_known")

@@ -82,6 +82,23 @@ def test_lines(spark, monkeypatch, salted):
         assert sorted(map(tuple, got), key=repr) == lines_by_hand(rows)
 
 
+def test_unique_lines_do_not_meet_in_one_shard(spark, monkeypatch):
+    """Few repeated keys and many unique lines, and many rows of one id: no (shard, salt) gets much more than its share."""
+    monkeypatch.setattr(line_dedup, "SALT_PROBES", 50)
+    shared = [f"shared line number {k} of this corpus" for k in range(40)]
+    rows = [(i if i % 2 else None, "\n".join([*shared[: 1 + i % 40], *(f"unique line {i} {k} of this corpus" for k in range(10))]), "en", "s", 1) for i in range(200)]
+    dealt, real = [], line_dedup.routed
+
+    def counted(lines, frequent):
+        dealt.append({(r.shard, r.salt): r.n for r in real(lines, frequent).filter("is_probe").groupBy("shard", "salt").agg(F.count("*").alias("n")).collect()})
+        return real(lines, frequent)
+
+    monkeypatch.setattr(line_dedup, "routed", counted)
+    got = line_dedup.dedup_lines(frame(spark, rows)).select("doc_id", "text", "n_lines", "n_dropped").collect()
+    assert sorted(map(tuple, got), key=repr) == lines_by_hand(rows)
+    assert len({s for s, _ in dealt[0]}) > 10 and max(dealt[0].values()) <= 2 * 50
+
+
 def test_perfect_hash_is_minimal_and_perfect():
     rng = np.random.default_rng(1)
     for n in (1, 2, 5, 1000, 20_000):
