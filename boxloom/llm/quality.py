@@ -137,7 +137,8 @@ def train(docs: DataFrame, labels: DataFrame) -> np.ndarray:
     """
     trusted = labels.filter("doc_id is not null and quality is not null").groupBy(F.col("doc_id").alias("_id"))
     trusted = trusted.agg(F.min(F.col("quality") == 1).alias("_trusted")).filter("_trusted")
-    known = docs.select("doc_id", "text").join(trusted, F.col("doc_id") == F.col("_id"), "left").select("text", F.col("_trusted").isNotNull().alias("trusted"))
+    # always by hash of the id: labels grow with the corpus, so whether they fit a broadcast must not decide the plan
+    known = docs.select("doc_id", "text").join(trusted.hint("shuffle_hash"), F.col("doc_id") == F.col("_id"), "left").select("text", F.col("_trusted").isNotNull().alias("trusted"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         corpus, target = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
