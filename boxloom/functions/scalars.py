@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
+from functools import lru_cache
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, functions as F
+from pyspark.sql.types import LongType
 
 from boxloom.constants import STEM_FORMAT, TAXONOMY, Z95
 from boxloom.functions.geometry import c
@@ -77,26 +82,34 @@ def cosine(a, b) -> Column:
     return F.try_divide(dot(a, b), F.sqrt(dot(a, a)) * F.sqrt(dot(b, b)))
 
 
-def sign_hash(vector) -> Column:
-    """64-bit hash: bit i is set where the i-th seeded projection of the whole vector is positive.
+@lru_cache(maxsize=8)
+def _signs(width: int) -> np.ndarray:
+    """Sign of each component (rows) in each of 64 projections: a bit of a mixed number of both."""
+    j, i = np.arange(1, width + 1, dtype=np.int64)[:, None], np.arange(1, 65, dtype=np.int64)[None, :]
+    mixed = (i * 7919 + j * 104729 + i * j * 1299709) % 1000003
+    return np.where(mixed * mixed % 1000003 % 2 == 0, 1.0, -1.0)
 
-    A projection adds or takes away each component; the sign of component j in projection i is a bit of a mixed number of
-    both, so that the rule holds for any width.
-    """
-    vector = c(vector)
 
-    def projection(i: Column) -> Column:
-        def term(x: Column, j: Column) -> Column:
-            mixed = ((i + 1) * F.lit(7919) + (j + 1) * F.lit(104729) + (i + 1) * (j + 1) * F.lit(1299709)) % F.lit(1000003)
-            return F.when((mixed * mixed) % F.lit(1000003) % 2 == 0, x.cast("double")).otherwise(-x.cast("double"))
+@F.pandas_udf(LongType())
+def _sign_hash(vectors: pd.Series) -> pd.Series:
+    out = np.zeros(len(vectors), np.int64)
+    known = vectors.notna().to_numpy()
+    widths = np.array([len(v) if v is not None else -1 for v in vectors])
+    for width in np.unique(widths[known & (widths > 0)]):
+        rows = np.flatnonzero(widths == width)
+        with np.errstate(invalid="ignore"):
+            above = np.stack([np.asarray(vectors.iloc[r], float) for r in rows]) @ _signs(int(width)) > 0
+        out[rows] = np.packbits(above, axis=1, bitorder="little").view(np.int64)[:, 0]
+    return pd.Series(out).astype("Int64").where(known)
 
-        return F.aggregate(F.transform(vector, lambda x, j: term(x, j.cast("bigint"))), F.lit(0.0), lambda a, x: a + x)
 
-    bits = F.transform(
-        F.sequence(F.lit(0), F.lit(63)),
-        lambda i: F.when(projection(i.cast("bigint")) > 0, F.call_function("shiftleft", F.lit(1).cast("bigint"), i)).otherwise(F.lit(0).cast("bigint")),
-    )
-    return F.aggregate(bits, F.lit(0).cast("bigint"), lambda total, bit: total.bitwiseOR(bit))
+def sign_hash(vector) -> Column:
+    """64-bit hash: bit i is set where the i-th seeded projection of the whole vector is positive.
+
+    A projection adds or takes away each component; the rule holds for any width. One matrix product per Arrow batch;
+    a null component counts as not a number, which sets no bit.
+    """
+    return _sign_hash(c(vector))
 
 
 def least_confidence(score) -> Column:

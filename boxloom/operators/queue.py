@@ -8,9 +8,12 @@ from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from boxloom.functions.scalars import binary_entropy, cosine, hamming, least_confidence
+from boxloom.functions.scalars import binary_entropy, hamming, least_confidence
 from boxloom.operators.scale import exact_percent_rank, part_running_sum, range_parts
 from boxloom.operators.review import hash_order
+from boxloom.operators.similarity import embedding_pairs
+from boxloom.session import checkpointed
+
 
 def uncertainty(df: DataFrame) -> DataFrame:
     return df.withColumns({"least_confidence": least_confidence("score"), "entropy": binary_entropy("score")})
@@ -130,19 +133,24 @@ def near_duplicates(df: DataFrame, max_dist: int, *, ident: str = "image_id", ba
     return copies.unionByName(near)
 
 
-def diverse_pick(df: DataFrame, k: int, seed: int, *, ident: str = "vec_id", vector: str = "embedding") -> DataFrame:
-    """About `k` rows from as many regions of the embedding space: the best row of each cluster."""
+def diverse_pick(
+    df: DataFrame, k: int, seed: int, *, ident: str = "vec_id", vector: str = "embedding", min_cosine: float | None = None
+) -> DataFrame:
+    """About `k` rows from as many regions of the embedding space: the best row of each cluster.
+
+    With `min_cosine`, a pick leaves if a better one (by priority, then hash of the id) is a near duplicate of it.
+    """
     rows = df.withColumn("_features", array_to_vector(F.col(vector).cast("array<double>")))
     model = KMeans(k=k, seed=seed, featuresCol="_features", predictionCol="cluster").fit(rows)
     placed = model.transform(rows).drop("_features")
-    rank = F.struct(F.col("priority"), hash_order(str(seed), ident)) if "priority" in df.columns else hash_order(str(seed), ident)
-    best = placed.groupBy("cluster").agg(F.max_by(F.struct(*df.columns), rank).alias("_b"), F.count(F.lit(1)).alias("cluster_size"))
-    return best.select("cluster", "cluster_size", "_b.*")
-
-
-def cosine_recheck(pairs: DataFrame, vectors: DataFrame, min_cosine: float, *, ident: str = "vec_id", vector: str = "embedding") -> DataFrame:
-    """Exact cosine of candidate pairs."""
-    a = vectors.select(F.col(ident).alias("id_a"), F.col(vector).alias("_va"))
-    b = vectors.select(F.col(ident).alias("id_b"), F.col(vector).alias("_vb"))
-    rows = pairs.join(a, "id_a").join(b, "id_b").withColumn("cosine", cosine("_va", "_vb"))
-    return rows.filter(F.col("cosine") >= min_cosine).drop("_va", "_vb")
+    rank = F.struct(F.col("priority"), hash_order(str(seed), ident)) if "priority" in df.columns else F.struct(hash_order(str(seed), ident))
+    best = placed.groupBy("cluster").agg(F.max_by(F.struct(*df.columns), rank).alias("_b"), F.count(F.lit(1)).alias("cluster_size"), F.max(rank).alias("_rank"))
+    best = best.select("cluster", "cluster_size", "_rank", "_b.*")
+    if min_cosine is not None:
+        best = checkpointed(best)
+        near = embedding_pairs(best, min_cosine, ident=ident, vector=vector)
+        ranks = best.select(F.col(ident).alias("_id"), F.col("_rank").alias("_r"))
+        sides = near.join(ranks.withColumnsRenamed({"_id": "id_a", "_r": "_ra"}), "id_a").join(ranks.withColumnsRenamed({"_id": "id_b", "_r": "_rb"}), "id_b")
+        worse = sides.select(F.when(F.col("_ra") < F.col("_rb"), F.col("id_a")).otherwise(F.col("id_b")).alias(ident)).distinct()
+        best = best.join(worse, ident, "left_anti")
+    return best.select("cluster", "cluster_size", *df.columns)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from boxloom.constants import SMALL_AREA
 from boxloom.functions import geometry as g, scalars as s
-from boxloom.operators import calibration as cal, queue as qu, review as rv
+from boxloom.operators import calibration as cal, queue as qu, review as rv, similarity as si
 from boxloom.plans.q_boxes import rounded
 from boxloom.plans.q_detection import compared, outcomes
 from boxloom.plans.oracle_parts import AREA, ORACLE_VIEWS
@@ -305,12 +305,54 @@ def near_duplicates(t: Inputs):
     return qu.near_duplicates(rows.unionByName(more), 3, ident="vec_id")
 
 
-@query("SELECT count(*) AS vectors, true AS at_most_k, true AS one_per_cluster, true AS from_the_table FROM vectors")
+@query()
 def diverse_pick(t: Inputs):
-    """Properties of the pick: clusters cover every vector, each gives one of its rows."""
-    pick = checkpointed(qu.diverse_pick(t.vectors, 20, 7))
-    known = pick.join(t.vectors.select("vec_id"), "vec_id", "left_semi").count()
-    return pick.agg(
-        F.sum("cluster_size").alias("vectors"), (F.count(F.lit(1)) <= 20).alias("at_most_k"),
-        (F.count_distinct("cluster") == F.count(F.lit(1))).alias("one_per_cluster"), (F.count_distinct("vec_id") == F.lit(known)).alias("from_the_table"),
-    )
+    """Best vector of each cluster, none a near duplicate of a better pick, over all vectors and their near copies."""
+    return qu.diverse_pick(near_copies(t), 20, 7, min_cosine=0.9).select("cluster", "cluster_size", "vec_id")
+
+
+#: How strongly the copies of a vector are moved: not at all, and to cosines on both sides of 0.9.
+SHIFTS = (0.0, 0.0, 0.008, 0.013, 0.019)
+SHIFTED = "list_transform(embedding, lambda x, j: CAST(x AS DOUBLE) + {e} * ((j * 31 + {k} * 17) % 13 - 6))"
+ORACLE_VIEWS["o_near"] = f"""SELECT vec_id * {len(SHIFTS)} + c AS vec_id, {SHIFTED.format(e="e", k="vec_id")} AS v
+    FROM vectors CROSS JOIN (SELECT unnest(range(0, {len(SHIFTS)})) AS c, unnest([{", ".join(f"CAST({x} AS DOUBLE)" for x in SHIFTS)}]) AS e) s"""
+ORACLE_VIEWS["o_imaged"] = f"""SELECT image_id AS vec_id, {SHIFTED.format(e="e", k="vec_id")} AS v
+    FROM (SELECT i.image_id, v.vec_id, v.embedding, list_extract([{", ".join(f"CAST({x} AS DOUBLE)" for x in SHIFTS)}], CAST((i.image_id - i.image_id % 211) / 211 AS BIGINT) % {len(SHIFTS)} + 1) AS e
+          FROM images i JOIN vectors v ON v.vec_id = i.image_id % 211) z"""
+
+
+def pairs_sql(view: str) -> str:
+    """Copies against the smallest id of their vector, and pairs of different vectors at a cosine of 0.9."""
+    firsts = f"SELECT v, min(vec_id) AS vec_id FROM {view} GROUP BY v"
+    return f"""SELECT r.vec_id AS id_a, n.vec_id AS id_b, CAST(1 AS DOUBLE) AS cosine FROM {view} n JOIN ({firsts}) r ON n.v = r.v WHERE n.vec_id <> r.vec_id
+    UNION ALL SELECT a.vec_id, b.vec_id, list_cosine_similarity(a.v, b.v) FROM ({firsts}) a JOIN ({firsts}) b ON a.vec_id < b.vec_id AND list_cosine_similarity(a.v, b.v) >= 0.9"""
+
+
+def shifted(e, k: str):
+    return F.transform("embedding", lambda x, j: x.cast("double") + e * (((j + 1).cast("bigint") * 31 + F.col(k) * 17) % 13 - 6).cast("double"))
+
+
+def near_copies(t: Inputs):
+    """Every vector five times: itself, a copy, and three that are moved."""
+    each = F.posexplode(F.array(*[F.lit(x) for x in SHIFTS])).alias("c", "e")
+    rows = t.vectors.select(F.col("vec_id").alias("own"), "embedding", each)
+    return rows.select((F.col("own") * len(SHIFTS) + F.col("c")).alias("vec_id"), shifted(F.col("e"), "own").alias("embedding"))
+
+
+@query(f"SELECT id_a, id_b, round(cosine, 6) AS cosine FROM ({pairs_sql('o_near')}) p")
+def embedding_pairs(t: Inputs):
+    return rounded(si.embedding_pairs(near_copies(t), 0.9), "cosine")
+
+
+@query(f"""SELECT p.id_a, p.id_b, round(p.cosine, 6) AS cosine, a.fold_id AS fold_a, b.fold_id AS fold_b FROM ({pairs_sql('o_imaged')}) p
+    JOIN o_seq a ON a.image_id = p.id_a JOIN o_seq b ON b.image_id = p.id_b WHERE a.fold_id <> b.fold_id""")
+def embedding_leakage(t: Inputs):
+    """Near duplicates over folds by embedding: each image carries a vector, moved by the number of its group."""
+    from boxloom.plans.q_manifest import folded
+    from boxloom.operators.manifest import near_leakage as leaked
+
+    images = checkpointed(folded(t))
+    group = F.floor(F.col("image_id") / 211) % len(SHIFTS)
+    rows = images.select("image_id", (F.col("image_id") % 211).alias("vec_id"), F.element_at(F.array(*[F.lit(x) for x in SHIFTS]), (group + 1).cast("int")).alias("e"))
+    rows = rows.join(t.vectors.select("vec_id", "embedding"), "vec_id").select("image_id", shifted(F.col("e"), "vec_id").alias("embedding"))
+    return rounded(leaked(si.embedding_pairs(rows, 0.9, ident="image_id"), images), "cosine")
