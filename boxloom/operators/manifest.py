@@ -417,16 +417,22 @@ def taxonomy_classes() -> list[int]:
 def validate_release(images: DataFrame, annotations: DataFrame, cameras: list[str], classes: list[int] | None = None) -> DataFrame:
     """Every exception found, as (check, detail); an empty result passes the gate.
 
-    Sizes are those of the camera table; classes those of the taxonomy, or `classes`.
+    Sizes are those of the camera table; a keyframe without a size, or of a camera that the table does not have (or
+    without a camera), is reported. Classes are those of the taxonomy, or `classes`. Where the manifest holds
+    `relative_path` or `sha256`, each must be an image's own.
     """
     known = taxonomy_classes() if classes is None else classes
     keyframes = images.filter("is_keyframe")
-    checks = duplicates(images, {"duplicate_image_id": ["image_id"], "duplicate_frame_camera": ["dataset_id", "frame_id", "camera_id"]})
+    unique = {"duplicate_image_id": ["image_id"], "duplicate_frame_camera": ["dataset_id", "frame_id", "camera_id"]}
+    checks = duplicates(images, unique)
+    for name, column in (("duplicate_path", "relative_path"), ("duplicate_content", "sha256")):
+        if column in images.columns:
+            checks = checks.unionByName(duplicates(images.filter(F.col(column).isNotNull()), {name: [column]}))
     parts = [checks.select(F.col("key").alias("check"), F.col("value").alias("detail"))]
     gaps = camera_coverage(keyframes, cameras).filter("actual < expected")
     parts.append(gaps.select(F.lit("missing_camera").alias("check"), F.concat_ws("|", F.col("frame_id").cast("string"), "missing").alias("detail")))
-    sizes = [F.when(F.col("camera_id") == name, (F.col("width") != w) | (F.col("height") != h)) for _, name, w, h, _ in CAMERAS]
-    size = keyframes.filter(F.coalesce(*sizes, F.lit(False)))
+    right = [F.when(F.col("camera_id") == name, (F.col("width") == w) & (F.col("height") == h)) for _, name, w, h, _ in CAMERAS]
+    size = keyframes.filter(~F.coalesce(*right, F.lit(False)))
     parts.append(size.select(F.lit("image_size").alias("check"), F.col("image_id").cast("string").alias("detail")))
     unknown = annotations.filter(F.col("class_id").isNull() | ~F.col("class_id").isin(known))
     parts.append(unknown.select(F.lit("unknown_class").alias("check"), F.col("annotation_id").cast("string").alias("detail")))

@@ -96,13 +96,20 @@ GOLD = f"""
      LEFT JOIN (SELECT image_id, bool_or(class_id IN (0, 2)) AS rare, bool_or(truncated) AS cut FROM truth GROUP BY image_id) b ON i.image_id = b.image_id)"""
 
 
-@query(f"""SELECT image_id, string_agg(reason, ',' ORDER BY reason) AS sampling_reason FROM (
+GOLD_SAMPLE = f"""SELECT image_id, string_agg(reason, ',' ORDER BY reason) AS sampling_reason FROM (
     SELECT image_id, 'representative' AS reason FROM images WHERE frame_id IN (SELECT frame_id FROM (SELECT DISTINCT frame_id, gh FROM {GOLD} g) f ORDER BY gh, frame_id LIMIT 20)
     UNION ALL SELECT image_id, 'rare_class' FROM (SELECT *, row_number() OVER (ORDER BY h, image_id) AS n FROM {GOLD} g WHERE rare) r WHERE n <= 30
     UNION ALL SELECT image_id, 'truncated' FROM (SELECT *, row_number() OVER (ORDER BY h, image_id) AS n FROM {GOLD} g WHERE cut) r WHERE n <= 30
     UNION ALL SELECT image_id, 'verified_empty' FROM (SELECT *, row_number() OVER (PARTITION BY camera_id ORDER BY h, image_id) AS n FROM {GOLD} g WHERE verified_empty) r WHERE n <= 5) z
-    GROUP BY image_id""")
+    GROUP BY image_id"""
+
+
+@query(GOLD_SAMPLE)
 def gold_sample(t: Inputs):
+    return gold_rows(t)
+
+
+def gold_rows(t: Inputs):
     strata = {"rare_class": F.col("rare"), "truncated": F.col("cut")}
     return rv.gold_sample(for_gold(t), strata, "7", groups=20, per_stratum=30, empty_per_camera=5)
 

@@ -7,13 +7,14 @@ import uuid
 from pyspark.sql import functions as F
 
 from boxloom.functions import geometry as g
-from boxloom.operators import boxes as ob, release
+from boxloom.operators import boxes as ob, release, review as rv
 from boxloom.plans.oracle_parts import ORACLE_VIEWS
 from boxloom.plans.q_boxes import rounded
 from boxloom.plans.q_manifest import _tree_sql, sequenced
+from boxloom.plans.q_review import GOLD_SAMPLE, gold_rows
 from boxloom.plans.registry import Inputs, query
 from boxloom.session import ensure_checkpoint_dir
-from boxloom.sources import readers, writers
+from boxloom.sources import readers, results, writers
 
 LABELS = "CASE class_id WHEN 0 THEN 'Car' WHEN 1 THEN 'Truck' WHEN 2 THEN 'Bulldozer' WHEN 3 THEN 'Excavator' WHEN 4 THEN 'WaterTruck' ELSE 'Sign' END"
 
@@ -109,12 +110,73 @@ def release_record_read_back(t: Inputs):
     return t.spark.read.schema(record.schema).json(path).select("manifest_id", "manifest_sha256", "annotation_sha256", "taxonomy_version", "report")
 
 
-@query("""SELECT image_id, sha256(CAST(image_id AS VARCHAR)) AS sha256, 'fixed' AS sampling_reason, 'human_verified' AS review_state, 'r1' AS dataset_release_id FROM images WHERE image_id % 50 = 7""")
+@query(f"""SELECT s.image_id, sha256(CAST(s.image_id AS VARCHAR)) AS sha256, s.sampling_reason,
+    CASE WHEN t.outcome <> 'submitted' THEN 'unreviewed' WHEN s.image_id IN (SELECT image_id FROM submitted) THEN 'reviewed' ELSE 'verified_empty' END AS review_state, 'r1' AS dataset_release_id
+    FROM ({GOLD_SAMPLE}) s JOIN tasks t ON t.image_id = s.image_id""")
 def gold_manifest(t: Inputs):
-    """S15: gold rows carry checksums and reasons, no image content."""
-    images = t.images.withColumns({"sha256": F.sha2(F.col("image_id").cast("string"), 256), "annotation_status": F.lit("human_verified")})
-    sample = t.images.filter("image_id % 50 = 7").select("image_id", F.lit("fixed").alias("sampling_reason"))
-    return release.gold_manifest(sample, images, "r1")
+    """S15: the gold sample's rows carry checksums, reasons and states, no image content."""
+    states = rv.image_status(t.tasks, t.submitted).select("image_id", "annotation_status")
+    images = t.images.join(states, "image_id").withColumn("sha256", F.sha2(F.col("image_id").cast("string"), 256))
+    return release.gold_manifest(gold_rows(t), images, "r1")
+
+
+#: One result of each known kind, one that no schema here knows, and one that is no object, in spaced and unsorted text.
+_RESULTS = """'{{"id":"r' || {i} || '", "type":"rectanglelabels", "original_width":1920,"original_height":1080,"value":{{"y":' || ({i} % 50) || '.5,"x":10.0,"width":20,"height":25.00,"rotation":0,"rectanglelabels":["Car"]}}}}'
+    || ',{{"type":"polygonlabels","original_width":1920,"original_height":1080,"id":"p","value":{{"points":[[10,10],[' || ({i} % 90) || ',50.50],[10,5e1]],"polygonlabels":["Road"]}}}}'
+    || ',{{"value":{{"keypointlabels":["Head"],"x":50,"y":' || ({i} % 100) || ',"width":1}},"type":"keypointlabels","id":"k","original_width":1920,"original_height":1080}}'
+    || ',{{"id":"c","from_name":"quality","type":"choices","value":{{"choices":["Good","' || CASE WHEN {i} % 2 = 0 THEN 'Bright' ELSE 'Dark' END || '"]}}}}'
+    || ',{{"z":[1,{{"b":null,"a":"\\u00e9 \\"q\\""}}], "type" : "wavelet' || ({i} % 3) || '","level":1.50,"a":{{}} }}' || CASE WHEN {i} % 5 = 0 THEN ',"only text"' ELSE '' END"""
+ORACLE_VIEWS["o_lines"] = f"""SELECT image_id, CASE WHEN image_id % 11 = 0 THEN '{{"id":' || image_id || ', broken' ELSE
+    '{{"id":' || image_id || ',"data":{{"image_id":"' || image_id || '", "extra":[1, 2.0]}},"annotations":[' || CASE WHEN image_id % 7 = 0 THEN '' ELSE
+    '{{"id":1,"was_cancelled":false,"completed_by":"a1","lead_time":1.50,"result":[' || CASE WHEN image_id % 6 = 0 THEN '' ELSE {_RESULTS.format(i="image_id")} END || ']}}' END || ']}}' END AS line FROM images"""
+_WHOLE = "image_id % 11 <> 0 AND image_id % 7 <> 0 AND image_id % 6 <> 0"
+
+
+def exported(t: Inputs):
+    """The lines of an export with results of every kind, written and read as such."""
+    path = folder(t)
+    view = f"exported_{uuid.uuid4().hex}"
+    t.images.select("image_id").createOrReplaceTempView(view)
+    t.spark.sql(ORACLE_VIEWS["o_lines"].replace("FROM images", f"FROM {view}").replace("\\", "\\\\")).select("line").write.text(path)
+    t.spark.catalog.dropTempView(view)
+    return results.read_results(t.spark, path)
+
+
+@query(f"""SELECT type, known, sum(n) AS results, sum(images) AS images, CASE WHEN type IS NULL THEN sum(n) ELSE 0 END AS unreadable FROM (
+    SELECT unnest(['rectanglelabels', 'polygonlabels', 'keypointlabels', 'choices', 'wavelet0', 'wavelet1', 'wavelet2', NULL]) AS type,
+           unnest([true, true, true, true, false, false, false, false]) AS known,
+           unnest([count(*), count(*), count(*), count(*), count(*) FILTER (image_id % 3 = 0), count(*) FILTER (image_id % 3 = 1), count(*) FILTER (image_id % 3 = 2), count(*) FILTER (image_id % 5 = 0)]) AS n,
+           unnest([count(*), count(*), count(*), count(*), count(*) FILTER (image_id % 3 = 0), count(*) FILTER (image_id % 3 = 1), count(*) FILTER (image_id % 3 = 2), count(*) FILTER (image_id % 5 = 0)]) AS images
+    FROM images WHERE {_WHOLE}) z WHERE n > 0 GROUP BY type, known""")
+def result_types(t: Inputs):
+    """E15: kinds of results, unknown ones among them, counted."""
+    return results.result_types(exported(t)).drop("schema")
+
+
+@query("SELECT line FROM o_lines")
+def results_rewritten(t: Inputs):
+    """E15: results of every kind survive reading and writing byte for byte."""
+    path = folder(t)
+    results.write_results(exported(t), path)
+    return t.spark.read.text(path).withColumnRenamed("value", "line")
+
+
+@query(f"""SELECT image_id, kind, detail FROM (
+    SELECT CAST(image_id AS VARCHAR) AS image_id, unnest(['box', 'polygon', 'keypoint', 'choice', 'choice']) AS kind, unnest([
+        'Car ' || CAST(round(0.1 * 1920) AS BIGINT) || ' ' || CAST(round((image_id % 50 + 0.5) * 10.8 * 10) AS BIGINT) || ' ' || CAST(round(0.3 * 1920) AS BIGINT) || ' ' || CAST(round((image_id % 50 + 25.5) * 10.8 * 10) AS BIGINT),
+        'Road 3 ' || CAST(round((image_id % 90) * 19.2) AS BIGINT), 'Head 960 ' || CAST(round((image_id % 100) * 10.8) AS BIGINT), 'Good', CASE WHEN image_id % 2 = 0 THEN 'Bright' ELSE 'Dark' END]) AS detail
+    FROM images WHERE {_WHOLE}) z""")
+def result_values(t: Inputs):
+    """E15: what the known kinds of results say, read from their variants."""
+    from boxloom.session import checkpointed
+
+    rows = checkpointed(exported(t).select("image_id", "result_id", "type", "raw", "known")).withColumn("result", F.try_parse_json("raw"))
+    whole = lambda x: F.round(x).cast("long").cast("string")
+    box = results.result_boxes(rows).select("image_id", F.lit("box").alias("kind"), F.concat_ws(" ", "label", whole(F.col("x1")), whole(F.col("y1") * 10), whole(F.col("x2")), whole(F.col("y2") * 10)).alias("detail"))
+    polygon = results.result_polygons(rows).select("image_id", F.lit("polygon").alias("kind"), F.concat_ws(" ", "label", F.size("points").cast("string"), whole(F.col("points")[1]["x"])).alias("detail"))
+    point = results.result_keypoints(rows).select("image_id", F.lit("keypoint").alias("kind"), F.concat_ws(" ", "label", whole(F.col("x")), whole(F.col("y"))).alias("detail"))
+    choice = results.result_choices(rows).select("image_id", F.lit("choice").alias("kind"), F.col("choice").alias("detail"))
+    return box.unionByName(polygon).unionByName(point).unionByName(choice)
 
 
 @query("""SELECT image_id, row_number() OVER (ORDER BY CAST(substr(s.sequence_id, 2) AS BIGINT), frame_id, camera_order, image_id) - 1 AS place FROM images JOIN o_seq s USING (image_id)""")
