@@ -14,9 +14,14 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from boxloom.constants import IOU_LEVELS
 from boxloom.functions.geometry import CORNERS
+from boxloom.operators.auction import EPSILON, auction
 from boxloom.operators.pairs import GROUP_LIMIT, overlap_parts
 from boxloom.session import checkpointed
 
+#: Predictions of a component that one task assigns exactly.
+EXACT_LIMIT = 1_000
+
+
 def match_boxes(
     pred: DataFrame,
     truth: DataFrame,
@@ -27,10 +32,13 @@ def match_boxes(
     left_id: str = "det_id",
     right_id: str = "annotation_id",
     group_limit: int = GROUP_LIMIT,
+    exact_limit: int = EXACT_LIMIT,
+    epsilon: float = EPSILON,
 ) -> DataFrame:
     """Matched pairs (keys, prediction id, truth id, iou); unmatched rows are FP and FN.
 
-    `optimal`: largest total IoU per group. `greedy`: largest IoU first, ties to the lower
+    `optimal`: largest total IoU per group; a component of more than `exact_limit` predictions is auctioned over many
+    tasks, to within `epsilon` per prediction of it. `greedy`: largest IoU first, ties to the lower
     prediction id, then the lower truth id.
     """
     if mode not in ("greedy", "optimal"):
@@ -38,18 +46,25 @@ def match_boxes(
     keys = list(keys)
     parts = overlap_parts(pred, truth, keys, iou, left_id=left_id, right_id=right_id, group_limit=group_limit)
     small, hot = [
-        None if p is None else p.select(*keys, F.col("a.id").alias(left_id), F.col("b.id").alias(right_id), "iou")
+        None if p is None else p.select(*keys, F.col("a.id").alias(left_id), F.col("b.id").alias(right_id), "iou", F.col("a.x1").alias("_x"))
         for p in parts
     ]
     if mode == "greedy":
         matched = _greedy_fold(small, keys, left_id, right_id)
         if hot is not None:
-            matched = matched.unionByName(greedy_rounds(hot, keys, left_id, right_id))
+            matched = matched.unionByName(greedy_rounds(hot.drop("_x"), keys, left_id, right_id))
         return matched
     matched = _optimal(small, keys, keys, left_id, right_id)
     if hot is not None:
+        unit = [*keys, "_component"]
         linked = _components(hot, keys, left_id, right_id)
-        matched = matched.unionByName(_optimal(linked, [*keys, "_component"], keys, left_id, right_id))
+        sizes = linked.groupBy(*unit).agg(F.count_distinct(left_id).alias("_lefts"), F.count(F.lit(1)).alias("_pairs"))
+        large = checkpointed(sizes.filter((F.col("_lefts") > exact_limit) | (F.col("_pairs") > exact_limit * exact_limit)).select(*unit))
+        columns = matched.columns
+        matched = matched.unionByName(_optimal(linked.join(large, unit, "left_anti"), unit, keys, left_id, right_id))
+        if not large.isEmpty():
+            pairs = checkpointed(linked.join(large, unit, "left_semi"))
+            matched = matched.unionByName(auction(pairs, unit, left_id, right_id, epsilon, order="_x")[0].select(*columns))
     return matched
 
 

@@ -3,6 +3,7 @@
 import pandas as pd
 from pyspark.sql import functions as F
 
+from boxloom.operators.auction import assignment_gap, auction
 from boxloom.operators import boxes as ob, matching, metrics as mt, pairs, review, suppression
 from boxloom.plans.oracle_parts import ORACLE_VIEWS, greedy, iou_sql, scored_sql, suppression as suppress_sql
 from boxloom.plans.q_boxes import ignore_polygons, rounded
@@ -101,22 +102,53 @@ def match_greedy(t: Inputs):
 
 
 # every one-to-one choice of a group's pairs, prediction by prediction; `used` holds one bit per truth
-ORACLE_VIEWS["o_numbered"] = """SELECT image_id, class_id, iou, dense_rank() OVER (PARTITION BY image_id, class_id ORDER BY det_id) AS l,
+ORACLE_VIEWS["o_numbered"] = """SELECT image_id, class_id, iou, det_id, annotation_id, dense_rank() OVER (PARTITION BY image_id, class_id ORDER BY det_id) AS l,
         CAST(1 AS HUGEINT) << CAST(dense_rank() OVER (PARTITION BY image_id, class_id ORDER BY annotation_id) AS INTEGER) AS r FROM o_pairs"""
 
 
-@query("""SELECT image_id, class_id, round(max(total), 6) AS total_iou FROM (
-    WITH RECURSIVE choice(image_id, class_id, l, used, total) AS (
-        SELECT DISTINCT image_id, class_id, CAST(0 AS BIGINT), CAST(0 AS HUGEINT), CAST(0 AS DOUBLE) FROM o_numbered
+ORACLE_VIEWS["o_best"] = """SELECT image_id, class_id, total, pairs FROM (
+    WITH RECURSIVE choice(image_id, class_id, l, used, total, pairs) AS (
+        SELECT DISTINCT image_id, class_id, CAST(0 AS BIGINT), CAST(0 AS HUGEINT), CAST(0 AS DOUBLE), CAST([] AS STRUCT(d BIGINT, a BIGINT, v DOUBLE)[]) FROM o_numbered
         UNION ALL
-        SELECT c.image_id, c.class_id, c.l + 1, c.used | coalesce(n.r, CAST(0 AS HUGEINT)), c.total + coalesce(n.iou, 0)
-        FROM choice c JOIN (SELECT image_id, class_id, l, r, iou FROM o_numbered UNION ALL SELECT DISTINCT image_id, class_id, l, CAST(NULL AS HUGEINT), CAST(NULL AS DOUBLE) FROM o_numbered) n
+        SELECT c.image_id, c.class_id, c.l + 1, c.used | coalesce(n.r, CAST(0 AS HUGEINT)), c.total + coalesce(n.iou, 0),
+            CASE WHEN n.r IS NULL THEN c.pairs ELSE list_append(c.pairs, {'d': n.det_id, 'a': n.annotation_id, 'v': n.iou}) END
+        FROM choice c JOIN (SELECT image_id, class_id, l, r, iou, det_id, annotation_id FROM o_numbered
+                            UNION ALL SELECT DISTINCT image_id, class_id, l, CAST(NULL AS HUGEINT), CAST(NULL AS DOUBLE), CAST(NULL AS BIGINT), CAST(NULL AS BIGINT) FROM o_numbered) n
           ON n.image_id = c.image_id AND n.class_id = c.class_id AND n.l = c.l + 1 AND (n.r IS NULL OR (c.used & n.r) = 0))
-    SELECT * FROM choice) z GROUP BY image_id, class_id""")
+    SELECT *, row_number() OVER (PARTITION BY image_id, class_id ORDER BY round(total, 9) DESC, pairs) AS n FROM choice) z WHERE n = 1"""
+
+
+@query("""SELECT image_id, class_id, p.d AS det_id, p.a AS annotation_id, round(p.v, 6) AS iou FROM (SELECT image_id, class_id, unnest(pairs) AS p FROM o_best) z""")
 def match_optimal(t: Inputs):
-    """Total IoU of the optimal assignment per image and class."""
-    rows = matching.match_boxes(*clipped(t), 0.5, "optimal")
-    return rounded(rows.groupBy("image_id", "class_id").agg(F.sum("iou").alias("total_iou")), "total_iou")
+    """Pairs of the optimal assignment per image and class."""
+    return rounded(matching.match_boxes(*clipped(t), 0.5, "optimal"), "iou").select("image_id", "class_id", "det_id", "annotation_id", "iou")
+
+
+# every box on a chain of 3,000 overlaps, taken in turn as prediction and truth: one component of 1,501 predictions each
+LINKS = """SELECT CAST((n - n % 3000) / 3000 AS BIGINT) AS chain, n % 3000 AS k, CAST((annotation_id * 37 + class_id * 11) % 50 + 1 AS DOUBLE) / 64 AS iou
+    FROM (SELECT annotation_id, class_id, row_number() OVER (ORDER BY annotation_id) - 1 AS n FROM truth) r"""
+ORACLE_VIEWS["o_links"] = LINKS
+
+
+@query("""SELECT chain, max(greatest(without, with_it)) AS total, true AS proved FROM (
+    WITH RECURSIVE best(chain, k, without, with_it) AS (
+        SELECT DISTINCT chain, CAST(-1 AS BIGINT), CAST(0 AS DOUBLE), CAST(0 AS DOUBLE) FROM o_links
+        UNION ALL SELECT b.chain, l.k, greatest(b.without, b.with_it), b.without + l.iou FROM best b JOIN o_links l ON l.chain = b.chain AND l.k = b.k + 1)
+    SELECT * FROM best) z GROUP BY chain""")
+def match_auction(t: Inputs):
+    """Totals of large components, auctioned in blocks; epsilon is small enough for the optimum, and the prices prove it."""
+    from boxloom.operators.scale import part_running_sum, range_parts
+
+    order = [F.col("annotation_id").asc()]
+    rows = part_running_sum(range_parts(t.truth.select("annotation_id", "class_id"), [], order), [], order, {"n": F.lit(1).cast("bigint")})
+    n, k = F.col("n") - 1, F.col("k")
+    links = rows.select(F.floor(n / 3000).alias("chain"), (n % 3000).alias("k"), (((F.col("annotation_id") * 37 + F.col("class_id") * 11) % 50 + 1).cast("double") / 64).alias("iou"))
+    pairs = links.select("chain", (k + k % 2).alias("det_id"), (k + 1 - k % 2).alias("annotation_id"), "iou")
+    pairs = checkpointed(pairs)
+    epsilon = 1 / 64 / 2_000
+    matched, prices = auction(pairs, ["chain"], "det_id", "annotation_id", epsilon, block=256, patience=None)
+    gap = assignment_gap(pairs, checkpointed(matched), prices, ["chain"], "det_id", "annotation_id")
+    return gap.select("chain", "total", (F.col("gap") < 1 / 64).alias("proved"))
 
 
 @query("SELECT image_id, class_id, level, det_id, annotation_id FROM o_coco_match")
