@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import re
 from collections import Counter
 from collections.abc import Iterator
 
@@ -23,7 +24,8 @@ from boxloom.llm.common import known_id, real_id, table
 from boxloom.llm.registry import query
 
 #: Code points of a paragraph piece; cells of the fingerprint (a multiple of 3).
-PIECE, CELLS = 24, 24
+LEAST, MOST, CELLS = 12, 48, 24
+PIECE = re.compile(rf"[^\n]{{{LEAST},{MOST}}}?(?<=[aeiouy.,;:!?] )|[^\n]{{1,{MOST}}}")
 #: Documents of a block of neighbours in id order; so many blocks at most (their bounds travel with the plan).
 BLOCK_DOCS, BLOCKS = 2_000, 20_000
 #: Characters that are worked on at once.
@@ -31,7 +33,11 @@ BATCH = 4_000_000
 
 
 def paragraphs(text: str) -> list[str]:
-    return [line[a : a + PIECE] for line in text.split("\n") if line for a in range(0, len(line), PIECE)]
+    """Lines, cut at the first end of a word or clause after LEAST code points (a space after a vowel or stop), or at MOST.
+
+    Where a piece ends depends on what stands there, so pieces fall into step again soon after an insertion.
+    """
+    return PIECE.findall(text)
 
 
 def digests(text: str) -> np.ndarray:
@@ -53,7 +59,7 @@ def mixed(x: np.ndarray, seed: int) -> np.ndarray:
 
 
 def check_of(x: np.ndarray) -> np.ndarray:
-    return mixed(x, 99) >> np.uint64(32)
+    return mixed(x, 99)
 
 
 def cells_of(x: np.ndarray, cells: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -84,12 +90,19 @@ class Sketches:
         self.check ^= other.check
 
     def peel(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Recovered digests, the set of each, its sign (1: only here, -1: only there), and which sets came out whole."""
+        """Recovered digests, the set of each, its sign (1: only here, -1: only there), and which sets came out whole.
+
+        A cell is pure if its check fits its key and it is one of the key's own cells. There are at most as many passes
+        as cells, since each settles one; what is left then is not whole.
+        """
         owner = np.repeat(np.arange(len(self.cells)), self.cells)
         found = [(np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64))]
-        while True:
+        for _ in range(int(self.cells.max(initial=0)) + 1):
             pure = np.flatnonzero(np.abs(self.count) == 1)
             pure = pure[check_of(self.key[pure]) == self.check[pure]]
+            if not len(pure):
+                break
+            pure = pure[(cells_of(self.key[pure], self.cells[owner[pure]], self.first[owner[pure]]) == pure).any(0)]
             if not len(pure):
                 break
             x, of, sign = self.key[pure], owner[pure], self.count[pure]
@@ -106,7 +119,7 @@ class Sketches:
 
     def written(self) -> list[str]:
         """Each sketch as text: base64 of the counts, keys and checks of its cells."""
-        cells = np.zeros(len(self.count), [("n", "<u4"), ("key", "<u8"), ("check", "<u4")])
+        cells = np.zeros(len(self.count), [("n", "<u4"), ("key", "<u8"), ("check", "<u8")])
         cells["n"], cells["key"], cells["check"] = self.count, self.key, self.check
         raw, width = cells.tobytes(), cells.itemsize
         return [base64.b64encode(raw[a * width : (a + n) * width]).decode() for a, n in zip(self.first.tolist(), self.cells.tolist())]
@@ -121,11 +134,21 @@ def fingerprints(sets: list[np.ndarray], cells: int = CELLS) -> list[str]:
 
 
 def likeness(here: list[np.ndarray], there: list[np.ndarray]) -> np.ndarray:
-    """Common over all paragraphs of each pair, from peeling the difference of their sketches; 1 for two empty ones."""
+    """Common over all paragraphs of each pair, from peeling the difference of their sketches; 1 for two empty ones.
+
+    Pairs that stick are peeled from larger sketches. Digests that no sketch can tell apart (two equal ones in a set)
+    would stick for ever: from 64 cells a paragraph on, the sets are compared themselves.
+    """
     out = np.ones(len(here))
     todo, cells = np.arange(len(here)), CELLS
     n_here, n_there = (np.array([len(x) for x in s], np.int64) for s in (here, there))
     while len(todo):
+        for i in todo[cells > 64 * (n_here[todo] + n_there[todo] + 1)]:
+            common = len(np.intersect1d(here[i], there[i]))
+            out[i] = common / max(1, len(np.union1d(here[i], there[i])))
+        todo = todo[cells <= 64 * (n_here[todo] + n_there[todo] + 1)]
+        if not len(todo):
+            break
         size = np.full(len(todo), cells)
         difference = Sketches(*flat([here[i] for i in todo]), size)
         difference.minus(Sketches(*flat([there[i] for i in todo]), size))
@@ -191,7 +214,9 @@ def fingerprint(docs: DataFrame) -> DataFrame:
 
     def finish(rows: list[tuple[int, str, str]]) -> pa.RecordBatch:
         changed = [edited(t, n) for _, t, n in rows]
-        own, after = [digests(t) for _, t, _ in rows], [digests(n) for _, _, n in rows]
+        own = [digests(t) for _, t, _ in rows]
+        # the next document is mostly the next row
+        after = [own[k + 1] if k + 1 < len(rows) and rows[k + 1][1] is n else digests(n) for k, (_, _, n) in enumerate(rows)]
         new = [digests(t) for t in changed]
         return pa.RecordBatch.from_arrays(
             [
