@@ -38,8 +38,8 @@ HARMLESS = {"public", "name", "id", "type", "length", "len", "field", "file", "p
 LEAST_LITERAL, LEAST_SCORE = 8, 0.5
 PLACEHOLDER = re.compile(r"(?i)^(?:(?:x+|\*+|\.+|none|null|true|false|undefined|todo|test)$|your|change|example|sample|dummy|<|\$\{|\{\{|%)")
 TARGET = re.compile(r"""(?:\[\s*+)?(["']?)(?<![A-Za-z0-9_.\-])([A-Za-z_][A-Za-z0-9_.\-]*+)\1(?:\s*+\])?(?:\s*+:\s*+[A-Za-z_][\w.\[\]]*+(?=\s*+=[^=]))?\s*+(:=|=>|=(?![=~])|:(?![:/]))\s*+""")
-OPERAND = re.compile(r"""[bru]?"((?:[^"\\\n]|\\.)*)"|[bru]?'((?:[^'\\\n]|\\.)*)'|`([^`\n]*)`|([A-Za-z_][\w.]*+)(?![\w(+/=\-])|([A-Za-z0-9+/_.=~!@#%^&*-]{8,})""")
-JOIN = re.compile(r"\s*(?:\+|\.\.|\.|&|\|\|)?\s*(?=[\"'`A-Za-z_bru])")
+OPERAND = re.compile(r"""[bru]?"((?:[^"\\\n]|\\.)*)"|[bru]?'((?:[^'\\\n]|\\.)*)'|`([^`\n]*)`|([A-Za-z_][\w.]*+)(?![\w(+/=\-])|(?![A-Za-z_][\w.]*+\s*+\()([A-Za-z0-9+/_.=~!@#%^&*-]{8,})""")
+JOIN = re.compile(r"\s*+(?:\+|\.\.|\.|&|\|\|)?\s*+(?=[\"'`A-Za-z_bru])")
 PARTS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|\d+")
 
 
@@ -52,9 +52,9 @@ def sensitivity(name: str) -> float:
     return min(1.0, sum(SENSITIVE.get(p, 0.0) for p in {*parts, *joined}))
 
 
-def secrecy(value: str) -> float:
-    """0 to 1: length, variety and mixture of characters of a literal."""
-    if len(value) < LEAST_LITERAL or PLACEHOLDER.search(value) or any(c in value for c in " \t"):
+def secrecy(value: str, phrase: bool = False) -> float:
+    """0 to 1: length, variety and mixture of characters of a literal; one with spaces only counts as a `phrase`."""
+    if len(value) < LEAST_LITERAL or PLACEHOLDER.search(value) or (not phrase and any(c in value for c in " \t")):
         return 0.0
     counts = Counter(value)
     entropy = -sum(n / len(value) * math.log2(n / len(value)) for n in counts.values())
@@ -102,7 +102,9 @@ def lexed(text: str) -> dict[Literal, tuple[float, str]]:
             for u in uses[d]:
                 reach[u] = max(reach[u], (target, name))
             for a, b in literals[d]:
-                if (score := target * secrecy(text[a:b])) >= LEAST_SCORE:
+                # words are a secret only where the name asks for words, or where they begin a key
+                phrase = "passphrase" in name.lower() or text.startswith("-----BEGIN ", a)
+                if (score := target * secrecy(text[a:b], phrase)) >= LEAST_SCORE:
                     found[a, b] = (score, name)
     return found
 
