@@ -88,15 +88,17 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: int = MOST
     )
     sized = checkpointed(sized)
     targets = source_targets(sized, weights, share, most)
-    n_docs = sized.groupBy("_has", "_source").agg(F.count(F.lit(1)).alias("_docs"))
-    targets = checkpointed(targets.join(n_docs, ["_has", "_source"]).withColumn("_buckets", F.ceil(F.col("_docs") / BUCKET_DOCS)))
-    # equal shares of the hash range: the first 32 bits of the hash, times the number of buckets
-    bucket = F.floor(F.conv(F.substring("_place", 1, 8), 16, 10).cast("long") * F.col("_buckets") / F.lit(2**32))
-    rows = sized.join(targets, ["_has", "_source"]).withColumn("_bucket", bucket)
+    # equal shares of the hash range, as many as all documents ask for: known before anything is joined, so that rows
+    # meet by source and bucket only, and a source of any size lies in many tasks
+    buckets = max(1, -(-sized.count() // BUCKET_DOCS))
+    # the first 32 bits of the hash, times the number of buckets
+    bucket = F.floor(F.conv(F.substring("_place", 1, 8), 16, 10).cast("long") * F.lit(buckets) / F.lit(2**32))
+    rows = sized.withColumn("_bucket", bucket)
     keys = ["_has", "_source", "_bucket"]
     before = W.partitionBy("_has", "_source").orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
     offsets = rows.groupBy(*keys).agg(F.sum("size").alias("_sum"))
     offsets = offsets.select(*keys, F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_offset"))
+    offsets = offsets.join(checkpointed(targets), ["_has", "_source"])
     inner = W.partitionBy(*keys).orderBy("_place", "size").rowsBetween(W.unboundedPreceding, 0)
     rows = rows.withColumn("_end", F.sum("size").over(inner)).join(offsets, keys)
     start = F.col("_offset") + F.col("_end") - F.col("size")
