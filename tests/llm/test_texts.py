@@ -223,3 +223,80 @@ def test_marginals_equal_the_sum_over_all_taggings():
 def test_secret_query_columns(spark):
     row = secrets.op3_secret_scan(spark, "/root/testdata/sf0.001").orderBy(F.desc("n_assign")).first()
     assert set(row.asDict()) == {"doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans"}
+
+
+@pytest.mark.parametrize("bits", [4, 8])
+def test_peeling_ends_with_weak_checks(monkeypatch, bits):
+    """Cells that only seem pure neither turn for ever nor spoil the result."""
+    strong = fingerprints.check_of
+    monkeypatch.setattr(fingerprints, "check_of", lambda x: strong(x) >> np.uint64(64 - bits))
+    rng = np.random.default_rng(bits)
+    here = [rng.integers(0, 2**63, n).astype(np.uint64) for n in rng.integers(0, 200, 400)]
+    there = [np.unique(np.concatenate([x[: len(x) // 2], rng.integers(0, 2**63, 20).astype(np.uint64)])) for x in here]
+    want = [len(set(a.tolist()) & set(b.tolist())) / max(1, len(set(a.tolist()) | set(b.tolist()))) for a, b in zip(here, there)]
+    got = fingerprints.likeness(here, there)
+    assert np.mean(np.abs(got - want) < 1e-12) > 0.9  # a weak check may name digests that are not there
+
+
+def test_sets_that_no_sketch_can_part_end():
+    twice = np.array([5, 5, 9], np.uint64)
+    assert fingerprints.likeness([twice], [np.array([9], np.uint64)])[0] == 0.5
+
+
+def test_pieces_fall_into_step_after_an_insertion():
+    rng = np.random.default_rng(3)
+    text = " ".join("".join(rng.choice(list("abcdeionrst"), rng.integers(2, 9))) for _ in range(300))
+    assert "".join(fingerprints.paragraphs(text)) == text and max(map(len, fingerprints.paragraphs(text))) <= 48
+    a, b = fingerprints.digests(text), fingerprints.digests("X" + text)
+    assert fingerprints.likeness([a], [b])[0] > 0.8
+    middle = fingerprints.digests(text[:700] + "new words here " + text[700:])
+    assert fingerprints.likeness([a], [middle])[0] > 0.8
+
+
+def test_fingerprint_cells_by_hand():
+    """Sketch of a text from its definition, in plain integers."""
+    import base64
+    import struct
+
+    import xxhash
+
+    text, mask = "one piece of a text\nanother piece of it\none piece of a text", 2**64 - 1
+
+    def mixed(x, seed):
+        x = ((x ^ (seed * 0x9E3779B97F4A7C15 & mask)) * 0xFF51AFD7ED558CCD) & mask
+        x = ((x ^ (x >> 33)) * 0xC4CEB9FE1A85EC53) & mask
+        return x ^ (x >> 33)
+
+    pieces, seen, cells = fingerprints.paragraphs(text), {}, [[0, 0, 0] for _ in range(24)]
+    assert "".join(pieces) == text.replace("\n", "")
+    for p in pieces:
+        x = (xxhash.xxh3_64_intdigest(p.encode()) + seen.get(p, 0) * 0x9E3779B97F4A7C15) & mask
+        seen[p] = seen.get(p, 0) + 1
+        for j in range(3):
+            cell = cells[8 * j + mixed(x, j + 1) % 8]
+            cell[0] += 1
+            cell[1] ^= x
+            cell[2] ^= mixed(x, 99)
+    want = base64.b64encode(b"".join(struct.pack("<IQQ", *c) for c in cells)).decode()
+    assert fingerprints.fingerprints([fingerprints.digests(text)]) == [want]
+
+
+def test_secret_lexing_of_padding_is_linear():
+    import time
+
+    for text in ('password = "abcdefgh1234"' + " " * 1_000_000 + "x", "secret_key = abc" + "\t" * 1_000_000, 'token: "a" +' + " " * 1_000_000):
+        start = time.time()
+        secrets.lexed(text)
+        assert time.time() - start < 1
+
+
+@pytest.mark.parametrize("text, found", [
+    ('secret_key = os.environ.get("X")', set()),
+    ("signing_key = generate_random_key(32)", set()),
+    ("auth_token = load_token (path)", set()),
+    ('passphrase = "correct horse battery staple 7"', {"correct horse battery staple 7"}),
+    ('password = "please enter it here now"', set()),
+    ('PRIVATE_KEY = "-----BEGIN PRIVATE KEY-----\\nMIIEvQIBADANBgkq"', {"-----BEGIN PRIVATE KEY-----\\nMIIEvQIBADANBgkq"}),
+])
+def test_secret_calls_and_phrases(text, found):
+    assert {text[a:b] for a, b in secrets.lexed(text)} == found
