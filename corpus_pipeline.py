@@ -94,7 +94,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over `documents`; each but the last is written to the shared folder and read again."""
+    """All stages over `documents`; each but the last is written to the shared folder and read again.
+
+    A stage's folder goes once the next one is written; the last of them is what the result is read from.
+    """
     ensure_checkpoint_dir(spark)
     folder = f"{spark.sparkContext.getCheckpointDir()}/corpus-{uuid.uuid4().hex}"
     docs = table(spark, sf_dir, "documents")
@@ -103,4 +106,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         if k < len(STAGES) - 1:
             docs.write.parquet(f"{folder}/{k}")
             docs = spark.read.parquet(f"{folder}/{k}")
+            if k:
+                past = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{k - 1}")
+                past.getFileSystem(spark._jsc.hadoopConfiguration()).delete(past, True)
     return docs
