@@ -1,20 +1,30 @@
 """Joins between boxes by overlap.
 
 The equi keys (image, class by default) give a hash join with the overlap as a residual
-predicate. Groups above `group_limit` boxes are split further by image cells: both sides
-are placed in every cell they reach, and a pair is kept only in the cell that holds the
-upper left corner of the shared area, so no pair is repeated and none is lost.
+predicate. Groups above `group_limit` boxes are split further by image cells whose size
+follows the size of the boxes: an IoU of t bounds the ratio of sides by 1 / t, so with a
+factor of 1 / t between levels two boxes of a pair lie at most one level apart. A box stands
+in the few cells it reaches at its own level and at the next one, whatever its size, and a
+pair is kept only at the coarser of its two levels, in the cell that holds the upper left
+corner of the shared area, so no pair is repeated and none is lost. Cells that still hold
+more than `cell_limit` boxes are dealt as pairs of blocks.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from boxloom.functions import geometry as g
-from boxloom.operators.scale import hot_keys, split_by_keys
+from boxloom.operators.scale import hot_keys, join_small, split_by_keys
+from boxloom.session import checkpointed
 
 GROUP_LIMIT = 256
 CELL = 64
+#: Boxes of both sides that one unit of work of a hot place holds about.
+CELL_LIMIT = 2_048
+PLACE = ["_level", "_cx", "_cy"]
 
 
 def _packed(df: DataFrame, keys: list[str], ident: str, side: str, extra: list[str]) -> DataFrame:
@@ -39,11 +49,67 @@ def _joined(left: DataFrame, right: DataFrame, keys: list[str], min_iou: float,
     return rows.withColumn("iou", g.iou(a, b)).filter(F.col("iou") >= min_iou)
 
 
-def _gridded(left, right, keys, min_iou, residual, cell) -> DataFrame:
-    rows = _joined(cells(left, "a", cell), cells(right, "b", cell), [*keys, "_cx", "_cy"], min_iou, residual)
-    owner_x = F.floor(F.greatest(F.col("a.x1"), F.col("b.x1")) / cell)
-    owner_y = F.floor(F.greatest(F.col("a.y1"), F.col("b.y1")) / cell)
-    return rows.filter((owner_x == F.col("_cx")) & (owner_y == F.col("_cy"))).drop("_cx", "_cy")
+def _level_factor(min_iou: float) -> float:
+    """Ratio of cell sizes from level to level; a little over 1 / t, so that rounding parts no pair."""
+    return max(2.0, (1.0 + 1e-9) / min_iou)
+
+
+def _cell_size(level: Column, cell: float, factor: float) -> Column:
+    return F.lit(float(cell)) * F.pow(F.lit(factor), level)
+
+
+def placed(df: DataFrame, side: str, cell: float, factor: float) -> DataFrame:
+    """Copies of the boxes in the cells they reach at their own level and the next; `_own` tells the level of the box.
+
+    Boxes without a positive finite area overlap nothing and have no place.
+    """
+    low, high = (lambda axis: F.col(f"{side}.{axis}1").cast("double")), (lambda axis: F.col(f"{side}.{axis}2").cast("double"))
+    width, height = high("x") - low("x"), high("y") - low("y")
+    rows = df.filter((width > 0) & (height > 0) & (width < math.inf) & (height < math.inf))
+    own = F.ceil(F.log(F.greatest(width, height) / F.lit(float(cell))) / F.lit(math.log(factor))).cast("int")
+    rows = rows.withColumn("_own", own).withColumn("_level", F.explode(F.array("_own", F.col("_own") + 1)))
+    size = _cell_size(F.col("_level"), cell, factor)
+    for axis in ("x", "y"):
+        rows = rows.withColumn(f"_c{axis}", F.explode(F.sequence(F.floor(low(axis) / size), F.floor(high(axis) / size))))
+    return rows
+
+
+def _dealt(left: DataFrame, right: DataFrame, place: list[str], cell_limit: int) -> tuple[DataFrame, DataFrame]:
+    """Both sides with `_i` and `_j`: blocks of the left and right boxes of a place, (0, 0) where one unit holds all.
+
+    Each box of a heavy place is copied once per block of the other side only.
+    """
+    none, one = F.lit(0), F.lit(1)
+    marks = left.select(*place, one.alias("_l"), none.alias("_r")).unionAll(right.select(*place, none.alias("_l"), one.alias("_r")))
+    heavy = marks.groupBy(*place).agg(F.sum("_l").alias("_l"), F.sum("_r").alias("_r"))
+    heavy = heavy.filter((F.col("_l") + F.col("_r") > cell_limit) & (F.col("_l") > 0) & (F.col("_r") > 0))
+    half = max(1, cell_limit // 2)
+    heavy = checkpointed(heavy.select(*place, F.ceil(F.col("_l") / half).alias("_nl"), F.ceil(F.col("_r") / half).alias("_nr")))
+    if heavy.isEmpty():
+        return (df.withColumns({"_i": F.lit(0).cast("long"), "_j": F.lit(0).cast("long")}) for df in (left, right))
+
+    def deal(df: DataFrame, side: str, mine: str, own: str, other: str, copies: str) -> DataFrame:
+        rows = join_small(df, heavy, place, "left")
+        block = F.coalesce(F.pmod(F.xxhash64(F.lit(11), f"{side}.id"), F.col(own)), F.lit(0).cast("long"))
+        every = F.sequence(F.lit(0).cast("long"), F.coalesce(F.col(copies), F.lit(1).cast("long")) - 1)
+        return rows.withColumn(mine, block).withColumn(other, F.explode(every)).drop("_nl", "_nr")
+
+    return deal(left, "a", "_i", "_nl", "_j", "_nr"), deal(right, "b", "_j", "_nr", "_i", "_nl")
+
+
+def _gridded(left, right, keys, min_iou, residual, cell, cell_limit) -> DataFrame:
+    factor = _level_factor(min_iou)
+    place = [*keys, *PLACE]
+    a, b = placed(left, "a", cell, factor), placed(right, "b", cell, factor)
+    a, b = _dealt(a.withColumnRenamed("_own", "_own_a"), b.withColumnRenamed("_own", "_own_b"), place, cell_limit)
+
+    def here(p: Column, q: Column) -> Column:
+        size = _cell_size(F.col("_level"), cell, factor)
+        owner = [F.floor(F.greatest(p[f"{axis}1"], q[f"{axis}1"]).cast("double") / size) == F.col(f"_c{axis}") for axis in ("x", "y")]
+        pair = (F.greatest("_own_a", "_own_b") == F.col("_level")) & owner[0] & owner[1]
+        return pair if residual is None else pair & residual(p, q)
+
+    return _joined(a, b, [*place, "_i", "_j"], min_iou, here).drop(*PLACE, "_i", "_j", "_own_a", "_own_b")
 
 
 def overlap_parts(
@@ -59,6 +125,7 @@ def overlap_parts(
     residual=None,
     group_limit: int = GROUP_LIMIT,
     cell: int = CELL,
+    cell_limit: int = CELL_LIMIT,
 ) -> tuple[DataFrame, DataFrame | None]:
     """Overlaps of at least `min_iou` (> 0) as rows (keys, a, b, iou), a and b being box structs.
 
@@ -71,7 +138,7 @@ def overlap_parts(
     small_a, hot_a = split_by_keys(a, keys, big)
     small_b, hot_b = split_by_keys(b, keys, big)
     rows = _joined(small_a, small_b, keys, min_iou, residual)
-    hot = None if big is None else _gridded(hot_a, hot_b, keys, min_iou, residual, cell)
+    hot = None if big is None else _gridded(hot_a, hot_b, keys, min_iou, residual, cell, cell_limit)
     return rows, hot
 
 
@@ -91,11 +158,12 @@ def iou_pairs(
     right_id: str = "annotation_id",
     group_limit: int = GROUP_LIMIT,
     cell: int = CELL,
+    cell_limit: int = CELL_LIMIT,
 ) -> DataFrame:
     """Prediction x truth overlaps of the same image and class."""
     rows = overlap_join(
         pred, truth, list(keys), min_iou,
-        left_id=left_id, right_id=right_id, group_limit=group_limit, cell=cell,
+        left_id=left_id, right_id=right_id, group_limit=group_limit, cell=cell, cell_limit=cell_limit,
     )
     return rows.select(*keys, F.col("a.id").alias(left_id), F.col("b.id").alias(right_id), "iou")
 
@@ -108,11 +176,12 @@ def self_pairs(
     ident: str = "det_id",
     group_limit: int = GROUP_LIMIT,
     cell: int = CELL,
+    cell_limit: int = CELL_LIMIT,
 ) -> DataFrame:
     """Overlaps within one set of boxes, each pair once with the smaller id first."""
     rows = overlap_join(
         boxes, boxes, list(keys), min_iou, left_id=ident, right_id=ident,
-        residual=lambda a, b: a["id"] < b["id"], group_limit=group_limit, cell=cell,
+        residual=lambda a, b: a["id"] < b["id"], group_limit=group_limit, cell=cell, cell_limit=cell_limit,
     )
     return rows.select(*keys, F.col("a.id").alias(f"{ident}_a"), F.col("b.id").alias(f"{ident}_b"), "iou")
 
