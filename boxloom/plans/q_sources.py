@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from boxloom.functions import geometry as g
-from boxloom.operators import boxes as ob, release, review as rv
+from boxloom.operators import boxes as ob, release, review as rv, sketches as sk
 from boxloom.plans.oracle_parts import ORACLE_VIEWS
 from boxloom.plans.q_boxes import rounded
 from boxloom.plans.q_manifest import _tree_sql, sequenced
@@ -192,3 +192,49 @@ def manifest_read_back(t: Inputs):
     order = [F.col("file").asc(), F.col("n").asc()]
     ranked = part_running_sum(range_parts(back, [], order), [], order, {"place": F.lit(1).cast("bigint")})
     return ranked.select("image_id", (F.col("place") - 1).alias("place"))
+
+
+# --- sketches kept per release --------------------------------------------------------
+
+#: Five releases that overlap: each holds two of five frames, so that every image is in two of them.
+LISTED = """SELECT i.image_id, i.frame_id, i.camera_id, r.n AS release FROM images i JOIN (SELECT 0 AS n UNION ALL SELECT 1 UNION ALL SELECT 2 UNION ALL SELECT 3 UNION ALL SELECT 4) r
+    ON i.frame_id % 5 = r.n OR (i.frame_id + 1) % 5 = r.n"""
+
+
+def listed(t: Inputs):
+    frame = F.col("frame_id") % 5
+    number = F.explode(F.array(frame, (frame + 1) % 5))
+    rows = t.images.withColumn("_r", number)
+    return rows.withColumn("dataset_id", F.concat(F.lit("r"), F.col("_r").cast("string"))).drop("_r")
+
+
+def kept_sketches(t: Inputs):
+    path = folder(t)
+    sk.store_sketches(sk.audit_sketches(listed(t), t.review), path)
+    return sk.stored_sketches(t.spark, path)
+
+
+@query(f"""SELECT camera_id, count(*) AS rows, count(DISTINCT image_id) AS images, count(DISTINCT (release, frame_id)) AS frames,
+    true AS images_close, true AS frames_close, true AS median_close FROM ({LISTED}) z GROUP BY camera_id""")
+def release_sketches(t: Inputs):
+    """A34 over releases: stored sketches merged per camera, beside the exact values (counts within 4 %, the median's rank within 2 %)."""
+    guess = sk.sketch_audit(sk.merge_sketches(kept_sketches(t), ("camera_id",)), (0.5,)).withColumnsRenamed({"images": "near_images", "frames": "near_frames"})
+    images = listed(t)
+    exact = images.groupBy("camera_id").agg(F.count_distinct("image_id").alias("images"), F.count_distinct("dataset_id", "frame_id").alias("frames"))
+    cameras = guess.select("camera_id", F.col("seconds_50").alias("m"))
+    timed = t.review.join(t.images.select("image_id", "camera_id"), "image_id").join(cameras, "camera_id")
+    ranks = timed.groupBy("camera_id").agg((F.count_if(F.col("seconds") <= F.col("m")) / F.count("seconds")).alias("upto"), (F.count_if(F.col("seconds") < F.col("m")) / F.count("seconds")).alias("under"))
+    rows = exact.join(guess, "camera_id").join(ranks, "camera_id", "left")
+
+    def close(a: str, b: str):
+        return F.abs(F.col(a) - F.col(b)) <= 0.04 * F.col(b)
+
+    median = F.coalesce((F.col("upto") >= 0.48) & (F.col("under") <= 0.52), F.lit(True))
+    return rows.select("camera_id", "rows", "images", "frames", close("near_images", "images").alias("images_close"), close("near_frames", "frames").alias("frames_close"), median.alias("median_close"))
+
+
+@query(f"""SELECT camera_id, count(*) FILTER (WHERE a AND b) AS shared, count(*) FILTER (WHERE b AND NOT a) AS added, count(*) FILTER (WHERE a AND NOT b) AS dropped
+    FROM (SELECT camera_id, image_id, bool_or(release = 0) AS a, bool_or(release = 1) AS b FROM ({LISTED}) z GROUP BY ALL) y GROUP BY camera_id""")
+def release_overlap(t: Inputs):
+    """What two releases share, from their sketches alone; exact up to 65,536 images of a camera, estimated beyond."""
+    return sk.release_overlap(kept_sketches(t), "r0", "r1")
