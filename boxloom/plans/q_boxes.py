@@ -258,6 +258,17 @@ def tile_function(t: Inputs):
         WHERE d.x1 < t.tile_x + 640 AND d.x2 > t.tile_x AND d.y1 < t.tile_y + 640 AND d.y2 > t.tile_y""")
 
 
+@query(f"""SELECT det_id, tile_x, tile_y FROM o_det CROSS JOIN {TILES}
+    WHERE x1 < tile_x + 640 AND x2 > tile_x AND y1 < tile_y + 640 AND y2 > tile_y AND x2 > x1 AND y2 > y1""")
+def tile_table_function(t: Inputs):
+    """The table function over whole Arrow batches of boxes."""
+    from boxloom.functions.user import TileCuts
+
+    t.spark.udtf.register("tile_cuts", TileCuts)
+    ob.clip_boxes(t.det).select("det_id", *g.CORNERS, "width", "height").createOrReplaceTempView("boxes_to_cut")
+    return t.spark.sql("SELECT * FROM tile_cuts(TABLE(SELECT * FROM boxes_to_cut), 640, 128)")
+
+
 @query(f"SELECT det_id FROM o_det WHERE {AREA.format(p='')} >= 10000")
 def min_area(t: Inputs):
     return ob.min_area(ob.clip_boxes(t.det), 10_000.0).select("det_id")

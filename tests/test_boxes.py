@@ -132,3 +132,15 @@ def test_class_mapping_is_exact(spark):
 def test_bits_and_entropy(spark):
     row = spark.range(1).select(s.hamming(F.lit(0b1011), F.lit(0b0001)), s.binary_entropy(F.lit(0.5)), s.temperature_scaled(F.lit(0.8), F.lit(1.0))).first()
     assert row[0] == 2 and row[1] == pytest.approx(1.0) and math.isclose(row[2], 0.8)
+
+
+def test_tiles_of_boxes_by_batches(spark):
+    from boxloom.functions.user import TileCuts
+
+    rows = [(1, 10.0, 10.0, 30.0, 30.0, 1920, 1080), (2, 600.0, 10.0, 700.0, 30.0, 1920, 1080), (3, 5.0, 5.0, 5.0, 9.0, 1920, 1080), (4, None, 0.0, 9.0, 9.0, 1920, 1080),
+            (5, 0.0, 0.0, 9.0, 9.0, None, 1080), (None, 0.0, 0.0, 9.0, 9.0, 300, 200), (1, 10.0, 10.0, 30.0, 30.0, 1920, 1080)]
+    spark.createDataFrame(rows, "det_id long, x1 double, y1 double, x2 double, y2 double, width int, height int").createOrReplaceTempView("cuts_in")
+    spark.udtf.register("tile_cuts", TileCuts)
+    got = [tuple(r) for r in spark.sql("SELECT * FROM tile_cuts(TABLE(SELECT * FROM cuts_in), 640, 128)").collect()]
+    assert sorted(got, key=str) == sorted([(1, 0, 0), (1, 0, 0), (2, 0, 0), (2, 512, 0), (None, 0, 0)], key=str)
+    assert spark.sql("SELECT * FROM tile_cuts(TABLE(SELECT * FROM cuts_in WHERE det_id > 9), 640, 128)").count() == 0
