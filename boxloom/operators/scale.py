@@ -4,7 +4,7 @@
 * `carry` / `running_sum`: ordered scans per key, cut into buckets of the order
   column, so that a key of any length is spread over many tasks.
 * `range_parts` / `part_running_sum`: the same for an arbitrary sort order.
-* `join_small`: broadcast only what has been counted.
+* `join_small`: broadcast only what has been counted and measured.
 """
 
 from __future__ import annotations
@@ -14,11 +14,20 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from boxloom.session import checkpointed
 
 BROADCAST_ROWS = 50_000
+#: Characters of all values as JSON that may be broadcast; no value takes more than four times its text in memory.
+BROADCAST_TEXT = 8_000_000
+
+
+def fits_broadcast(small: DataFrame, max_rows: int = BROADCAST_ROWS, max_text: int = BROADCAST_TEXT) -> bool:
+    """Whether `small` has at most `max_rows` rows and `max_text` characters; reads no more than one row beyond the limit."""
+    size = F.length(F.to_json(F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(small.columns)])))
+    rows, text = small.limit(max_rows + 1).agg(F.count(F.lit(1)), F.sum(size.cast("long"))).first()
+    return rows <= max_rows and (text or 0) <= max_text
 
 
 def join_small(df: DataFrame, small: DataFrame, on, how: str = "inner", max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast `small` when its counted size allows, else leave the join to Spark."""
-    if small.limit(max_rows + 1).count() <= max_rows:
+    """Broadcast `small` when its measured rows and bytes allow, else leave the join to Spark."""
+    if fits_broadcast(small, max_rows):
         small = F.broadcast(small)
     return df.join(small, on, how)
 
