@@ -40,6 +40,13 @@ def self_pairs(t: Inputs):
     return rounded(pairs.self_pairs(checkpointed(ob.clip_boxes(t.det)), 0.3), "iou").drop("image_id", "class_id")
 
 
+@query(f"""SELECT a.camera_id, a.class_id, a.det_id AS det_id_a, b.det_id AS det_id_b, round({iou_sql()}, 6) AS iou FROM o_det a JOIN o_det b
+    ON a.camera_id = b.camera_id AND a.class_id = b.class_id AND a.det_id < b.det_id AND {OVERLAP} WHERE {iou_sql()} >= 0.9""")
+def standing_pairs(t: Inputs):
+    """Boxes that stand at the same place in any two frames of a camera: groups of a camera's whole boxes, joined over levels of cells."""
+    return rounded(pairs.self_pairs(checkpointed(ob.clip_boxes(t.det)), 0.9, ("camera_id", "class_id")), "iou")
+
+
 ORACLE_VIEWS["o_dis_pairs"] = f"""SELECT a.image_id, a.det_id AS a_id, b.det_id AS b_id, {iou_sql()} AS iou
     FROM o_det a JOIN o_det_b b ON a.image_id = b.image_id AND {OVERLAP} WHERE {iou_sql()} >= 0.5"""
 ORACLE_VIEWS.update(greedy("o_dis_pairs", "image_id", "a_id", "b_id", "o_dis", 5))
