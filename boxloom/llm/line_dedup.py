@@ -1,12 +1,12 @@
 """Drop lines that many documents repeat, by a sharded minimal perfect hash.
 
-The distinct keys that at least `min_docs` documents hold are dealt over shards of a bounded number of keys.
-There are enough shards for the keys and for the lines that will probe them. Each shard gets a minimal perfect hash (one pilot per small bucket of keys) over three arrays: a 64-bit
-fingerprint, the number of documents and the document that keeps the line. Documents send their line hashes to the
-shards and probe these arrays; no line is joined with another line. A shard is one row of bounded size, streamed
-before its probes; shards with many probes are copied under several salts, so that a very common line is spread.
+All distinct long line keys are dealt over shards of a bounded number of keys. Each shard gets a minimal perfect hash
+(one pilot per small bucket of keys) over three arrays: a 64-bit fingerprint, the number of documents and the document
+that keeps the line. Documents send their line hashes to the shards and probe these arrays: the count that a probe finds
+decides. No line is joined with another line. A shard is one row of bounded size, streamed before its probes; shards with
+many probes are copied under several salts, so that a very common line is spread.
 
-Line keys are 128-bit hashes: 64 bits choose shard and slot, 64 bits are the fingerprint.
+Line keys are 128-bit hashes: 64 bits choose shard and slot, 64 bits are the fingerprint; lines are dropped by all 128.
 """
 
 from __future__ import annotations
@@ -18,10 +18,12 @@ import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import LongType, StructType
 
 from boxloom.llm.common import SPACE, checkpointed, known_id, lower_az, slices, table, texts
 from boxloom.llm.registry import query
 
+#: Keys of a shard at most (on average: lines are counted, and no shard has more keys than lines).
 SHARD_KEYS = 16_384
 #: Probes of a shard beyond which it is copied under another salt; also at most this share of all probes.
 SALT_PROBES, SALT_SHARE = 200_000, 1_000
@@ -33,9 +35,13 @@ def line_key(line: str) -> str:
     return lower_az(line.strip(SPACE))
 
 
-def key_hash(key: str) -> tuple[int, int]:
-    both = xxhash.xxh3_128_intdigest(key.encode("utf-8", "surrogatepass"))
-    return (both >> 64) - (1 << 63), (both & (2**64 - 1)) - (1 << 63)
+def key_hash(key: str) -> bytes:
+    """Two halves of 8 bytes: the one for shard and slot, and the fingerprint."""
+    return xxhash.xxh3_128_digest(key.encode("utf-8", "surrogatepass"))
+
+
+def halves(keys: list[bytes]) -> np.ndarray:
+    return np.frombuffer(b"".join(keys), np.int64).reshape(-1, 2)
 
 
 def long_lines(min_chars: int):
@@ -43,14 +49,14 @@ def long_lines(min_chars: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", 4_000_000):
-            ids, high, low = [], [], []
-            for doc, text in zip(batch.column("doc_id").to_pylist(), texts(batch.column("text"))):
+            n, found = [], []
+            for text in texts(batch.column("text")):
                 keys = {k for line in text.split("\n") if len(line) >= min_chars and len(k := line_key(line)) >= min_chars}
-                for h, p in map(key_hash, keys):
-                    ids.append(doc)
-                    high.append(h)
-                    low.append(p)
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (ids, high, low)], ["doc_id", "slot_hash", "print"])
+                n.append(len(keys))
+                found.extend(map(key_hash, keys))
+            both = halves(found)
+            ids, rows = (np.repeat(batch.column(c).to_numpy(), n) for c in ("doc_id", "text_hash"))
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (ids, rows, both[:, 0], both[:, 1])], ["doc_id", "text_hash", "slot_hash", "print"])
 
     return run
 
@@ -110,98 +116,119 @@ def build_shard(keys: pd.DataFrame) -> pd.DataFrame:
         values = np.empty(len(first), kind)
         values[at] = keys[name].to_numpy()[first]
         arrays[name] = values.tobytes()
-    spare = keys.iloc[rest][["slot_hash", "print", "keeper"]].to_numpy(np.int64).tobytes()
+    spare = keys.iloc[rest][["slot_hash", "print", "n_docs", "keeper"]].to_numpy(np.int64).tobytes()
     return pd.DataFrame([{"shard": keys["shard"].iloc[0], "pilots": pilots.tobytes(), "prints": arrays["print"], "counts": arrays["n_docs"], "keepers": arrays["keeper"], "spare": spare}])
 
 
+ARRAYS = ("pilots", "prints", "counts", "keepers", "spare")
 SHARD = "shard long, pilots binary, prints binary, counts binary, keepers binary, spare binary"
 
 
 class Shard:
     """The arrays of a shard, and the lookup."""
 
-    def __init__(self, pilots: bytes, prints: bytes, keepers: bytes, spare: bytes) -> None:
-        self.pilots, self.prints = np.frombuffer(pilots, np.uint32), np.frombuffer(prints, np.int64)
-        self.keepers, self.spare = np.frombuffer(keepers, np.int64), np.frombuffer(spare, np.int64).reshape(-1, 3)
+    def __init__(self, pilots: bytes, prints: bytes, counts: bytes, keepers: bytes, spare: bytes) -> None:
+        self.pilots, self.prints, self.counts = np.frombuffer(pilots, np.uint32), np.frombuffer(prints, np.int64), np.frombuffer(counts, np.uint32)
+        self.keepers, self.spare = np.frombuffer(keepers, np.int64), np.frombuffer(spare, np.int64).reshape(-1, 4)
 
-    def dropped(self, doc: np.ndarray, h: np.ndarray, prints: np.ndarray) -> np.ndarray:
-        """Which lines are frequent and kept by another document."""
+    def dropped(self, doc: np.ndarray, h: np.ndarray, prints: np.ndarray, min_docs: int) -> np.ndarray:
+        """Which lines lie in `min_docs` documents and are kept by another one."""
         at = slots_of(h, self.pilots, len(self.prints))
-        out = (self.prints[at] == prints) & (self.keepers[at] != doc)
-        for slot_hash, fingerprint, keeper in self.spare:
-            out |= (h == slot_hash) & (prints == fingerprint) & (keeper != doc)
+        out = (self.prints[at] == prints) & (self.counts[at] >= min_docs) & (self.keepers[at] != doc)
+        for slot_hash, fingerprint, n_docs, keeper in self.spare:
+            if n_docs >= min_docs:
+                out |= (h == slot_hash) & (prints == fingerprint) & (keeper != doc)
         return out
 
 
-def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def probe(min_docs: int):
     """Rows come sorted by (shard, salt), the arrays of a shard before its probes; one shard is held at a time."""
-    shard, at = None, None
-    for batch in batches:
-        place = np.stack([batch.column(c).to_numpy(zero_copy_only=False) for c in ("shard", "salt", "is_probe")])
-        cuts = np.flatnonzero((place[:, 1:] != place[:, :-1]).any(0)) + 1
-        ids, hashes = [], []
-        for a, b in zip([0, *cuts], [*cuts, place.shape[1]]):
-            if b == a:
-                continue
-            where = tuple(place[:2, a].tolist())
-            if not place[2, a]:
-                row = batch.slice(a, 1)
-                shard, at = Shard(*(row.column(c)[0].as_py() for c in ("pilots", "prints", "keepers", "spare"))), where
-            elif at == where:
-                doc, h, p = (batch.column(c).slice(a, b - a).to_numpy(zero_copy_only=False) for c in ("doc_id", "slot_hash", "print"))
-                gone = shard.dropped(doc, h, p)
-                ids.append(doc[gone])
-                hashes.append(h[gone])
-        none = np.zeros(0, np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([none, *x])) for x in (ids, hashes)], ["doc_id", "slot_hash"])
-
-
-def without_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rebuild each text without the lines whose hash is in `_gone`."""
-    for batch in slices(batches, "text", 4_000_000):
-        kept, n_lines, n_dropped = [], [], []
-        for text, gone in zip(texts(batch.column("text")), batch.column("_gone").to_pylist()):
-            lines = text.split("\n")
-            n_lines.append(len(lines))
-            if gone:
-                gone = set(gone)
-                lines = [x for x in lines if key_hash(line_key(x))[0] not in gone]
-                text = "\n".join(lines)
-            n_dropped.append(n_lines[-1] - len(lines))
-            kept.append(text)
-        names = [n for n in batch.schema.names if n != "_gone"]
-        columns = [pa.array(kept, pa.string()) if n == "text" else batch.column(n) for n in names]
-        yield pa.RecordBatch.from_arrays([*columns, pa.array(n_lines, pa.int64()), pa.array(n_dropped, pa.int64())], [*names, "n_lines", "n_dropped"])
-
-
-def routed(lines: DataFrame, frequent: DataFrame) -> DataFrame:
-    """Shards of the frequent keys and the lines that probe them, with the (shard, salt) where they meet.
-
-    Lines whose shard holds no key are left out. A shard is copied under as many salts as its probes ask for.
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shard, at = None, None
+        for batch in batches:
+            place = np.stack([batch.column(c).to_numpy(zero_copy_only=False) for c in ("shard", "salt", "is_probe")])
+            cuts = np.flatnonzero((place[:, 1:] != place[:, :-1]).any(0)) + 1
+            columns = {c: [np.zeros(0, np.int64)] for c in ("doc_id", "text_hash", "slot_hash", "print")}
+            for a, b in zip([0, *cuts], [*cuts, place.shape[1]]):
+                if b == a:
+                    continue
+                where = tuple(place[:2, a].tolist())
+                if not place[2, a]:
+                    row = batch.slice(a, 1)
+                    shard, at = Shard(*(row.column(c)[0].as_py() for c in ARRAYS)), where
+                elif at == where:
+                    part = {c: batch.column(c).slice(a, b - a).to_numpy(zero_copy_only=False) for c in columns}
+                    gone = shard.dropped(part["doc_id"], part["slot_hash"], part["print"], min_docs)
+                    for c, values in part.items():
+                        columns[c].append(values[gone])
+            doc, row, h, p = (np.concatenate(x) for x in columns.values())
+            keys = pa.FixedSizeBinaryArray.from_buffers(pa.binary(16), len(h), [None, pa.py_buffer(np.stack([h, p], 1).tobytes())])
+            yield pa.RecordBatch.from_arrays([pa.array(doc), pa.array(row), keys.cast(pa.binary())], ["doc_id", "text_hash", "line"])
+
+    return run
+
+
+def without_lines(name: str):
+    """Rebuild each text without the lines whose hash is in column `name`."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text", 4_000_000):
+            kept, n_lines, n_dropped = [], [], []
+            for text, gone in zip(texts(batch.column("text")), batch.column(name).to_pylist()):
+                lines = text.split("\n")
+                n_lines.append(len(lines))
+                if gone:
+                    gone = set(gone)
+                    lines = [x for x in lines if key_hash(line_key(x)) not in gone]
+                    text = "\n".join(lines)
+                n_dropped.append(n_lines[-1] - len(lines))
+                kept.append(text)
+            names = [n for n in batch.schema.names if n != name]
+            columns = [pa.array(kept, pa.string()) if n == "text" else batch.column(n) for n in names]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(n_lines, pa.int64()), pa.array(n_dropped, pa.int64())], [*names, "n_lines", "n_dropped"])
+
+    return run
+
+
+def routed(lines: DataFrame, counts: DataFrame) -> DataFrame:
+    """Shards of the counted keys and the lines that probe them, with the (shard, salt) where they meet.
+
+    `counts` has a row (slot_hash, print, n_docs, keeper) for each distinct key of `lines`. There are at least as many
+    shards as keep both keys and probes of a shard bounded; a shard with more probes is copied under several salts.
     """
     n_lines = lines.count()
     most = max(SALT_PROBES, n_lines // SALT_SHARE)
-    n_shards = max(1, -(-frequent.count() // SHARD_KEYS), -(-n_lines // most))
+    n_shards = max(1, -(-n_lines // min(SHARD_KEYS, most)))
 
     def shard_of():
         return F.pmod(F.xxhash64("slot_hash"), F.lit(n_shards)).alias("shard")
 
-    shards = checkpointed(frequent.withColumn("shard", shard_of()).groupBy("shard").applyInPandas(build_shard, SHARD))
+    shards = checkpointed(counts.withColumn("shard", shard_of()).groupBy("shard").applyInPandas(build_shard, SHARD))
     placed = lines.withColumn("shard", shard_of())
-    loads = placed.groupBy("shard").agg((F.floor(F.count(F.lit(1)) / most) + 1).alias("salts"))
-    # n_shards rows at most
-    salts = F.broadcast(checkpointed(shards.select("shard").join(loads, "shard")))
-    nothing = [F.lit(None).cast("binary").alias(c) for c in ("pilots", "prints", "keepers", "spare")]
+    loads = placed.groupBy("shard").agg(F.count(F.lit(1)).alias("probes")).filter(F.col("probes") > most)
+    # shards beyond `most` probes only: SALT_SHARE rows at most
+    hot = F.broadcast(checkpointed(loads.select("shard", (F.floor(F.col("probes") / most) + 1).alias("salts"))))
+    salts = F.coalesce("salts", F.lit(1).cast("long"))
+    nothing = [F.lit(None).cast("binary").alias(c) for c in ARRAYS]
     # by row and not by document: one id may have many rows
-    numbered = placed.withColumn("at", F.monotonically_increasing_id()).join(salts, "shard")
-    probes = numbered.select("shard", F.pmod("at", "salts").alias("salt"), F.lit(True).alias("is_probe"), "doc_id", "slot_hash", "print", *nothing)
-    copies = shards.join(salts, "shard").select(
-        "shard", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)).alias("salt"), F.lit(False).alias("is_probe"),
-        *[F.lit(None).cast("long").alias(c) for c in ("doc_id", "slot_hash", "print")], "pilots", "prints", "keepers", "spare",
+    numbered = placed.withColumn("at", F.monotonically_increasing_id()).join(hot, "shard", "left")
+    own = ("doc_id", "text_hash", "slot_hash", "print")
+    probes = numbered.select("shard", F.pmod("at", salts).alias("salt"), F.lit(True).alias("is_probe"), *own, *nothing)
+    copies = shards.join(hot, "shard", "left").select(
+        "shard", F.explode(F.sequence(F.lit(0).cast("long"), salts - 1)).alias("salt"), F.lit(False).alias("is_probe"),
+        *[F.lit(None).cast("long").alias(c) for c in own], *ARRAYS,
     )
     return copies.unionByName(probes)
 
 
+def fresh(name: str, taken: list[str]) -> str:
+    """`name`, with marks before it until no column has it."""
+    while name.lower() in {c.lower() for c in taken}:
+        name = f"_{name}"
+    return name
+
+
 def dedup_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> DataFrame:
     """`docs` with `text` rid of repeated lines, plus n_lines (before) and n_dropped.
 
@@ -211,20 +238,19 @@ def dedup_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> Data
     are one document that comes before all others. All other columns pass through, but n_lines and n_dropped of the
     input are replaced; an empty table gives an empty one.
     """
-    docs = docs.drop("n_lines", "n_dropped", "_gone", "_known")
-    slim = docs.select(known_id().alias("doc_id"), "text")
-    lines = checkpointed(slim.mapInArrow(long_lines(min_chars), "doc_id long, slot_hash long, print long"))
+    docs = docs.drop("n_lines", "n_dropped")
+    known, row, lost = (fresh(n, docs.columns) for n in ("known", "row", "lost"))
+    # rows of one id are one document, but each text gets its own lines only
+    slim = docs.select(known_id().alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
+    lines = checkpointed(slim.mapInArrow(long_lines(min_chars), "doc_id long, text_hash long, slot_hash long, print long"))
     per_doc = lines.groupBy("slot_hash", "print", "doc_id").agg(F.lit(1).alias("one"))  # a line twice in rows of one id
     counts = per_doc.groupBy("slot_hash", "print").agg(F.count(F.lit(1)).alias("n_docs"), F.max("doc_id").alias("keeper"))
-    frequent = checkpointed(counts.filter(F.col("n_docs") >= min_docs))
-    dealt = routed(lines, frequent).repartition("shard", "salt").sortWithinPartitions("shard", "salt", "is_probe")
-    gone = dealt.mapInArrow(probe, "doc_id long, slot_hash long")
-    gone = gone.groupBy(F.col("doc_id").alias("_known")).agg(F.collect_set("slot_hash").alias("_gone"))  # a document's own lines
-    joined = docs.withColumn("_known", known_id()).join(gone, "_known", "left").drop("_known")
-    from pyspark.sql.types import LongType, StructType
-
+    dealt = routed(lines, counts).repartition("shard", "salt").sortWithinPartitions("shard", "salt", "is_probe")
+    gone = dealt.mapInArrow(probe(min_docs), "doc_id long, text_hash long, line binary")
+    gone = gone.groupBy(F.col("doc_id").alias(known), F.col("text_hash").alias(row)).agg(F.collect_set("line").alias(lost))  # a text's own lines
+    joined = docs.withColumns({known: known_id(), row: F.xxhash64("text")}).join(gone, [known, row], "left").drop(known, row)
     schema = StructType(docs.schema.fields).add("n_lines", LongType()).add("n_dropped", LongType())
-    return joined.mapInArrow(without_lines, schema)
+    return joined.mapInArrow(without_lines(lost), schema)
 
 
 @query(

@@ -99,6 +99,26 @@ def test_unique_lines_do_not_meet_in_one_shard(spark, monkeypatch):
     assert len({s for s, _ in dealt[0]}) > 10 and max(dealt[0].values()) <= 2 * 50
 
 
+def test_lines_of_rows_without_id_stay_apart(spark):
+    """Rows without id are one document, but none is handed the lines of the others; inner names of the input pass."""
+    rows = [(None, "\n".join([f"line of every odd row {i % 3} here", f"unique line {i} of this corpus"]), "en", "s", 1) for i in range(60)]
+    rows += [(i, f"line of every odd row {i % 3} here", "en", "s", 1) for i in range(9)]
+    df = frame(spark, rows).withColumns({c: F.lit("mine") for c in ("known", "row", "lost", "_known", "_gone", "line", "text_hash")})
+    got = line_dedup.dedup_lines(df)
+    assert set(df.columns) < set(got.columns) and got.filter("known = 'mine' and _gone = 'mine' and lost = 'mine'").count() == len(rows)
+    assert sorted(map(tuple, got.select("doc_id", "text", "n_lines", "n_dropped").collect()), key=repr) == lines_by_hand(rows)
+
+
+def test_the_count_of_a_probe_decides():
+    """A shard holds keys of any count, two of them with the same 64 bits for shard and slot."""
+    import pandas as pd
+
+    keys = pd.DataFrame({"shard": 0, "slot_hash": [5, 5, 9, 11], "print": [1, 2, 3, 4], "n_docs": [3, 3, 2, 3], "keeper": [7, 8, 9, 10]})
+    shard = line_dedup.Shard(*line_dedup.build_shard(keys).loc[0, list(line_dedup.ARRAYS)])
+    doc, h, p = (np.array(x, np.int64) for x in ([1, 7, 1, 8, 1, 1, 1, 1], [5, 5, 5, 5, 9, 11, 11, 77], [1, 1, 2, 2, 3, 4, 5, 1]))
+    assert shard.dropped(doc, h, p, 3).tolist() == [True, False, True, False, False, True, False, False]
+
+
 def test_perfect_hash_is_minimal_and_perfect():
     rng = np.random.default_rng(1)
     for n in (1, 2, 5, 1000, 20_000):
