@@ -13,7 +13,7 @@ SOME = [
     "clip_boxes", "match_greedy", "match_optimal", "average_precision", "nms", "fuse_boxes", "tile_duplicate_rate", "assign_sequences", "match_context_ties",
     "canonical_order", "fold_support_two_sets", "missing_images", "development_gate", "content_hash", "review_time", "quota_rank", "near_leakage", "fit_isotonic",
     "coco_read_back", "review_export_read_back", "track", "stream_sequences", "stream_track",
-    "standing_pairs", "release_sketches", "release_overlap", "tile_table_function",
+    "standing_pairs", "release_sketches", "release_overlap", "tile_table_function", "append_batches",
 ]
 #: Queries that SQL does not check; rows are all they are held to here.
 UNCHECKED = {"fit_temperature"}
